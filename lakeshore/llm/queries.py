@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, sentencepieces, simhash, toxicity
+from . import quality, sentencepieces, simhash, toxicity, warc
 from .common import table
 
 
@@ -32,6 +32,26 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op8_toxicity": op8_toxicity}
-
-ORACLES: dict[str, str] = {}
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op8_toxicity": op8_toxicity, "op9_warc": op9_warc}
+
+ORACLES: dict[str, str] = {
+    "op9_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        h AS (SELECT page_id, strlen(html) AS n, sha1(html) AS hex FROM p),
+        d AS (
+            SELECT page_id, n, min(page_id) OVER (PARTITION BY hex) AS first_id,
+                list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((
+                    ((16 * (instr('0123456789abcdef', substr(hex, (5 * i // 4 + 1)::INT, 1)) - 1) + instr('0123456789abcdef', substr(hex, (5 * i // 4 + 2)::INT, 1)) - 1)
+                    >> (3 - 5 * i % 4)::INT) & 31))::INT, 1)), 'string_agg', '') AS digest
+            FROM h
+        )
+        SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+            CASE WHEN first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN first_id < page_id THEN first_id END AS refers_to
+        FROM d
+    """,
+}
