@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, sentence_spans, sentencepieces, simhash, toxicity, warc
+from . import decontaminate, lines, quality, sentence_spans, sentencepieces, simhash, toxicity, warc
 from .common import table
 
 
@@ -32,6 +32,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "score", "n_seeds")
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return lines.remove_boilerplate(docs).select("doc_id", F.col("_n_removed").alias("n_removed"), "text")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -46,9 +51,20 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.remove_repeats(docs).select("doc_id", F.col("_n_removed").alias("n_removed"), "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op6_decontaminate": op6_decontaminate, "op8_toxicity": op8_toxicity, "op9_warc": op9_warc, "op10_sentence_spans": op10_sentence_spans}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op6_decontaminate": op6_decontaminate, "op7_lines": op7_lines, "op8_toxicity": op8_toxicity, "op9_warc": op9_warc, "op10_sentence_spans": op10_sentence_spans}
 
 ORACLES: dict[str, str] = {
+    "op7_lines": """
+        WITH l AS (
+            SELECT doc_id, source, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents
+        ),
+        k AS (SELECT *, trim(raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line FROM l),
+        b AS (SELECT line, min(doc_id) AS first_id FROM k WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10),
+        kept AS (SELECT k.* FROM k LEFT JOIN b ON k.line = b.line WHERE b.line IS NULL OR b.first_id = k.doc_id),
+        joined AS (SELECT doc_id, string_agg(raw, chr(10) ORDER BY place) AS text, count(*) AS n FROM kept GROUP BY doc_id)
+        SELECT d.doc_id, (len(string_split(d.text, chr(10))) - coalesce(j.n, 0))::INT AS n_removed, coalesce(j.text, '') AS text
+        FROM documents d LEFT JOIN joined j ON d.doc_id = j.doc_id
+    """,
     "op9_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         h AS (SELECT page_id, strlen(html) AS n, sha1(html) AS hex FROM p),
