@@ -17,33 +17,46 @@ SHINGLE, RADIUS, SEED = 4, 4, 42
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """64 bits, signed: each is set if it is set in over half of the XXH64 hashes of the text's word shingles."""
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """A second hash of each 64-bit hash (the finaliser of splitmix64)."""
+    h = h + np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, parts: int = 1) -> np.ndarray:
+    """64 bits for each part, signed: a bit is set if it is set in over half of the hashes of the text's word shingles.
+
+    The first part takes XXH64 hashes, each further one hashes of the hashes before it.
+    """
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
-        return 0
+        return np.zeros(parts, np.int64)
     joined, size = memoryview(b" ".join(words)), min(shingle, len(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - size + 1].tolist()
-    digest, counts, n = xxhash.xxh64_intdigest, np.zeros(64, np.int64), len(starts)
+    digest, counts, n = xxhash.xxh64_intdigest, np.zeros((parts, 64), np.int64), len(starts)
     ends = ends[size - 1 :].tolist()
     for k in range(0, n, 65536):
-        part = [digest(joined[a:b], SEED) for a, b in zip(starts[k : k + 65536], ends[k : k + 65536])]
-        bits = np.unpackbits(np.array(part, np.uint64).view(np.uint8)).reshape(-1, 64)
-        counts += bits.sum(0, dtype=np.uint32)
-    return int(np.packbits(2 * counts > n).view(np.int64)[0])
+        h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[k : k + 65536], ends[k : k + 65536])], np.uint64)
+        for p in range(parts):
+            h = _mixed(h) if p else h
+            counts[p] += np.unpackbits(h.view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.uint32)
+    return np.packbits(2 * counts > n).view(np.int64)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp) of every row; a null, empty or blank text has fingerprint 0."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, parts: int = 1) -> DataFrame:
+    """(doc_id, fp, more) of every row: the first part, and an array of the further ones; a text without words has zeros."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            fp = np.fromiter((fingerprint(x.as_py(), shingle) for x in b["text"]), np.int64, b.num_rows)
-            yield pa.record_batch({"doc_id": b["doc_id"], "fp": pa.array(fp)})
+            fp = np.array([fingerprint(x.as_py(), shingle, parts) for x in b["text"]], np.int64).reshape(-1, parts)
+            more = pa.ListArray.from_arrays(pa.array(np.arange(len(fp) + 1, dtype=np.int32) * (parts - 1)), pa.array(fp[:, 1:].ravel()))
+            yield pa.record_batch({"doc_id": b["doc_id"], "fp": pa.array(fp[:, 0].copy()), "more": more})
 
     kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return kept.mapInArrow(run, "doc_id long, fp long")
+    return kept.mapInArrow(run, "doc_id long, fp long, more array<long>")
 
 
 def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -58,37 +71,44 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         parent[b] = a
 
 
-def forest(left: np.ndarray, right: np.ndarray | None, radius: int = RADIUS, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest over all pairs of two tiles (or within one) at most radius bits apart.
+def forest(left: np.ndarray, right: np.ndarray | None, radius: int = RADIUS, block: int = 256, whole: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links (places in left, then right) of a spanning forest over all near pairs of two tiles, or within one.
 
-    Both tiles hold unsigned 64-bit fingerprints. They are cut into blocks by the bit count of their upper halves;
-    blocks whose counts differ by over the radius are skipped. The links found in a block go into a union-find at
-    once, so that a tile pair gives at most one link for each fingerprint, however many pairs are near.
+    Tiles are arrays of unsigned 64-bit parts, one row for each fingerprint. A pair is near if the first parts differ by
+    radius bits at most and, where `whole` is given, all parts together by that many. Tiles are cut into blocks by the
+    bit count of the upper half of the first part; blocks whose counts differ by over the radius are skipped. The
+    pairs of a block go into a union-find at once, so that a tile pair gives at most one link for each fingerprint,
+    however many pairs are near.
     """
-    order = lambda x: x[np.argsort(np.bitwise_count(x >> np.uint64(32)), kind="stable")]
-    left = order(left)
-    other = left if right is None else order(right)
-    nodes, shift = (left, 0) if right is None else (np.concatenate([left, other]), len(left))
-    high = np.bitwise_count(other >> np.uint64(32)).astype(np.int64)
-    parent = np.arange(len(nodes))
-    for k in range(0, len(left), block):
-        rows = left[k : k + block]
-        of = np.bitwise_count(rows >> np.uint64(32)).astype(np.int64)
-        lo, hi = np.searchsorted(high, of[0] - radius), np.searchsorted(high, of[-1] + radius, "right")
+    upper = lambda x: np.bitwise_count(x[:, 0] >> np.uint64(32)).astype(np.int64)
+    at_left = np.argsort(upper(left), kind="stable")
+    at_right = at_left if right is None else np.argsort(upper(right), kind="stable")
+    a, b = left[at_left], (left if right is None else right)[at_right]
+    shift = 0 if right is None else len(left)
+    high_a, high_b = upper(a), upper(b)
+    first = b[:, 0].copy()
+    parent = np.arange(shift + len(b))
+    for k in range(0, len(a), block):
+        rows = a[k : k + block, 0]
+        lo = np.searchsorted(high_b, high_a[k] - radius)
+        hi = np.searchsorted(high_b, high_a[min(k + block, len(a)) - 1] + radius, "right")
         lo = max(lo, k) if right is None else lo
         for c in range(lo, hi, 8192):
-            near = np.bitwise_count(rows[:, None] ^ other[None, c : min(hi, c + 8192)]) <= radius
-            i, j = np.nonzero(near)
+            i, j = np.nonzero(np.bitwise_count(rows[:, None] ^ first[None, c : min(hi, c + 8192)]) <= radius)
+            if whole is not None and len(i):
+                apart = np.bitwise_count(a[i + k] ^ b[j + c]).sum(1, dtype=np.int64)
+                i, j = i[apart <= whole], j[apart <= whole]
             if len(i):
                 _unite(parent, i + k, j + c + shift)
     while not np.array_equal(parent, parent[parent]):
         parent = parent[parent]
     child = np.nonzero(parent != np.arange(len(parent)))[0]
-    return nodes[parent[child]], nodes[child]
+    names = at_left if right is None else np.concatenate([at_left, at_right + shift])
+    return names[parent[child]], names[child]
 
 
-def near_links(groups: DataFrame, radius: int = RADIUS, tile: int = 16384) -> DataFrame:
-    """Links (u, v) that connect the distinct fingerprints fp of `groups` just as all pairs within the radius do.
+def near_links(groups: DataFrame, radius: int = RADIUS, tile: int = 16384, whole: int | None = None) -> DataFrame:
+    """Links (u, v) of nodes that connect the distinct fingerprints of groups(node, fp, more) just as all near pairs do.
 
     Fingerprints are dealt by hash into tiles of about `tile`, each of one bit count. Only tiles whose bit counts differ by
     the radius at most are paired, as a join of tile keys; each pair of tiles is one row of a mapInArrow. At most 65
@@ -96,30 +116,30 @@ def near_links(groups: DataFrame, radius: int = RADIUS, tile: int = 16384) -> Da
     """
     ones = F.bit_count("fp")
     sizes = {r[0]: r[1] for r in groups.groupBy(ones.alias("p")).count().collect()}
-    if not sizes:
-        return groups.select(F.col("fp").alias("u"), F.col("fp").alias("v"))
     chunks = [-(-sizes.get(p, 0) // tile) for p in range(65)]
     n_chunks = F.element_at(F.array(*map(F.lit, chunks)), F.col("p") + 1)
     tiles = checkpointed(
-        groups.select("fp", ones.alias("p"))
-        .withColumn("c", F.pmod(F.xxhash64("fp"), n_chunks).cast("int"))
-        .groupBy("p", "c").agg(F.collect_list("fp").alias("fps"))
+        groups.select("node", "fp", "more", ones.alias("p"))
+        .withColumn("c", F.pmod(F.xxhash64("fp", "node"), n_chunks).cast("int"))
+        .groupBy("p", "c").agg(F.collect_list(F.struct("node", F.array_prepend("more", F.col("fp")).alias("parts"))).alias("tile"))
     )
-    key = tiles.select("p", "c")
     partner = F.explode(F.sequence("p", F.least(F.lit(64), F.col("p") + radius))).alias("q")
-    pairs = key.select("p", "c", partner).withColumn("n", F.element_at(F.array(*map(F.lit, chunks)), F.col("q") + 1))
+    pairs = tiles.select("p", "c", partner).withColumn("n", F.element_at(F.array(*map(F.lit, chunks)), F.col("q") + 1))
     pairs = pairs.where("n > 0").withColumn("d", F.explode(F.expr("sequence(0, n - 1)"))).where("q > p or d >= c").select("p", "c", "q", "d")
     n_pairs = sum(chunks[p] * chunks[q] if q > p else chunks[p] * (chunks[p] + 1) // 2 for p in range(65) for q in range(p, min(65, p + radius + 1)))
-    other = tiles.select(F.col("p").alias("q"), F.col("c").alias("d"), F.col("fps").alias("others"))
+    other = tiles.select(F.col("p").alias("q"), F.col("c").alias("d"), F.col("tile").alias("other"))
     met = pairs.join(tiles, ["p", "c"]).join(other, ["q", "d"])
-    met = met.select(F.expr("p = q and c = d").alias("own"), "fps", "others").repartition(max(parallelism(groups), n_pairs // 32))
+    met = met.select(F.expr("p = q and c = d").alias("own"), "tile", "other").repartition(max(parallelism(groups), n_pairs // 32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for own, x, y in zip(b["own"], b["fps"], b["others"]):
-                x, y = (z.values.to_numpy(zero_copy_only=False).view(np.uint64) for z in (x, y))
-                u, v = forest(x, None if own.as_py() else y, radius)
-                yield pa.record_batch({"u": pa.array(u.view(np.int64)), "v": pa.array(v.view(np.int64))})
+            for k in range(b.num_rows):
+                x, y = (b[c][k].values for c in ("tile", "other"))
+                own = b["own"][k].as_py()
+                x, y = ((z.field("node").to_numpy(), z.field("parts").flatten().to_numpy().view(np.uint64).reshape(len(z), -1)) for z in (x, y))
+                nodes = x[0] if own else np.concatenate([x[0], y[0]])
+                u, v = forest(x[1], None if own else y[1], radius, whole=whole)
+                yield pa.record_batch({"u": pa.array(nodes[u]), "v": pa.array(nodes[v])})
 
     return met.mapInArrow(run, "u long, v long")
 
@@ -132,8 +152,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns are ignored.
     """
     fps = checkpointed(fingerprints(docs, id_col, text_col, shingle))
-    groups = checkpointed(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = connected(near_links(groups, radius, tile))
+    groups = checkpointed(fps.groupBy("fp", "more").agg(F.min("doc_id").alias("first_id")))
+    roots = connected(near_links(groups.withColumn("node", F.col("fp")), radius, tile))
     rooted = groups.join(roots.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left")
     rooted = rooted.select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -141,7 +161,27 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """`docs` with the smallest doc_id of each near-duplicate group. Rows of one doc_id stay or go together; rows with a null doc_id stay."""
-    goes = components(docs, id_col, **options).where("component_id < doc_id").select(F.col("doc_id").alias(id_col)).distinct()
+#: For similarity: parts of a fingerprint, and the bits by which the first part and all parts may differ. Two texts
+#: that share 8 of 10 distinct shingles differ in 15 % of the bits on average, unrelated ones in half.
+PARTS, FIRST_RADIUS, WHOLE_RADIUS = 4, 18, 47
+
+
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, tile: int = 16384) -> DataFrame:
+    """(doc_id, component_id) of every row with an id: groups of texts whose word shingles are similar by about 0.8 or more.
+
+    Fingerprints have four parts, so that the share of differing bits tells the similarity to a few hundredths: the
+    first part is compared between all tiles, the others where it is near. Texts without words are one group. Rows
+    with a null id are left out.
+    """
+    fps = checkpointed(fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle, PARTS))
+    groups = checkpointed(fps.groupBy("fp", "more").agg(F.min("doc_id").alias("node")))
+    roots = connected(near_links(groups, FIRST_RADIUS, tile, WHOLE_RADIUS))
+    rooted = groups.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
+    rooted = rooted.select("fp", "more", F.coalesce("root", "node").alias("component_id"))
+    return fps.join(rooted, ["fp", "more"]).select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
+    """`docs` with the smallest doc_id of each group of similar texts. Rows of one id stay or go together; those with a null id stay."""
+    goes = similar(docs, id_col, text_col, shingle).where("component_id < doc_id").select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(goes, id_col, "left_anti").select(*docs.columns)

@@ -64,18 +64,46 @@ def test_forest_links_what_all_pairs_link():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 40, dtype=np.uint64)
     x = np.unique(np.concatenate([base, *(base ^ (np.uint64(1) << rng.integers(0, 64, 40, dtype=np.uint64)) for _ in range(20))]))
-    u, v = simhash.forest(x, None, block=16)
-    label = {int(f): int(f) for f in x}
-
-    def root(f):
-        while label[f] != f:
-            f = label[f]
-        return f
-
-    for a, b in zip(u.tolist(), v.tolist()):
-        label[root(a)] = root(b)
-    assert len(u) < len(x)
-    for a in x.tolist():
-        for b in x.tolist():
-            if (a ^ b).bit_count() <= 4:
-                assert root(a) == root(b)
+    rng.shuffle(x)
+    for cut in (len(x), 300):
+        u, v = simhash.forest(x[:cut, None], x[cut:, None] if cut < len(x) else None, block=16)
+        label = list(range(len(x)))
+
+        def root(f):
+            while label[f] != f:
+                f = label[f]
+            return f
+
+        for a, b in zip(u.tolist(), v.tolist()):
+            label[root(a)] = root(b)
+        assert len(u) < len(x)
+        for a in range(len(x)):
+            for b in range(len(x)):
+                if (int(x[a]) ^ int(x[b])).bit_count() <= 4 and (a < cut) != (b < cut) | (cut == len(x)):
+                    assert root(a) == root(b)
+
+
+def shingles(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def test_similar_texts_are_grouped(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(60, 300)))) for i in range(120)]
+    for i in range(120, 360):
+        origin = rng.randrange(120)
+        text = rows[origin][1].split()
+        for _ in range(max(1, len(text) // 60)):
+            text[rng.randrange(len(text))] = "changed"
+        rows.append((i, " ".join(text)))
+    groups = {r.doc_id: r.component_id for r in simhash.similar(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA), tile=64).collect()}
+    wrong = near = 0
+    for i, a in rows:
+        for j, b in rows[:120]:
+            shared = len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+            near += i != j and shared >= 0.8
+            wrong += shared >= 0.85 and groups[i] != groups[j]
+            assert shared > 0.3 or groups[i] != groups[j]
+    assert near > 100 and wrong <= 2
