@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, quality, sentence_spans, sentencepieces, simhash, toxicity, warc
+from . import decontaminate, lines, pii, quality, sentence_spans, sentencepieces, simhash, toxicity, warc
 from .common import table
 
 
@@ -16,6 +16,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: The key of the registered query; a real job passes its own secret.
+PII_KEY = "lakeshore public demonstration key"
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masked = pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    of_kind = [F.size(F.filter("_pii", lambda m, k=kind: m["kind"] == k)).alias(f"n_{kind}") for kind in pii.KINDS]
+    return masked.select("doc_id", *of_kind, "text")
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -51,7 +61,7 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.remove_repeats(docs).select("doc_id", F.col("_n_removed").alias("n_removed"), "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op6_decontaminate": op6_decontaminate, "op7_lines": op7_lines, "op8_toxicity": op8_toxicity, "op9_warc": op9_warc, "op10_sentence_spans": op10_sentence_spans}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op6_decontaminate": op6_decontaminate, "op7_lines": op7_lines, "op8_toxicity": op8_toxicity, "op9_warc": op9_warc, "op10_sentence_spans": op10_sentence_spans}
 
 ORACLES: dict[str, str] = {
     "op7_lines": """
