@@ -1,0 +1 @@
+"""A PySpark library for a retailer's lakehouse: ingest, clean, classify, aggregate and report."""
