@@ -62,7 +62,13 @@ def replace_partitions(df: DataFrame, table: str, affected: DataFrame) -> None:
     new = _staged(df, table)
     empty = affected.join(new.select(*columns).distinct(), columns, "left_anti")
     gone = [r.asDict() for r in empty.collect()]  # partition values only
-    new.select(*spark.table(table).columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        new.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
     for values in gone:
         spec = ", ".join(f"{k} = {_literal(v)}" for k, v in values.items())
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")

@@ -57,7 +57,8 @@ def day_predicates(day: str, columns: tuple[str, ...], parts: int = 1, part_colu
 def read_jdbc_incremental(spark: SparkSession, url: str, table: str, day: str, date_cols: tuple[str, ...] = ("updated_at", "created_at"), parts: int = 1, part_column: str | None = None, properties: dict[str, str] | None = None) -> DataFrame:
     """The rows of a database table that changed on a day (yyyy-MM-dd), cast to its declared schema if it has one.
 
-    The conditions run in the database; each is a partition of the read.
+    The conditions run in the database; each is a partition of the read. Columns are named as the database needs them,
+    in quotes where it folds case.
     """
     df = spark.read.jdbc(url, table, predicates=day_predicates(day, date_cols, parts, part_column), properties=properties or {})
     lower = df.toDF(*[c.lower() for c in df.columns])

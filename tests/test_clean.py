@@ -1,0 +1,169 @@
+"""Edge rows of cleaning and classification."""
+
+import datetime as dt
+
+import pytest
+from lakeshore.functions import clean
+from lakeshore.operators import quality, upsert
+from lakeshore.operators.layout import compact, interleaved, zorder
+from lakeshore.operators.rows import latest, observed
+from lakeshore.plans import bronze, gold, silver
+from lakeshore.streaming import events as stream
+from pyspark.sql import functions as F
+
+
+def values(spark, schema, rows, column):
+    return [r.x for r in spark.createDataFrame(list(enumerate(rows)), f"i int, v {schema}").orderBy("i").select(column.alias("x")).collect()]
+
+
+def test_text(spark):
+    v = F.col("v")
+    assert values(spark, "string", ["  Red   SHIRT\t x ", None, ""], clean.keyword(v)) == ["red shirt x", None, ""]
+    assert values(spark, "string", [None, "12", "123", "0123456789"], clean.masked(v)) == [None, "12", "123", "xxxxxxx789"]
+    assert values(spark, "string", [None, "", "no comma", "a, b , Hanoi "], clean.city(v)) == ["unknown", "", "no comma", "Hanoi"]
+    assert values(spark, "int", [1, 2, 0, None], clean.gender(v)) == ["M", "F", "O", "O"]
+    assert values(spark, "struct<a:string,b:string>", [(None, None), ("Le", None), (" Van  A", "Tran ")], clean.full_name(v.a, v.b)) == ["", "Le", "Van A Tran"]
+
+
+def test_numbers(spark):
+    v = F.col("v")
+    days = [-1, 0, 1, 3, 4, 7, 8, 14, 15, 28, 29]
+    assert values(spark, "int", days, clean.aging(v)) == ["<1", "<1", "<=3", "<=3", "<=7", "<=7", "<=14", "<=14", "<=28", "<=28", ">28"]
+    assert values(spark, "int", [0, 3], clean.ratio(F.lit(1), v)) == [None, 0.3333]
+    assert values(spark, "string", ["202401", "202403"], clean.month_before(v)) == ["202312", "202402"]
+    assert values(spark, "struct<a:int,b:int>", [(0, None), (None, 0), (1, 1), (None, None)], clean.failed(v.a, v.b)) == [True, True, False, False]
+
+
+RECORD = stream.RECORD.replace("key binary, value binary", "key string, value string")
+
+
+def parsed(spark, *values_):
+    rows = [(None, x, "t", 0, k, dt.datetime(2024, 1, 1, 0, k)) for k, x in enumerate(values_)]
+    return stream.parse_events(spark.createDataFrame(rows, RECORD), F.col("timestamp"))
+
+
+def event(uuid="'a'", no=5, ts=10, **more):
+    body = {"event_uuid": uuid, "event_id": no, "event_type": "'add_to_cart'", "timestamp": ts, "log_date": "'2024-01-05'", "created_at": "'2024-01-05T10:00:00'", "user_id": "'u1'", "metadata": "{'quantity': 2}"} | more
+    return "{" + ", ".join(f"'{k}': {v}" for k, v in body.items()).replace("'", '"') + "}"
+
+
+def test_records(spark):
+    rows = parsed(spark, event(), "{broken", event(unknown="1", metadata="{'quantity': 'many', 'product_id': 'p', 'other': 3}"), event(metadata="{}"), event(log_date="'soon'")).orderBy("_kafka_offset").collect()
+    assert [r.raw_metadata for r in rows] == ['{"quantity":2}', None, '{"product_id":"p"}', "{}", '{"quantity":2}']
+    assert rows[1].event_uuid is None and rows[4].log_date is None and str(rows[0].log_date) == "2024-01-05"
+
+
+def test_silver_events(spark):
+    raw = parsed(spark, event(), event(metadata="{'quantity': 9}"), event("null"), event("null"), event("'b'", ts=0), event("'c'", no=9), event("'d'", created_at="'never'"), event("'e'", ts="null"))
+    got = {r.event_uuid: r for r in silver.silver_events(raw, "cart").collect()}
+    assert set(got) == {"a", "d"} and got["a"].quantity == 9 and got["a"].trans_event_id == "20240105_u1_5"
+    assert got["d"].event_time is None
+    assert silver.silver_events(raw, "cart", "2024-01-05").count() == 2 and silver.silver_events(raw, "cart", "2024-01-06").count() == 0
+    cart = gold.gold_events(silver.silver_events(raw, "cart"), "cart").collect()
+    assert [(r.event_count, r.qty_added, r.qty_removed) for r in cart] == [(2, 11, 0)]
+
+
+ORDER = "transaction_id string, branch_id string, transaction_datetime timestamp_ntz, payment_type string, trans_total_amount decimal(15,2), customer_id string, order_status string, created_at timestamp_ntz, updated_at timestamp_ntz"
+
+
+def order(no, day, customer="c1", status="I", updated=None, amount="10.00"):
+    from decimal import Decimal
+
+    at = dt.datetime.fromisoformat(day)
+    return (str(no), "b1", at, "cash", Decimal(amount), customer, status, at, dt.datetime.fromisoformat(updated) if updated else at)
+
+
+def history(spark, *orders):
+    return bronze.unify_transactions(spark.createDataFrame(list(orders), ORDER), spark.createDataFrame([], ORDER))
+
+
+ORDERS = [
+    order(1, "2023-12-30T08:00"), order(2, "2023-12-30T09:00"), order(3, "2024-01-02"), order(4, "2024-02-01"), order(5, "2024-04-10"), order(6, "2024-04-11"),
+    order(7, "2024-01-05", None), order(8, "2024-01-31", "c2"), order(9, "2024-05-01", "c2"), order(10, "2024-02-29", "c3"), order(11, "2024-03-01", "c3"),
+]
+
+
+def test_user_types(spark):
+    got = {r.trans_id: (r.user_type, r.NOU) for r in silver.classify_history(history(spark, *ORDERS)).collect()}
+    by_no = {k.split("_")[-1]: v for k, v in got.items()}
+    assert by_no == {"1": (1, 1), "2": (1, 0), "3": (2, 0), "4": (2, 0), "5": (3, 0), "6": (3, 0), "7": (None, 0), "8": (1, 1), "9": (3, 0), "10": (1, 1), "11": (2, 0)}
+    assert "20240105_7" in got
+
+
+def test_daily_runs_equal_the_backfill(spark):
+    registry = spark.createDataFrame([], "customer_id string, nou_ymd string, ym string")
+    rows = []
+    done = []
+    for month in ("2023-12", "2024-01", "2024-02", "2024-03", "2024-04", "2024-05"):
+        part = [o for o in ORDERS if o[2].isoformat().startswith(month)]
+        if part:
+            batch = history(spark, *part)
+            registry = spark.createDataFrame(silver.updated_registry(registry, batch).collect(), registry.schema)
+            prior = spark.createDataFrame([(r.customer_id, r.ym) for r in rows], "customer_id string, ym string")
+            rows += silver.classify_transactions(batch, registry, prior).collect()
+            done += part
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, silver.classify_history(history(spark, *ORDERS)).collect()), key=str)
+
+
+def test_snapshots_of_one_order(spark):
+    got = silver.dedup_transactions(history(spark, order(1, "2024-01-01", status="W"), order(1, "2024-01-01", status="I", updated="2024-01-05"), order(2, "2024-01-01"), order(2, "2024-01-01")))
+    assert sorted((r.transaction_id, r.order_status) for r in got.collect()) == [("1", "I"), ("2", "I")]
+
+
+def test_gold_snapshot(spark):
+    rows = [
+        order(1, "2024-01-01", status="W"), order(2, "2024-01-20", status="O"), order(3, "2024-01-01", status="I", updated="2024-01-10T12:00"), order(4, "2024-01-01", status="I", updated="2024-01-11"),
+        order(5, "2024-01-01", status="F", updated="2024-01-10"), order(6, "2024-01-01", status=None, updated="2024-01-10"), order(7, "2024-01-09", status="C", updated="2024-01-10"), order(8, "2024-01-10", status="D"),
+    ]
+    prepared = gold.prepare_snapshot(silver.classify_history(history(spark, *rows)), "2024-01-10")
+    assert sorted((r.trans_id[-1], r.diff_date, r.aging_category) for r in prepared.collect()) == [("1", 9, "<=14"), ("3", 9, "<=14"), ("7", 1, "<=3"), ("8", 0, "<1")]
+    sales = gold.daily_customer_sales(prepared).collect()
+    assert [(r.processing_orders, r.recognized_orders, r.returned_orders, r.cancelled_orders, str(r.processing_rev)) for r in sales] == [(2, 1, 0, 1, "20.00")]
+
+
+def test_latest_and_observed(spark):
+    df = spark.createDataFrame([(1, "a", 3), (1, "b", 3), (None, "c", 1), (None, "d", 2)], "k int, v string, t int")
+    got = latest(df, ["k"], F.col("t").desc(), F.col("v"))
+    assert sorted(r.v for r in got.collect()) == ["a", "d"]
+    seen, counter = observed(df, "rows")
+    seen.collect()
+    assert counter.get == {"n_rows": 4}
+
+
+def test_upserts(spark):
+    new = lambda *rows: spark.createDataFrame(list(rows), "k string, v int, made int")
+    old, source = new(("a", 1, 1), ("b", 1, 1), (None, 1, 1)), new(("b", 2, 2), ("c", 2, 2), (None, 2, 2))
+    rows = lambda df: sorted((str(r.k), r.v, r.made) for r in df.collect())
+    assert rows(upsert.upsert(old, source, ["k"])) == [("None", 1, 1), ("None", 2, 2), ("a", 1, 1), ("b", 1, 1), ("c", 2, 2)]
+    assert rows(upsert.upsert(old, source, ["k"], update=True)) == [("None", 1, 1), ("None", 2, 2), ("a", 1, 1), ("b", 2, 2), ("c", 2, 2)]
+    assert rows(upsert.upsert(old, source, ["k"], update=True, keep=("made",))) == [("None", 1, 1), ("None", 2, 2), ("a", 1, 1), ("b", 2, 1), ("c", 2, 2)]
+    assert rows(upsert.upsert(old, source.limit(0), ["k"], update=True)) == rows(old)
+    assert [tuple(r) for r in upsert.repeated_keys(new(("x", 1, 1), ("x", 2, 1), (None, 1, 1), (None, 1, 1)), ["k"]).collect()] == [("x", 2)]
+    kinds = sorted((r._change, r.k) for r in upsert.change_feed(old.na.drop(), source.na.drop(), ["k"]).collect())
+    assert kinds == [("delete", "a"), ("insert", "c"), ("update_postimage", "b"), ("update_preimage", "b")]
+
+
+def test_rules(spark):
+    df = spark.createDataFrame([("W", 1), ("X", 1), (None, 9)], "order_status string, n int")
+    rules = {"status": "order_status IN ('W', 'I')", "small": "n < 5"}
+    assert {r.rule: r.n_violations for r in quality.violations(df, rules).collect()} == {"status": 1, "small": 1}
+    assert {r.rule: r.n_violations for r in quality.violations(df.limit(0), rules).collect()} == {"status": 0, "small": 0}
+    good, bad = quality.quarantine(df, rules)
+    assert good.count() == 1 and sorted(r._broken[0] for r in bad.collect()) == ["small", "status"]
+    with pytest.raises(Exception, match="constraint"):
+        quality.enforced(df, rules).collect()
+    assert quality.enforced(good, rules).count() == 1
+
+
+def test_layout(spark, tmp_path):
+    df = spark.range(4096).select((F.col("id") % 64).alias("x"), F.floor(F.col("id") / 64).alias("y"))
+    at = str(tmp_path / "z")
+    zorder(df, ["x", "y"], 16).write.parquet(at)
+    spans = spark.read.parquet(at).groupBy(F.input_file_name()).agg(*[(F.max(c) - F.min(c)).alias(c) for c in "xy"]).collect()
+    assert spark.read.parquet(at).count() == 4096 and len(spans) > 8
+    # Without clustering on a column every file would span nearly all of its 64 values.
+    assert all(sum(s[c] for s in spans) / len(spans) < 32 for c in "xy")
+    two = spark.range(8).select(interleaved([F.col("id"), F.lit(7)], 3).alias("z"))
+    assert sorted(r.z for r in two.collect()) == [42, 43, 46, 47, 58, 59, 62, 63]
+    assert compact(df, 1000, 300).rdd.getNumPartitions() == 4
+    assert zorder(df.limit(0), ["x"], 4).count() == 0 and compact(df, 10, 3, ["x"]).count() == 4096
