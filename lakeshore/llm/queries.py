@@ -81,6 +81,27 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, (len(string_split(d.text, chr(10))) - coalesce(j.n, 0))::INT AS n_removed, coalesce(j.text, '') AS text
         FROM documents d LEFT JOIN joined j ON d.doc_id = j.doc_id
     """,
+    "op10_sentence_spans": r"""
+        WITH s AS (
+            SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i
+            FROM (SELECT doc_id, list_filter(string_split(regexp_replace(text, '([.!?]\s+|\s*\n\s*)', '\1' || chr(31), 'g'), chr(31)), lambda x: x <> '') AS parts FROM documents)
+        ),
+        w AS (SELECT *, regexp_extract_all(part, '\S+') AS words FROM s),
+        f AS (
+            SELECT doc_id, i, len(words) AS n, array_to_string(words, ' ') AS t, lead(i) OVER d AS j, lead(len(words)) OVER d AS n2, lead(array_to_string(words, ' ')) OVER d AS t2
+            FROM w WHERE len(words) > 0 WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+        ),
+        spans AS (
+            SELECT doc_id, i AS a, i AS z, t AS span FROM f WHERE n >= 20
+            UNION ALL SELECT doc_id, i, j, t || chr(30) || t2 FROM f WHERE n + n2 >= 12
+        ),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY span ORDER BY doc_id, a) AS place FROM spans),
+        gone AS (SELECT DISTINCT s.doc_id, s.i FROM placed p JOIN s ON p.doc_id = s.doc_id AND s.i BETWEEN p.a AND p.z WHERE place > 1),
+        kept AS (SELECT s.doc_id, string_agg(s.part, '' ORDER BY s.i) AS text, count(*) AS n FROM s ANTI JOIN gone g ON s.doc_id = g.doc_id AND s.i = g.i GROUP BY s.doc_id),
+        had AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id)
+        SELECT d.doc_id, (coalesce(h.n, 0) - coalesce(k.n, 0))::INT AS n_removed, coalesce(k.text, '') AS text
+        FROM documents d LEFT JOIN had h ON d.doc_id = h.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+    """,
     "op9_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         h AS (SELECT page_id, strlen(html) AS n, sha1(html) AS hex FROM p),
