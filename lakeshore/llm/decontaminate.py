@@ -19,7 +19,7 @@ RARE_SHARE, RELATIVE = 0.05, 3
 LEAST_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: So many benchmark words at most are sent to the executors at once; a larger benchmark takes several passes.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 200_000
 _words = re.compile(r"\w+").findall
 
 
