@@ -12,17 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-KINDS = ("email", "date", "ssn", "ip", "card", "phone")
+KINDS = ("email", "iban", "date", "ssn", "ip", "card", "phone")
 
 # One pattern finds candidates of all kinds; each is then validated.
 _EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+_IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
 _ISO, _DAY_FIRST = r"\d{4}-\d{2}-\d{2}", r"\d{2}[./]\d{2}[./]\d{4}"
 _SSN = r"\d{3}-\d{2}-\d{4}"
 _IP = r"\d{1,3}(?:\.\d{1,3}){3}"
 _CARD = r"\d(?:[ -]?\d){12,18}"
 _NANP = r"(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]?\d{4}"
 _PHONE = r"\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}"
-PATTERN = rf"(?<![\p{{L}}\p{{N}}_@.+%-])(?:{_EMAIL}|{_ISO}|{_DAY_FIRST}|{_SSN}|{_IP}|{_CARD}|{_NANP}|{_PHONE})(?![\p{{L}}\p{{N}}_@])(?!\.\p{{N}})"
+PATTERN = rf"(?<![\p{{L}}\p{{N}}_@.+%-])(?:{_EMAIL}|{_IBAN}|{_ISO}|{_DAY_FIRST}|{_SSN}|{_IP}|{_CARD}|{_NANP}|{_PHONE})(?![\p{{L}}\p{{N}}_@])(?!\.\p{{N}})"
 
 # Days of 400 years, 189 times 773; the first is 1800-01-01.
 _EPOCH = (189, 773)
@@ -95,6 +96,48 @@ def _card(key: str, x: Column) -> Column:
     return _refill(x, F.concat(body, check.cast("string")))
 
 
+def _mod97(x: Column) -> Column:
+    """Remainder of a string of digits and capitals, A counting as 10 to Z as 35."""
+
+    def step(s: Column, c: Column) -> Column:
+        return F.when(c.rlike("^[0-9]$"), (s * 10 + c.try_cast("int")) % 97).otherwise((s * 100 + F.ascii(c) - 55) % 97)
+
+    return F.aggregate(F.split(x, ""), F.lit(0), step)
+
+
+def _bare(x: Column) -> Column:
+    return F.replace(x, F.lit(" "), F.lit(""))
+
+
+def _valid_iban(x: Column) -> Column:
+    bare = _bare(x)
+    return (F.length(bare) >= 15) & (_mod97(F.concat(F.substring(bare, F.lit(5), F.length(bare)), F.substring(bare, 1, 4))) == 1)
+
+
+def _iban(key: str, x: Column) -> Column:
+    # The last digits of the account (18 at most) are permuted, letters and country stay, the check digits follow.
+    bare = _bare(x)
+    account = F.substring(bare, F.lit(5), F.length(bare))
+    digits = _digits(account)
+    kept = F.greatest(F.length(digits) - 18, F.lit(0))
+    moved = F.concat(F.substring(digits, F.lit(1), kept), permuted_digits(key, "iban", F.substring(digits, kept + 1, F.length(digits))))
+    new = F.when(F.length(digits) > 0, _refill(account, moved)).otherwise(account)
+    country = F.substring(bare, 1, 2)
+    check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
+    return F.concat(country, _respaced(F.substring(x, F.lit(3), F.length(x)), F.concat(check, new)))
+
+
+def _respaced(shape: Column, text: Column) -> Column:
+    """`text` with spaces where `shape` has them."""
+    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("i"))
+
+    def step(s: Column, c: Column) -> Column:
+        letter = F.struct(F.concat(s["out"], F.substring(text, s["i"], F.lit(1))).alias("out"), (s["i"] + 1).alias("i"))
+        return F.when(c == " ", F.struct(F.concat(s["out"], c).alias("out"), s["i"].alias("i"))).otherwise(letter)
+
+    return F.aggregate(F.split(shape, ""), start, step, lambda s: s["out"])
+
+
 def _phone(key: str, x: Column) -> Column:
     digits = _digits(x)
     last = F.substring(digits, F.length(digits) - 9, F.lit(10))
@@ -144,7 +187,7 @@ def _email(key: str, x: Column) -> Column:
     return F.concat(F.lit("user-"), F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(x)), 256), 1, 16), F.lit("@example.org"))
 
 
-_PSEUDONYM: dict[str, Callable[[str, Column], Column]] = {"email": _email, "date": _date, "ssn": _ssn, "ip": _ip, "card": _card, "phone": _phone}
+_PSEUDONYM: dict[str, Callable[[str, Column], Column]] = {"email": _email, "iban": _iban, "date": _date, "ssn": _ssn, "ip": _ip, "card": _card, "phone": _phone}
 
 
 def kind_of(x: Column) -> Column:
@@ -154,6 +197,7 @@ def kind_of(x: Column) -> Column:
     valid_ssn = ~F.substring(x, 1, 3).isin("000", "666") & (F.substring(x, 1, 1) != "9") & (F.substring(x, 5, 2) != "00") & (F.substring(x, 8, 4) != "0000")
     return (
         F.when(x.contains("@"), "email")
+        .when(x.rlike(f"^{_IBAN}$"), F.when(_valid_iban(x), F.lit("iban")))
         .when(x.rlike(f"^(?:{_ISO}|{_DAY_FIRST})$"), F.when(_as_date(x).isNotNull(), F.lit("date")))
         .when(x.rlike(f"^{_SSN}$"), F.when(valid_ssn, F.lit("ssn")))
         .when(x.rlike(f"^{_IP}$"), F.when((octets[0] <= 255) & (octets[1] <= 255) & (octets[2] <= 255) & (octets[3] <= 255), F.lit("ip")))

@@ -69,6 +69,21 @@ def test_kinds_and_formats(spark):
     assert out == expected
 
 
+def mod97(x):
+    return int("".join(str(int(c, 36)) for c in x)) % 97
+
+
+def test_ibans(spark):
+    texts = ["pay DE89 3704 0044 0532 0130 00 now", "GB82WEST12345698765432", "DE88370400440532013000", "FR1420041010050500013M02606"]
+    got = masked(spark, *texts)
+    assert [[k for k, *_ in found] for _, found in got] == [["iban"], ["iban"], [], ["iban"]]
+    for text, found in got:
+        for _, old, new in found:
+            bare = new.replace(" ", "")
+            assert mod97(bare[4:] + bare[:4]) == 1 and new != old and new in text
+            assert [c.isdigit() for c in new] == [c.isdigit() for c in old] and new[:2] == old[:2]
+
+
 def test_invalid_values_stay(spark):
     text = "4539148803436468 300.1.1.1 1999-02-30 666-12-3456 000-12-3456 v1.2.3.4.5 12345 a@b 1234567890123456789012 x@y"
     assert masked(spark, text, None, "", "no digits") == [(text, []), (None, []), ("", []), ("no digits", [])]
