@@ -40,6 +40,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores before it while the frame has such a column."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def parallelism(df: DataFrame) -> int:
     return max(2 * df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 

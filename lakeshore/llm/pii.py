@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 ROUNDS = 8
 KINDS = ("email", "iban", "date", "ssn", "ip", "card", "phone")
 
@@ -210,9 +212,10 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     """`docs` with every personal value of the text replaced, and _pii: an array of (kind, value, pseudonym) in the order of the text.
 
     Values that look like a kind but aren't valid (Luhn sum, octets, calendar, area) stay. Null texts stay null with an
-    empty array. Other columns, null and repeated rows pass through; columns called _pii or _parts are replaced.
+    empty array. Other columns, null and repeated rows pass through; a column called _pii is replaced.
     """
-    base = docs.drop("_pii", "_parts")
+    base = docs.drop("_pii")
+    parts = free_name(base, "_parts")
     found = F.when(F.col(text_col).rlike("[0-9@]"), F.regexp_extract_all(text_col, F.lit(PATTERN), F.lit(0)))
     kinds = F.transform(F.col("_pii"), lambda x: F.struct(kind_of(x).alias("kind"), x.alias("value")))
 
@@ -224,9 +227,9 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
 
     has = F.size("_pii") > 0
     staged = base.withColumn("_pii", F.coalesce(found, F.array().cast("array<string>")))
-    staged = staged.withColumn("_parts", F.when(has, F.split(text_col, PATTERN, -1)))
+    staged = staged.withColumn(parts, F.when(has, F.split(text_col, PATTERN, -1)))
     staged = staged.withColumn("_pii", F.transform(kinds, new))
-    ends = F.zip_with(F.transform("_pii", lambda m: m["pseudonym"]), F.slice("_parts", F.lit(2), F.size("_pii")), lambda a, b: F.concat(a, b))
-    text = F.when(has, F.concat(F.col("_parts")[0], F.array_join(ends, ""))).otherwise(F.col(text_col))
+    ends = F.zip_with(F.transform("_pii", lambda m: m["pseudonym"]), F.slice(parts, F.lit(2), F.size("_pii")), lambda a, b: F.concat(a, b))
+    text = F.when(has, F.concat(F.col(parts)[0], F.array_join(ends, ""))).otherwise(F.col(text_col))
     valid = F.filter("_pii", lambda m: m["kind"].isNotNull())
     return staged.select(*[text.alias(c) if c == text_col else staged[c] for c in base.columns], valid.alias("_pii"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import free_name, slices
 
 #: A span is RUN consecutive sentences with LEAST_WORDS words at least, or one sentence with LONG_SENTENCE words.
 RUN, LEAST_WORDS, LONG_SENTENCE = 2, 12, 20
@@ -77,20 +77,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """`docs` with the sentences of every non-first repeated span cut from the text, and _n_removed, their number.
 
     Null and empty texts stay as they are, with 0. Rows with the same id and the same text are one document: their spans
-    count once and they are cut alike. A column that is called _n_removed or _version already is replaced.
+    count once and they are cut alike. A column that is called _n_removed already is replaced.
     """
-    base = docs.drop("_version", "_n_removed", "_cut")
-    cuts = repeated_spans(docs, id_col, text_col, run, least, long)
-    cuts = cuts.groupBy("doc_id", "_version").agg(F.collect_set(F.struct("first", "n")).alias("_cut"))
-    keyed = base.withColumn("_version", _key(text_col))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("doc_id_")) & (F.col("_version") == F.col("version_"))
-    joined = keyed.join(cuts.select(F.col("doc_id").alias("doc_id_"), F.col("_version").alias("version_"), "_cut"), same, "left").drop("doc_id_", "version_", "_version")
+    base = docs.drop("_n_removed")
+    of, id_, cut_ = (free_name(base, x) for x in ("_of", "_doc", "_cut"))
+    cuts = repeated_spans(docs, id_col, text_col, run, least, long).groupBy(F.col("doc_id").alias(id_), F.col("_version").alias(of))
+    cuts = cuts.agg(F.collect_set(F.struct("first", "n")).alias(cut_))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64(text_col) == F.col(of))
+    joined = base.join(cuts, same, "left").drop(id_, of)
     names = base.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, text_col):
             texts, removed = b[text_col].to_pylist(), [0] * b.num_rows
-            for k, cut in enumerate(b["_cut"].to_pylist()):
+            for k, cut in enumerate(b[cut_].to_pylist()):
                 if cut:
                     gone = {i for c in cut for i in range(c["first"], c["first"] + c["n"])}
                     texts[k], removed[k] = "".join(x for i, x in enumerate(sentences(texts[k])) if i not in gone), len(gone)

@@ -130,6 +130,6 @@ def test_edges(spark):
     long = "x 227.5.221.1 y " * 20000
     rows = spark.createDataFrame([(None, long, "x"), (None, long, "y"), (2, None, None)], SCHEMA)
     got = pii.pseudonymize(rows, KEY)
-    assert got.columns == ["doc_id", "text", "_pii"]
+    assert got.columns == ["doc_id", "text", "_parts", "_pii"]
     assert sorted((len(r._pii), (r.text or "").count(plain_ip("227.5.221.1"))) for r in got.collect()) == [(0, 0), (20000, 20000), (20000, 20000)]
     assert pii.pseudonymize(rows.limit(0), KEY).count() == 0

@@ -56,3 +56,27 @@ def test_stages_keep_the_columns(spark, sf):
         assert stage(spark, docs, sf).columns == docs.columns
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), sf).count() == 0
+
+
+def test_stages_on_edge_rows(spark, sf):
+    """Nulls in every column, empty and long texts, repeated rows, and columns named as the operators' own."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _gone string, _id string, _cut string, fp string, score string, h string"
+    rest = ("g", "i", "c", "f", "s", "h")
+    rows = [(1, "a b c", "en", "s1", 5), (1, "a b c", "en", "s1", 5), (2, None, None, None, None), (None, "q r", "en", None, 3), (None, None, None, None, None), (3, "", "en", "s2", 0), (4, "word " * 50000, "en", "s3", 250000)]
+    docs = spark.createDataFrame([(*r, *rest) for r in rows], schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, sf)
+        assert got.columns == docs.columns
+        # Only near-dedup drops any: the empty text is a copy of the null one.
+        assert got.count() == (6 if name == "SimHash near-dedup" else 7), name
+        assert {r._gone for r in got.collect()} == {"g"}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == 7
+
+
+def test_operators_beside_columns_of_their_own_names(spark):
+    from lakeshore.llm import pii, sentence_spans
+
+    docs = spark.createDataFrame([(1, "from 227.5.221.1", "p", "c", "o", "d")], "doc_id long, text string, _parts string, _cut string, _of string, _doc string")
+    assert sentence_spans.remove_repeats(docs).columns == [*docs.columns, "_n_removed"]
+    got = pii.pseudonymize(docs, "k").first()
+    assert got._parts == "p" and len(got._pii) == 1

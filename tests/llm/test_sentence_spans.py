@@ -51,7 +51,7 @@ def test_against_brute_force(spark):
     rows = corpus()
     docs = spark.createDataFrame([(d, t, "clash", "clash") for d, t in [*rows, rows[5]]], SCHEMA)
     got = ss.remove_repeats(docs)
-    assert got.columns == ["doc_id", "text", "first", "_n_removed"]
+    assert got.columns == ["doc_id", "text", "first", "_version", "_n_removed"]
     want = plain(rows)
     expect = sorted(((d, *want[d, t]) for d, t in [*rows, rows[5]]), key=repr)
     assert sorted(((r.doc_id, r.text, r._n_removed) for r in got.collect()), key=repr) == expect
