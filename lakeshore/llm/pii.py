@@ -233,3 +233,8 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     text = F.when(has, F.concat(F.col(parts)[0], F.array_join(ends, ""))).otherwise(F.col(text_col))
     valid = F.filter("_pii", lambda m: m["kind"].isNotNull())
     return staged.select(*[text.alias(c) if c == text_col else staged[c] for c in base.columns], valid.alias("_pii"))
+
+
+def count_of(kind: str) -> Column:
+    """How many values of a kind _pii has."""
+    return F.size(F.filter("_pii", lambda m: m["kind"] == kind))

@@ -22,8 +22,7 @@ PII_KEY = "lakeshore public demonstration key"
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     masked = pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
-    of_kind = [F.size(F.filter("_pii", lambda m, k=kind: m["kind"] == k)).alias(f"n_{kind}") for kind in pii.KINDS]
-    return masked.select("doc_id", *of_kind, "text")
+    return masked.select("doc_id", *[pii.count_of(kind).alias(f"n_{kind}") for kind in pii.KINDS], "text")
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
