@@ -17,7 +17,7 @@ from .common import slices
 #: Size of the hash space, and the lengths of word beginnings that count as terms beside the word itself.
 SPACE, BEGINNINGS = 1 << 20, (4, 5, 6)
 #: At most so many labelled documents are fitted: those whose hashed ids are smallest.
-MOST_LABELS = 12_000
+MOST_LABELS = 6_000
 #: At most so many terms take part in the model, and so many factors describe each.
 MOST_TERMS, FACTORS = 4096, 8
 
