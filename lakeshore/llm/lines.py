@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import two_hashes
+from .common import checkpointed, free_name, two_hashes
 
 MIN_SITES = 10
 #: Estimates within this share of the threshold are replaced by exact counts; over ten standard errors at LG_K.
@@ -32,10 +32,12 @@ def boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = _lines(docs, id_col, text_col, site_col)
     sketched = lines.groupBy("h").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"), F.min("id").alias("first_id"))
     told = sketched.select("h", "first_id", F.coalesce(F.hll_sketch_estimate("sketch"), F.lit(0)).alias("about"))
-    told = told.where(F.col("about") >= min_sites * (1 - BAND))
+    # Few rows, written once: joins with them can then be dealt anew where a line is on many rows.
+    told = checkpointed(told.where(F.col("about") >= min_sites * (1 - BAND)))
     near = F.col("about") <= min_sites * (1 + BAND)
-    exact = lines.join(told.where(near).select("h"), "h").where("site is not null").groupBy("h").agg(F.countDistinct("site").alias("n_sites"))
-    checked = told.where(near).join(exact.where(F.col("n_sites") >= min_sites), "h").select("h", "first_id", "n_sites")
+    sites = lines.join(told.where(near).select("h"), "h").where("site is not null").select("h.a", "h.b", "site").distinct()
+    exact = sites.groupBy("a", "b").agg(F.count("*").alias("n_sites")).where(F.col("n_sites") >= min_sites)
+    checked = told.where(near).join(exact.select(F.struct("a", "b").alias("h"), "n_sites"), "h").select("h", "first_id", "n_sites")
     return told.where(~near).select("h", "first_id", F.lit(None).cast("long").alias("n_sites")).unionByName(checked)
 
 
@@ -46,13 +48,14 @@ def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     decided for the id, then cut from each of its rows. Null ids are one id, larger than all others. A column that is
     called _n_removed already is replaced.
     """
-    base = docs.drop("_n_removed", "_id", "_gone")
+    base = docs.drop("_n_removed")
+    id_, gone_ = free_name(base, "_id"), free_name(base, "_gone")
     found = boilerplate(docs, id_col, text_col, site_col, min_sites).select("h", "first_id")
     hits = _lines(docs, id_col, text_col, site_col).select("id", "h").join(found, "h").where(~F.col("id").eqNullSafe(F.col("first_id")))
-    gone = hits.groupBy(F.col("id").alias("_id")).agg(F.collect_set("h").alias("_gone"))
-    joined = base.join(gone, F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    gone = hits.groupBy(F.col("id").alias(id_)).agg(F.collect_set("h").alias(gone_))
+    joined = base.join(gone, F.col(id_col).eqNullSafe(F.col(id_)), "left")
     lines = F.split(text_col, "\n")
-    left = F.filter(lines, lambda x: (_line(x) == "") | ~F.array_contains(F.col("_gone"), two_hashes(_line(x))))
-    removed = F.when(F.col("_gone").isNull() | F.col(text_col).isNull(), 0).otherwise(F.size(lines) - F.size(left))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
+    left = F.filter(lines, lambda x: (_line(x) == "") | ~F.array_contains(F.col(gone_), two_hashes(_line(x))))
+    removed = F.when(F.col(gone_).isNull() | F.col(text_col).isNull(), 0).otherwise(F.size(lines) - F.size(left))
+    text = F.when(F.col(gone_).isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
     return joined.select(*[text.alias(c) if c == text_col else base[c] for c in base.columns], removed.alias("_n_removed"))
