@@ -17,15 +17,17 @@ PATTERN = rf"(?i)(?:\S{{1,40}}\s{{1,3}})?(?:\S{{0,40}}?\s{{0,3}}[=:]\s{{0,3}}[\"
 #: Words from which labels are made: before an assigned secret, and before a public digest or number.
 _SECRET_WORDS = r"(?i)(?:token|secret|passw|pwd|api.?key|access.?key|auth|credential)\S{0,20}\s{0,3}[=:]\s{0,3}[\"']?$"
 _PUBLIC_WORDS = r"(?i)(?:sha\d*|md5|commit|digest|checksum|hash|uuid|etag|revision|version|isbn|fingerprint)\S{0,4}\s{0,3}[=: ]?\s{0,3}[\"']?$"
+#: Host and file names.
+_NAME = r"^(?:[A-Za-z0-9_-]+[./])+[a-z]{2,6}$"
 #: Providers' formats, of which the form alone tells a secret.
 _KNOWN = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)$"
 
-#: At most so many labelled findings of each label are fitted, those with the smallest hashes.
+#: At most so many labelled findings of each label are fitted, those of which there are most, then by hash.
 MOST_LABELS = 5_000
 #: The dictionary: so many letter trigrams, those that the most words have.
 TRIGRAMS = 2_000
 BUCKETS = 8
-FEATURES = ["length", "transitions", "digits", "capitals", "distinct", "hexadecimal", "dictionary", "slashes", "dots", "path", "assigned", "quoted", *(f"word_{k}" for k in range(BUCKETS))]
+FEATURES = ["length", "transitions", "digits", "capitals", "distinct", "hexadecimal", "numeric", "dictionary", "slashes", "dots", "path", "assigned", "quoted", *(f"word_{k}" for k in range(BUCKETS))]
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -44,7 +46,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def label(candidate: Column, before: Column) -> Column:
     """1 for a finding that its form or an assignment tells to be a secret, 0 for one that is plainly none, else null."""
     no_digit = ~candidate.rlike("[0-9]")
-    return F.when(candidate.rlike(_KNOWN) | (before.rlike(_SECRET_WORDS) & ~no_digit), 1).when(no_digit | before.rlike(_PUBLIC_WORDS) | candidate.rlike("^[0-9.-]+$"), 0)
+    public = before.rlike(_PUBLIC_WORDS) | before.rlike("@$") | candidate.rlike("^[0-9.-]+$") | candidate.rlike(_NAME)
+    return F.when(candidate.rlike(_KNOWN) | (before.rlike(_SECRET_WORDS) & ~no_digit), 1).when(no_digit | public, 0)
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", size: int = TRIGRAMS) -> DataFrame:
@@ -75,6 +78,7 @@ def with_features(found: DataFrame, known: DataFrame) -> DataFrame:
         share("[A-Z]").alias("capitals"),
         (F.size(F.array_distinct(F.split(c, ""))) / n).alias("distinct"),
         c.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$").cast("double").alias("hexadecimal"),
+        c.rlike("^[0-9.-]+$").cast("double").alias("numeric"),
         "dictionary",
         share("/").alias("slashes"),
         share(r"\.").alias("dots"),
@@ -96,12 +100,14 @@ def fit(features: DataFrame, most_labels: int = MOST_LABELS) -> RandomForestClas
     stands before by their form.
     """
     told = features.withColumn("label", label(F.col("candidate"), F.col("before")).cast("double")).where("label is not null")
-    order = [F.xxhash64("candidate", "before"), F.col("candidate"), F.col("before")]
+    # What many findings are like counts more, so that a frequent look-alike of few forms isn't missed.
+    told = told.withColumn("weight", F.log1p("n_findings") if "n_findings" in told.columns else F.lit(1.0))
+    order = [F.desc("weight"), F.xxhash64("candidate", "before"), F.col("candidate"), F.col("before")]
     sample = checkpointed(told.where("label = 1").orderBy(*order).limit(most_labels).unionByName(told.where("label = 0").orderBy(*order).limit(most_labels)))
     if sample.select("label").distinct().count() < 2:
         return None
-    forest = RandomForestClassifier(numTrees=24, maxDepth=6, seed=7, featureSubsetStrategy="onethird", featuresCol="features", labelCol="label")
-    return forest.fit(_vectors(sample).select("features", "label"))
+    forest = RandomForestClassifier(numTrees=32, maxDepth=12, seed=7, featureSubsetStrategy="onethird", featuresCol="features", labelCol="label", weightCol="weight")
+    return forest.fit(_vectors(sample).select("features", "label", "weight"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_labels: int = MOST_LABELS) -> DataFrame:
@@ -111,7 +117,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_l
     texts have no candidates; null and repeated ids pass through, each row with its own; an empty table gives no rows.
     """
     found = checkpointed(candidates(docs, id_col, text_col))
-    kinds = found.select("candidate", "before").distinct()
+    kinds = found.groupBy("candidate", "before").agg(F.count("*").alias("n_findings"))
     features = checkpointed(with_features(kinds, checkpointed(dictionary(docs, text_col))))
     model = fit(features, most_labels)
     if model is None:
