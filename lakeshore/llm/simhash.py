@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, parallelism, slices
@@ -25,27 +25,42 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, parts: int = 1) -> np.ndarray:
-    """64 bits for each part, signed: a bit is set if it is set in over half of the hashes of the text's word shingles.
-
-    The first part takes XXH64 hashes, each further one hashes of the hashes before it.
-    """
+def _shingles(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 hashes of the text's word shingles, in their order, at most 65536 at once; a text of fewer words is one shingle."""
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
-        return np.zeros(parts, np.int64)
+        return
     joined, size = memoryview(b" ".join(words)), min(shingle, len(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - size + 1].tolist()
-    digest, counts, n = xxhash.xxh64_intdigest, np.zeros((parts, 64), np.int64), len(starts)
-    ends = ends[size - 1 :].tolist()
-    for k in range(0, n, 65536):
-        h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[k : k + 65536], ends[k : k + 65536])], np.uint64)
+    digest, ends = xxhash.xxh64_intdigest, ends[size - 1 :].tolist()
+    for k in range(0, len(starts), 65536):
+        yield np.array([digest(joined[a:b], SEED) for a, b in zip(starts[k : k + 65536], ends[k : k + 65536])], np.uint64)
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct hashes of the text's word shingles, in ascending order."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *_shingles(text, shingle)]))
+
+
+def _votes(hashes: Iterable[np.ndarray], parts: int) -> np.ndarray:
+    counts, n = np.zeros((parts, 64), np.int64), 0
+    for h in hashes:
+        n += len(h)
         for p in range(parts):
             h = _mixed(h) if p else h
             counts[p] += np.unpackbits(h.view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.uint32)
     return np.packbits(2 * counts > n).view(np.int64)
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE, parts: int = 1) -> np.ndarray:
+    """64 bits for each part, signed: a bit is set if it is set in over half of the hashes of the text's word shingles.
+
+    The first part takes XXH64 hashes, each further one hashes of the hashes before it.
+    """
+    return _votes(_shingles(text, shingle), parts)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, parts: int = 1) -> DataFrame:
     """(doc_id, fp, more) of every row: the first part, and an array of the further ones; a text without words has zeros."""
 
@@ -162,20 +177,114 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 #: For similarity: parts of a fingerprint, and the bits by which the first part and all parts may differ. Two texts
-#: that share 8 of 10 distinct shingles differ in 15 % of the bits on average, unrelated ones in half.
-PARTS, FIRST_RADIUS, WHOLE_RADIUS = 4, 18, 47
+#: that share 8 of 10 distinct shingles differ in 15 % of the bits on average, unrelated ones in half. The radii are wide:
+#: they only find candidates, which shingles confirm. CHUNK texts at most are compared with one another or with as many at once.
+PARTS, FIRST_RADIUS, WHOLE_RADIUS, CHUNK = 4, 20, 64, 128
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, tile: int = 16384) -> DataFrame:
-    """(doc_id, component_id) of every row with an id: groups of texts whose word shingles are similar by about 0.8 or more.
+def confirmed(texts: list[tuple[int, int, bool, set]], own: bool) -> list[tuple[int, int]]:
+    """Links (u, v) of a spanning forest over the pairs of (node, group, side, shingles) with Jaccard 0.8 or more.
+
+    Nodes of one group are linked already. Unless `own`, only texts of different sides are compared.
+    """
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+
+    links = []
+    texts = sorted(texts, key=lambda x: len(x[3]))
+    low = 0
+    for k, (u, g, side, a) in enumerate(texts):
+        while 5 * len(texts[low][3]) < 4 * len(a):
+            low += 1
+        for v, h, other, b in texts[low:k]:
+            if (own or side != other) and root(g) != root(h) and 9 * len(a & b) >= 4 * (len(a) + len(b)):
+                links.append((u, v))
+                up[root(g)] = root(h)
+    return links
+
+
+def _confirmed_links(jobs: DataFrame) -> DataFrame:
+    """confirmed() for each (root, lo, hi) of jobs(root, lo, hi, node, t, side, shingles): links (u, v)."""
+    met = jobs.groupBy("root", "lo", "hi").agg(F.collect_set(F.struct("node", "t", "side", "shingles")).alias("texts"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            links = []
+            for texts, own in zip(b["texts"], b["own"].to_pylist()):
+                x = texts.values
+                sets = [set(s.values.to_numpy().tolist()) for s in x.field("shingles")]
+                links += confirmed(list(zip(*(x.field(c).to_pylist() for c in ("node", "t", "side")), sets)), own)
+            yield pa.record_batch({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
+
+    return met.select(F.expr("lo = hi").alias("own"), "texts").mapInArrow(run, "u long, v long")
+
+
+def _dealt(texts: DataFrame, k: Column) -> DataFrame:
+    """Jobs that compare the texts of each chunk, of k in a root, with one another."""
+    return texts.withColumn("lo", F.pmod(F.xxhash64("node"), k).cast("int")).withColumn("hi", F.col("lo")).withColumn("side", F.lit(True))
+
+
+def similar_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int, chunk: int = CHUNK) -> DataFrame:
+    """Links (u, v) that connect the nodes of members(node, root) as all pairs in a root with Jaccard 0.8 or more do.
+
+    Three rounds: the texts of a root are cut into chunks by hash, and each chunk is compared within; then one text of each
+    group that this gave; at last all texts outside the largest group with all of the root. The pairs that no
+    round compares are in one group already. Roots of one chunk are done by the first round.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            sets = [shingle_set(x.as_py(), shingle).view(np.int64) for x in b["text"]]
+            at = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+            shingles = pa.ListArray.from_arrays(at, pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
+            yield pa.record_batch({"node": b["node"], "root": b["root"], "n": b["n"], "shingles": shingles})
+
+    n = F.count("*").alias("n")
+    many = members.groupBy("root").agg(n).where(F.col("n") > chunk)
+    sized = members.join(many, "root", "left").select("node", "root", F.coalesce("n", F.lit(1)).alias("n"))
+    kept = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
+    texts = checkpointed(kept.join(sized, "node").mapInArrow(run, "node long, root long, n long, shingles array<long>"))
+    chunks = lambda size: F.ceil(size / F.lit(chunk))
+    links = checkpointed(_confirmed_links(_dealt(texts.withColumn("t", F.col("node")), chunks(F.col("n")))))
+    texts = texts.where(F.col("n") > chunk)
+    if texts.isEmpty():
+        return links
+
+    def grouped(links: DataFrame) -> DataFrame:
+        t = connected(links).select(F.col("u").alias("node"), F.col("v").alias("t"))
+        return texts.join(t, "node", "left").withColumn("t", F.coalesce("t", "node"))
+
+    reps = grouped(links).where("t = node")
+    reps = reps.drop("n").join(reps.groupBy("root").agg(n), "root")
+    links = checkpointed(links.unionByName(_confirmed_links(_dealt(reps, chunks(F.col("n"))))))
+    now = checkpointed(grouped(links))
+    sizes = now.groupBy("root", "t").agg(n).groupBy("root").agg(F.sum("n").alias("n"), F.max(F.struct("n", "t")).alias("most"))
+    sizes = sizes.select("root", F.col("most.t").alias("largest"), chunks(F.col("n") - F.col("most.n")).alias("kr"), chunks(F.col("most.n")).alias("kb"))
+    rest = F.col("t") != F.col("largest")
+    at = F.when(rest, F.pmod(F.xxhash64("node"), F.col("kr"))).otherwise(F.col("kr") + F.pmod(F.xxhash64("node"), F.col("kb")))
+    open_ = now.drop("n").join(sizes.where("kr > 0"), "root").withColumn("c", at.cast("int"))
+    last = F.when(rest, F.col("kr") + F.col("kb")).otherwise(F.col("kr")) - 1
+    jobs = open_.withColumn("d", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+    jobs = jobs.select("root", F.least("c", "d").alias("lo"), F.greatest("c", "d").alias("hi"), "node", "t", F.expr("c <= d").alias("side"), "shingles")
+    return links.unionByName(_confirmed_links(jobs))
+
+
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, tile: int = 16384, chunk: int = CHUNK) -> DataFrame:
+    """(doc_id, component_id) of every row with an id: groups over links of texts whose sets of word shingles have Jaccard 0.8 or more.
 
     Fingerprints have four parts, so that the share of differing bits tells the similarity to a few hundredths: the
-    first part is compared between all tiles, the others where it is near. Texts without words are one group. Rows
-    with a null id are left out.
+    first part is compared between all tiles, the others where it is near. The groups that this gives are then compared
+    by their shingles. Texts without words are one group. Rows with a null id are left out.
     """
     fps = checkpointed(fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle, PARTS))
     groups = checkpointed(fps.groupBy("fp", "more").agg(F.min("doc_id").alias("node")))
-    roots = connected(near_links(groups, FIRST_RADIUS, tile, WHOLE_RADIUS))
+    near = connected(near_links(groups, FIRST_RADIUS, tile, WHOLE_RADIUS)).select(F.col("u").alias("node"), F.col("v").alias("root"))
+    members = checkpointed(near.unionByName(near.select(F.col("root").alias("node"), "root").distinct()))
+    roots = connected(similar_links(docs, members, id_col, text_col, shingle, chunk))
     rooted = groups.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
     rooted = rooted.select("fp", "more", F.coalesce("root", "node").alias("component_id"))
     return fps.join(rooted, ["fp", "more"]).select("doc_id", "component_id")

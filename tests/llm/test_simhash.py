@@ -107,3 +107,40 @@ def test_similar_texts_are_grouped(spark):
             wrong += shared >= 0.85 and groups[i] != groups[j]
             assert shared > 0.3 or groups[i] != groups[j]
     assert near > 100 and wrong <= 2
+
+
+def edited(rng, text, n):
+    """The text with n words replaced, each in five shingles of its own."""
+    words = text.split()
+    for k in rng.sample(range(1, len(words) // 10), n):
+        words[10 * k] = f"edit{rng.random()}"
+    return " ".join(words)
+
+
+def jaccard(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def test_pairs_just_above_and_below_the_threshold(spark):
+    """Of 204 words (200 shingles), four edits leave 0.82 of the shingles and five 0.78; no pair between is missed or made."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(0, 400, 2):
+        text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(204))
+        rows += [(i, text), (i + 1, edited(rng, text, 4 + i // 2 % 2))]
+    got = {r.doc_id: r.component_id for r in simhash.similar(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)).collect()}
+    assert [got[i + 1] == i for i in range(0, 400, 2)] == [jaccard(rows[i][1], rows[i + 1][1]) >= 0.8 for i in range(0, 400, 2)]
+
+
+def test_groups_of_many_chunks_are_those_of_all_pairs(spark):
+    rng = random.Random(4)
+    first = " ".join(f"w{rng.randrange(10**6)}" for _ in range(204))
+    texts = [first]
+    for _ in range(99):
+        texts.append(edited(rng, rng.choice([first, texts[-1], rng.choice(texts)]), rng.randint(1, 5)))
+    label = list(range(100))
+    for _ in range(100):
+        label = [min(label[j] for j in range(100) if jaccard(a, texts[j]) >= 0.8) for a in texts]
+    got = simhash.similar(spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA), chunk=4).collect()
+    assert len(set(label)) > 3 and {r.doc_id: r.component_id for r in got} == dict(enumerate(label))
