@@ -61,12 +61,21 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, parts: int = 1) -> np.
     return _votes(_shingles(text, shingle), parts)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, parts: int = 1) -> DataFrame:
-    """(doc_id, fp, more) of every row: the first part, and an array of the further ones; a text without words has zeros."""
+def set_fingerprint(text: str | None, shingle: int, parts: int) -> np.ndarray:
+    """fingerprint() of the text's distinct shingles: a repeated one counts once."""
+    return _votes([shingle_set(text, shingle)], parts)
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, parts: int = 1, distinct: bool = False) -> DataFrame:
+    """(doc_id, fp, more) of every row: the first part, and an array of the further ones; a text without words has zeros.
+
+    With `distinct`, repeated shingles of a text count once.
+    """
+    of = set_fingerprint if distinct else fingerprint
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            fp = np.array([fingerprint(x.as_py(), shingle, parts) for x in b["text"]], np.int64).reshape(-1, parts)
+            fp = np.array([of(x.as_py(), shingle, parts) for x in b["text"]], np.int64).reshape(-1, parts)
             more = pa.ListArray.from_arrays(pa.array(np.arange(len(fp) + 1, dtype=np.int32) * (parts - 1)), pa.array(fp[:, 1:].ravel()))
             yield pa.record_batch({"doc_id": b["doc_id"], "fp": pa.array(fp[:, 0].copy()), "more": more})
 
@@ -280,7 +289,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     first part is compared between all tiles, the others where it is near. The groups that this gives are then compared
     by their shingles. Texts without words are one group. Rows with a null id are left out.
     """
-    fps = checkpointed(fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle, PARTS))
+    fps = checkpointed(fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle, PARTS, distinct=True))
     groups = checkpointed(fps.groupBy("fp", "more").agg(F.min("doc_id").alias("node")))
     near = connected(near_links(groups, FIRST_RADIUS, tile, WHOLE_RADIUS)).select(F.col("u").alias("node"), F.col("v").alias("root"))
     members = checkpointed(near.unionByName(near.select(F.col("root").alias("node"), "root").distinct()))

@@ -144,3 +144,13 @@ def test_groups_of_many_chunks_are_those_of_all_pairs(spark):
         label = [min(label[j] for j in range(100) if jaccard(a, texts[j]) >= 0.8) for a in texts]
     got = simhash.similar(spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA), chunk=4).collect()
     assert len(set(label)) > 3 and {r.doc_id: r.component_id for r in got} == dict(enumerate(label))
+
+
+def test_a_repeated_line_counts_once(spark):
+    rng = random.Random(6)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    loop = " ".join([words(10)] * 30)
+    one, other = words(100), words(100)
+    texts = [f"{one} {loop}", f"{other} {loop}", one]
+    got = {r.doc_id: r.component_id for r in simhash.similar(spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA)).collect()}
+    assert jaccard(one, texts[0]) >= 0.8 > jaccard(texts[0], texts[1]) and got == {0: 0, 1: 1, 2: 0}
