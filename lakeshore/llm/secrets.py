@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
-#: A candidate: so many characters at least of these. Its context: the word before it, and what stands between.
-LEAST_CHARS = 16
-_CANDIDATE = rf"[A-Za-z0-9+/_=.~-]{{{LEAST_CHARS},}}"
-PATTERN = rf"(?i)(?:\S{{1,40}}\s{{1,3}})?(?:\S{{0,40}}?\s{{0,3}}[=:]\s{{0,3}}[\"']?)?(?<![A-Za-z0-9+/_=.~-])(?-i:{_CANDIDATE})"
+#: A candidate: so many characters at least of these, or so many of a value that = assigns to a name.
+LEAST_CHARS, LEAST_VALUE = 16, 8
+_CHAR = r"[A-Za-z0-9+/_=.~-]"
+_NAMED = r"^[A-Za-z_.-]{1,30}="
+PATTERN = rf"(?<!{_CHAR})(?:{_CHAR}{{{LEAST_CHARS},}}|[A-Za-z_.-]{{1,30}}={_CHAR}{{{LEAST_VALUE},}}|(?<=[A-Za-z_.-][\"']?\s{{0,3}}=\s{{0,3}}[\"']?){_CHAR}{{{LEAST_VALUE},}})"
+#: Its context: the word before it, and what stands between; at most CONTEXT characters.
+_BEFORE, CONTEXT = r"(?i)(?:\S{1,40}\s{1,3})?(?:\S{0,40}?\s{0,3}[=:]\s{0,3}[\"']?)?$", 100
 #: Words from which labels are made: before an assigned secret, and before a public digest or number.
 _SECRET_WORDS = r"(?i)(?:token|secret|passw|pwd|api.?key|access.?key|auth|credential)\S{0,20}\s{0,3}[=:]\s{0,3}[\"']?$"
 _PUBLIC_WORDS = r"(?i)(?:sha\d*|md5|commit|digest|checksum|hash|uuid|etag|revision|version|isbn|fingerprint)\S{0,4}\s{0,3}[=: ]?\s{0,3}[\"']?$"
@@ -32,15 +35,17 @@ FEATURES = ["length", "transitions", "digits", "capitals", "distinct", "hexadeci
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, place, candidate, before): each candidate of each text, its number in the text, and the words before it."""
-    found = F.regexp_extract_all(text_col, F.lit(PATTERN), F.lit(0))
-    docs = docs.where(F.col(text_col).rlike(_CANDIDATE))
-    every = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(found).alias("place", "match"))
-    candidate = F.regexp_extract("match", rf"({_CANDIDATE})$", 1)
+    docs = docs.where(F.col(text_col).rlike(PATTERN)).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    cut = docs.select("doc_id", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("found"), F.split("text", PATTERN, -1).alias("parts"))
+    # The context may hold candidates itself, two at most as it has two words at most.
+    near = f"right(concat(if(i > 1, found[i - 2], ''), if(i > 0, right(parts[i - 1], {CONTEXT}), ''), if(i > 0, found[i - 1], ''), right(parts[i], {CONTEXT})), {CONTEXT})"
+    every = cut.select("doc_id", F.posexplode(F.expr(f"transform(found, (x, i) -> struct(x, {near} AS near))")).alias("place", "match"))
+    every = every.select("doc_id", "place", F.col("match.x").alias("x"), F.regexp_extract("match.near", _BEFORE, 0).alias("before"))
     # A form as key=value, without a break, is cut at its sign.
-    value = F.regexp_replace(candidate, r"^[A-Za-z_.-]{1,30}=(?=.{8,}$)", "")
-    cut = every.select("doc_id", "place", F.regexp_replace(value, r"[.=]+$", "").alias("candidate"), "match", F.length(value).alias("n"))
-    before = F.expr("substring(match, 1, length(match) - n)")
-    return cut.select("doc_id", "place", "candidate", before.alias("before")).where("length(candidate) >= 8")
+    value = F.regexp_replace("x", rf"{_NAMED}(?=.{{{LEAST_VALUE},}}$)", "")
+    before = F.concat("before", F.expr("substring(x, 1, length(x) - n)"))
+    cut = every.withColumn("n", F.length(value)).select("doc_id", "place", F.regexp_replace(value, r"[.=]+$", "").alias("candidate"), before.alias("before"))
+    return cut.where(F.length("candidate") >= LEAST_VALUE)
 
 
 def label(candidate: Column, before: Column) -> Column:

@@ -69,3 +69,16 @@ def test_edges(spark):
     assert {(r.doc_id, r.candidate) for r in got if r.is_secret} == {(None, "0123456789abcdef0123"), (2, "AKIA" + "Q" * 15 + "7")}
     assert secrets.scan(docs.limit(0)).count() == 0
     assert secrets.scan(docs.where("doc_id = 1")).count() == 0
+
+
+def test_candidates_before_candidates(spark):
+    """A candidate that is the word before another is found too, and a value is found in both spellings."""
+    keys = ["AKIA" + "".join(random.Random(k).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)) for k in range(8)]
+    texts = ["keys:\n" + "\n".join(keys), "aws_access_key_id=" + keys[0] + "\naws_secret_access_key=" + keys[1] * 2, "password=abcd1234", 'password = "abcd1234"', "pwd=abcd1234", "pwd = abcd1234"]
+    got = {}
+    for r in secrets.candidates(spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], SCHEMA)).orderBy("place").collect():
+        got.setdefault(r.doc_id, []).append((r.candidate, r.before))
+    assert [c for c, _ in got[0]] == keys and got[0][1][1] == f"{keys[0]}\n"
+    assert got[1] == [(keys[0], "aws_access_key_id="), (keys[1] * 2, f"{('aws_access_key_id=' + keys[0])[-40:]}\naws_secret_access_key=")]
+    assert [[c for c, _ in got[i]] for i in range(2, 6)] == [["abcd1234"]] * 4
+    assert all(b.startswith(("password", "pwd")) for i in range(2, 6) for _, b in got[i])
