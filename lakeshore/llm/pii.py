@@ -27,6 +27,11 @@ _NANP = r"(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]?\d{
 _PHONE = r"\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}"
 PATTERN = rf"(?<![\p{{L}}\p{{N}}_@.+%-])(?:{_EMAIL}|{_IBAN}|{_ISO}|{_DAY_FIRST}|{_SSN}|{_IP}|{_CARD}|{_NANP}|{_PHONE})(?![\p{{L}}\p{{N}}_@])(?!\.\p{{N}})"
 
+# Forms that a card has within a longer row of digit groups, each with all places where it starts.
+_CARD_FORMS = [rf"(?<![0-9])(?=({x})(?![0-9]))" for x in (r"\d{4}(?:[ -]\d{4}){3}", r"\d{4}[ -]\d{6}[ -]\d{4,5}", r"\d{13,19}", r"\d{4}(?:[ -]\d{4}){3}[ -]\d{1,3}")]
+# Stands around cards while a text is cut: private characters, which no pattern takes for part of a value.
+_MARK = "\ue000\ue001\ue002"
+
 # Days of 400 years, 189 times 773; the first is 1800-01-01.
 _EPOCH = (189, 773)
 
@@ -98,6 +103,21 @@ def _card(key: str, x: Column) -> Column:
     return _refill(x, F.concat(body, check.cast("string")))
 
 
+def _card_in(x: Column) -> Column:
+    """The card that a candidate holds, with or without other digit groups around it, or else is in an odd form; else null."""
+    forms = F.concat(*[F.regexp_extract_all(x, F.lit(form), F.lit(1)) for form in _CARD_FORMS], F.array(x))
+    valid = F.filter(forms, lambda c: c.rlike(f"^{_CARD}$") & (_luhn(_digits(c)) % 10 == 0))
+    return F.when(x.rlike(f"^{_CARD}$"), F.get(valid, F.lit(0)))
+
+
+def _marked(text: Column, found: Column) -> Column:
+    """The text with marks around its cards, if one of them stands in a longer candidate; else the text."""
+    hidden = F.exists(found, lambda x: F.coalesce(_card_in(x) != x, F.lit(False)))
+    marked = lambda x: F.coalesce(F.replace(x, _card_in(x), F.concat(F.lit(_MARK), _card_in(x), F.lit(_MARK))), x)
+    pieces = F.zip_with(F.concat(F.array(F.lit("")), F.transform(found, marked)), F.split(text, PATTERN, -1), lambda m, rest: F.concat(m, rest))
+    return F.when(hidden & ~text.contains(_MARK), F.array_join(pieces, "")).otherwise(text)
+
+
 def _mod97(x: Column) -> Column:
     """Remainder of a string of digits and capitals, A counting as 10 to Z as 35."""
 
@@ -215,8 +235,8 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     empty array. Other columns, null and repeated rows pass through; a column called _pii is replaced.
     """
     base = docs.drop("_pii")
-    parts = free_name(base, "_parts")
-    found = F.when(F.col(text_col).rlike("[0-9@]"), F.regexp_extract_all(text_col, F.lit(PATTERN), F.lit(0)))
+    parts, marked = free_name(base, "_parts"), free_name(base, "_marked")
+    found = lambda c: F.when(F.col(c).rlike("[0-9@]"), F.regexp_extract_all(c, F.lit(PATTERN), F.lit(0)))
     kinds = F.transform(F.col("_pii"), lambda x: F.struct(kind_of(x).alias("kind"), x.alias("value")))
 
     def new(m: Column) -> Column:
@@ -226,8 +246,14 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
         return F.struct(m["kind"].alias("kind"), m["value"].alias("value"), out.alias("pseudonym"))
 
     has = F.size("_pii") > 0
-    staged = base.withColumn("_pii", F.coalesce(found, F.array().cast("array<string>")))
-    staged = staged.withColumn(parts, F.when(has, F.split(text_col, PATTERN, -1)))
+    none = F.array().cast("array<string>")
+    staged = base.withColumn("_pii", F.coalesce(found(text_col), none))
+    staged = staged.withColumn(marked, _marked(F.col(text_col), F.col("_pii")))
+    again = F.when(F.col(marked) == F.col(text_col), F.col("_pii")).otherwise(found(marked))
+    staged = staged.withColumn("_pii", F.coalesce(again, none))
+    pieces = F.split(marked, PATTERN, -1)
+    unmarked = F.when(F.col(marked) == F.col(text_col), pieces).otherwise(F.transform(pieces, lambda x: F.replace(x, F.lit(_MARK), F.lit(""))))
+    staged = staged.withColumn(parts, F.when(has, unmarked))
     staged = staged.withColumn("_pii", F.transform(kinds, new))
     ends = F.zip_with(F.transform("_pii", lambda m: m["pseudonym"]), F.slice(parts, F.lit(2), F.size("_pii")), lambda a, b: F.concat(a, b))
     text = F.when(has, F.concat(F.col(parts)[0], F.array_join(ends, ""))).otherwise(F.col(text_col))

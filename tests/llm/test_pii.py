@@ -133,3 +133,15 @@ def test_edges(spark):
     assert got.columns == ["doc_id", "text", "_parts", "_pii"]
     assert sorted((len(r._pii), (r.text or "").count(plain_ip("227.5.221.1"))) for r in got.collect()) == [(0, 0), (20000, 20000), (20000, 20000)]
     assert pii.pseudonymize(rows.limit(0), KEY).count() == 0
+
+
+def test_cards_among_other_numbers(spark):
+    card, bare = "4111 1111 1111 1111", "4111111111111111"
+    texts = [f"{card} 12/25", f"{bare} 123", f"{bare} 078-05-1120", f"no 12 {card}", f"{bare} 123 {bare} 456 {card}", f"{card} 12 or 3782-822463-10005 99 a\ue000"]
+    got = masked(spark, *texts)
+    assert [[v for k, v, _ in found if k == "card"] for _, found in got] == [[card], [bare], [bare], [card], [bare, bare, card], [card, "3782-822463-10005"]]
+    assert [v for k, v, _ in got[2][1] if k == "ssn"] == ["078-05-1120"]
+    for text, (out, found) in zip(texts, got):
+        for _, v, p in found:
+            text = text.replace(v, p)
+        assert out == text and card not in out and bare not in out
