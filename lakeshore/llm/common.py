@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 from uuid import uuid4
@@ -20,9 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset a session of one process (tests)
+    gets a local one, and any other an error."""
     told = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not told:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir has to name a folder that the executors of {master} share")
         told = tempfile.mkdtemp(prefix="spark-checkpoints-")
         spark.sparkContext.setCheckpointDir(told)
     return told.rstrip("/")
@@ -40,6 +45,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete a folder that no later step reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def dealt_anew(df: DataFrame, key: str) -> DataFrame:
+    """`df`, often an aggregate by `key` (a long or a string), with the key as an expression: a join on it then exchanges both
+    sides, and adaptive execution can split a key with many rows. Joined as it is, the aggregate's own partitioning would
+    be kept and each key be one task's."""
+    same = F.concat(F.col(key), F.lit("")) if dict(df.dtypes)[key] == "string" else F.col(key).bitwiseXOR(F.lit(0).cast("long"))
+    return df.withColumn(key, same)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """`name`, with underscores before it while the frame has such a column."""
     while name in df.columns:

@@ -5,19 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, dealt_anew
 
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
 
-def _dealt_anew(smallest: DataFrame) -> DataFrame:
-    """The aggregate with its key as an expression: the join then exchanges both sides, and adaptive execution can split a
-    node with many links. Joined as it is, the aggregate's own partitioning would be kept and each node be one task's."""
-    return smallest.withColumn("u", F.col("u").bitwiseXOR(F.lit(0).cast("long")))
-
-
 def connected(links: DataFrame) -> DataFrame:
     """links(u, v) -> (u, v): every node u of a component that isn't its smallest node, with that smallest node v.
 
@@ -33,9 +27,9 @@ def connected(links: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        edges = both.where("v > u").join(_dealt_anew(smallest), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        edges = both.where("v > u").join(dealt_anew(smallest, "u"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         smallest = edges.groupBy("u").agg(F.min("v").alias("m"))
-        handed = edges.join(_dealt_anew(smallest), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        handed = edges.join(dealt_anew(smallest, "u"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = checkpointed(handed.unionByName(smallest.withColumnRenamed("m", "v")).distinct())
         after = _state(edges)
         if after == before:

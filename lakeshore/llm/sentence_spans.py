@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -12,10 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, slices
+from .common import dealt_anew, free_name, slices
 
-#: A span is RUN consecutive sentences with LEAST_WORDS words at least, or one sentence with LONG_SENTENCE words.
-RUN, LEAST_WORDS, LONG_SENTENCE = 2, 12, 20
+#: A run is RUN consecutive sentences, and as many more as it takes to have LEAST_WORDS words.
+RUN, LEAST_WORDS = 3, 25
 # A sentence ends after . ! or ? before white space, and at each line break; the white space belongs to it.
 _cut = re.compile(r"(?<=[.!?])\s+|\s*\n\s*").finditer
 
@@ -26,29 +27,40 @@ def sentences(text: str) -> list[str]:
     return [x for a, b in zip([0, *ends], [*ends, len(text)]) if (x := text[a:b])]
 
 
-def spans(text: str, run: int = RUN, least: int = LEAST_WORDS, long: int = LONG_SENTENCE) -> Iterator[tuple[bytes, int, int]]:
-    """(128-bit hash, first sentence, number of sentences) of each span; sentences are equal if their words are."""
+def spans(text: str, run: int = RUN, least: int = LEAST_WORDS) -> Iterator[tuple[bytes, int, int]]:
+    """(128-bit hash, first sentence, number of sentences) of each run; sentences are equal if their words are.
+
+    A run starts at every sentence with words and goes on to the first one at which it has `run` sentences and `least`
+    words; blank sentences between don't count. Near the end, where the text runs out before, the runs that started earlier
+    hold the last sentences. A text of `run` sentences or more that is shorter than `least` words is one run.
+    """
     words = [x.split() for x in sentences(text)]
     full = [i for i, w in enumerate(words) if w]
+    if len(full) < run:
+        return
     digests = b"".join(xxhash.xxh3_128_digest(" ".join(words[i])) for i in full)
+    so_far = [0, *accumulate(len(words[i]) for i in full)]
+    end = 0
     for k, i in enumerate(full):
-        if len(words[i]) >= long:
-            yield xxhash.xxh3_128_digest(digests[16 * k : 16 * k + 16]), i, 1
-        if k + run <= len(full) and sum(len(words[j]) for j in full[k : k + run]) >= least:
-            yield xxhash.xxh3_128_digest(digests[16 * k : 16 * (k + run)]), i, full[k + run - 1] - i + 1
+        end = max(end, k + run)
+        while end < len(full) and so_far[end] - so_far[k] < least:
+            end += 1
+        if end > len(full) or so_far[end] - so_far[k] < least and k:
+            return
+        yield xxhash.xxh3_128_digest(digests[16 * k : 16 * end]), i, full[end - 1] - i + 1
 
 
 def _key(text_col: str):
     return F.xxhash64(text_col).alias("_version")
 
 
-def _all_spans(docs: DataFrame, id_col: str, text_col: str, run: int, least: int, long: int) -> DataFrame:
+def _all_spans(docs: DataFrame, id_col: str, text_col: str, run: int, least: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             hashes, sizes, first, count = [], [], [], []
             for text in b["text"].to_pylist():
                 before = len(first)
-                for h, i, n in spans(text or "", run, least, long):
+                for h, i, n in spans(text or "", run, least):
                     hashes.append(h)
                     first.append(i)
                     count.append(n)
@@ -61,27 +73,29 @@ def _all_spans(docs: DataFrame, id_col: str, text_col: str, run: int, least: int
     return kept.mapInArrow(cut, "a long, b long, doc_id long, _version long, first int, n int")
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, least: int = LEAST_WORDS, long: int = LONG_SENTENCE) -> DataFrame:
-    """(doc_id, _version, first, n) of every span that isn't the first of its kind, by doc_id (null first), text hash and place.
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, least: int = LEAST_WORDS) -> DataFrame:
+    """(doc_id, _version, first, n) of every run that isn't the first of its kind, by doc_id (null first), text hash and place.
 
-    Counts and first places are aggregates that combine before the shuffle. The join back to the spans is one that
-    adaptive execution can split where a span has many places.
+    Counts and first places are aggregates that combine before the shuffle. The join back to the runs deals both sides anew, so
+    that adaptive execution can split a run of many places.
     """
-    every = _all_spans(docs, id_col, text_col, run, least, long)
+    every = _all_spans(docs, id_col, text_col, run, least)
     place = F.struct("doc_id", "_version", "first")
     kinds = every.groupBy("a", "b").agg(F.min(place).alias("origin"), F.max(place).alias("last"))
-    return every.join(kinds.where("origin <> last"), ["a", "b"]).where(place != F.col("origin")).select("doc_id", "_version", "first", "n")
+    again = dealt_anew(kinds.where("origin <> last").drop("last"), "a")
+    return every.join(again, ["a", "b"]).where(place != F.col("origin")).select("doc_id", "_version", "first", "n")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, least: int = LEAST_WORDS, long: int = LONG_SENTENCE) -> DataFrame:
-    """`docs` with the sentences of every non-first repeated span cut from the text, and _n_removed, their number.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, least: int = LEAST_WORDS) -> DataFrame:
+    """`docs` with the sentences of every non-first repeated run cut from the text, and _n_removed, their number.
 
-    Null and empty texts stay as they are, with 0. Rows with the same id and the same text are one document: their spans
+    Null and empty texts stay as they are, with 0, and so do texts of fewer than `run` sentences. A run that a text repeats
+    within itself goes too. A text of any length is worked on whole. Rows with the same id and the same text are one document: their spans
     count once and they are cut alike. A column that is called _n_removed already is replaced.
     """
     base = docs.drop("_n_removed")
     of, id_, cut_ = (free_name(base, x) for x in ("_of", "_doc", "_cut"))
-    cuts = repeated_spans(docs, id_col, text_col, run, least, long).groupBy(F.col("doc_id").alias(id_), F.col("_version").alias(of))
+    cuts = repeated_spans(docs, id_col, text_col, run, least).groupBy(F.col("doc_id").alias(id_), F.col("_version").alias(of))
     cuts = cuts.agg(F.collect_set(F.struct("first", "n")).alias(cut_))
     same = F.col(id_col).cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64(text_col) == F.col(of))
     joined = base.join(cuts, same, "left").drop(id_, of)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, parallelism, slices
+from .common import checkpointed, dealt_anew, parallelism, slices
 from .components import connected
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -181,8 +181,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rooted = groups.join(roots.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left")
     rooted = rooted.select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = rooted.join(smallest, "root").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = rooted.join(dealt_anew(smallest, "root"), "root").select("fp", "component_id")
+    return fps.join(dealt_anew(by_fp, "fp"), "fp").select("doc_id", "fp", "component_id")
 
 
 #: For similarity: parts of a fingerprint, and the bits by which the first part and all parts may differ. Two texts

@@ -21,14 +21,14 @@ def plain(rows):
         parts, gone = ss.sentences(text or ""), set()
         words = [x.split() for x in parts]
         full = [i for i, w in enumerate(words) if w]
-        for k, i in enumerate(full):
-            runs = [[i]] * (len(words[i]) >= 20)
-            if k + 1 < len(full) and len(words[i]) + len(words[full[k + 1]]) >= 12:
-                runs = [*runs, [i, full[k + 1]]]
-            for run in runs:
-                key = tuple(" ".join(words[j]) for j in run)
-                if seen.setdefault(key, (doc, i)) != (doc, i):
-                    gone |= set(range(run[0], run[-1] + 1))
+        for k in range(len(full)):
+            ends = [z for z in range(k + 3, min(len(full), k + 30) + 1) if sum(len(words[i]) for i in full[k:z]) >= 25]  # 25 sentences have 25 words
+            if not ends and k == 0 and len(full) >= 3:
+                ends = [len(full)]
+            for z in ends[:1]:
+                key = tuple(" ".join(words[j]) for j in full[k:z])
+                if seen.setdefault(key, (doc, full[k])) != (doc, full[k]):
+                    gone |= set(range(full[k], full[z - 1] + 1))
         out[doc, text] = (None if text is None else "".join(x for j, x in enumerate(parts) if j not in gone), len(gone))
     return out
 
@@ -44,7 +44,7 @@ def corpus():
         if d % 3:
             parts.insert(rng.randrange(len(parts) + 1), rng.choice(shared))
         rows.append((d, "".join(parts)))
-    return [*rows, (200, rows[3][1]), (201, rows[3][1]), (202, None), (203, ""), (None, shared[0]), (204, "Yes. " * 50000 + "A " * 15 + ". " + "A " * 15 + ".")]
+    return [*rows, (200, rows[3][1]), (201, rows[3][1]), (202, None), (203, ""), (None, shared[0]), (204, "Yes. " * 3000 + "A " * 15 + ". " + "A " * 15 + "."), (205, "One. Two. Three."), (206, "One.\n\nTwo. Three.  "), (207, "One. Two.")]
 
 
 def test_against_brute_force(spark):
@@ -71,3 +71,21 @@ def test_long_passages_go_and_clean_text_stays(spark):
 
 def test_empty_table(spark):
     assert ss.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_passages_of_short_sentences_and_of_glued_ones_go(spark):
+    """Twelve lines of five words; and four sentences of which the first is glued to the text before it."""
+    rng = random.Random(4)
+    of = lambda n, k: " ".join(f"{k}{rng.randrange(10**6)}" for _ in range(n))
+    lines = "\n".join(of(5, "l") for _ in range(12))
+    glued = " ".join(of(15, "g") + "." for _ in range(4))
+    rows = [(d, f"{of(9, 'a')}.\n{lines}\n{of(9, 'b')}." if d < 5 else f"{of(9, 'a')} {glued} {of(9, 'b')}.") for d in range(10)]
+    got = {r.doc_id: r._n_removed for r in ss.remove_repeats(spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA)).collect()}
+    assert got == {d: 0 if d in (0, 5) else 12 if d < 5 else 3 for d in range(10)}
+
+
+def test_a_run_of_many_places_is_split(spark):
+    from tests.llm.skew import splits
+
+    docs = spark.range(30000).selectExpr("id AS doc_id", "concat('Alpha beta gamma delta one two three four five. Six seven eight nine ten eleven twelve. Thirteen to the end of nine more words here. ', 'Own', id, '.') AS text")
+    assert splits(spark, lambda: ss.repeated_spans(docs))
