@@ -37,6 +37,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system that Spark takes it for, so that other readers open the same files."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    told = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    return re.sub("^file:/+", "file:///", told)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder, so that a lost executor costs no recomputation."""
     spark = df.sparkSession

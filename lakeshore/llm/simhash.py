@@ -168,6 +168,12 @@ def near_links(groups: DataFrame, radius: int = RADIUS, tile: int = 16384, whole
     return met.mapInArrow(run, "u long, v long")
 
 
+def by_root(rooted: DataFrame) -> DataFrame:
+    """(fp, component_id) of rooted(fp, first_id, root): the smallest first_id of each root."""
+    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return rooted.join(dealt_anew(smallest, "root"), "root").select("fp", "component_id")
+
+
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, tile: int = 16384) -> DataFrame:
     """(doc_id, fp, component_id): the smallest doc_id that is reachable over links of at most `radius` bits, itself included.
 
@@ -180,8 +186,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = connected(near_links(groups.withColumn("node", F.col("fp")), radius, tile))
     rooted = groups.join(roots.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left")
     rooted = rooted.select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = rooted.join(dealt_anew(smallest, "root"), "root").select("fp", "component_id")
+    by_fp = by_root(rooted)
     return fps.join(dealt_anew(by_fp, "fp"), "fp").select("doc_id", "fp", "component_id")
 
 

@@ -15,7 +15,7 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fresh_path, parallelism, slices
+from .common import checkpointed, dealt_anew, fresh_path, parallelism, qualified, slices
 
 DATE = "1970-01-01T00:00:00Z"
 #: Ranges of a file that are at most GAP bytes apart are read as one, up to READ bytes; a file takes FILE bytes.
@@ -56,12 +56,13 @@ def parse(member: bytes) -> tuple[dict[str, str], bytes]:
 def with_roles(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """(page_id, url, html, digest, refers_to): refers_to is the smallest page_id with the same payload, if that is another page.
 
-    Payloads under least_bytes refer to none. Minima are combined before the shuffle; the join back is one that
-    adaptive execution can split where one payload has many pages.
+    Payloads under least_bytes refer to none. Minima are combined before the shuffle, and only payloads of several pages are
+    joined back, with both sides dealt anew, so that adaptive execution can split a payload of many pages.
     """
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     own = own.withColumn("sha", F.sha1(F.col("html").cast("binary")))
-    first = own.where(F.octet_length("html") >= least_bytes).groupBy("sha").agg(F.min("page_id").alias("first_id"))
+    first = own.where(F.octet_length("html") >= least_bytes).groupBy("sha").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
+    first = dealt_anew(first.where("n > 1 and first_id is not null").drop("n"), "sha")
     other = F.when(F.col("page_id").isNull() | (F.col("first_id") < F.col("page_id")), F.col("first_id"))
     return own.join(first, "sha", "left").select("page_id", "url", "html", base32(F.col("sha")).alias("digest"), other.alias("refers_to"))
 
@@ -71,11 +72,12 @@ def write(pages: DataFrame, path: str | None = None, least_bytes: int = 0) -> Da
 
     Each record is a gzip member of its own. A task writes files under names of its own and an index row comes only
     from the attempt that ended, so files of lost attempts are never read. The index is checkpointed. `path` is a
-    folder that all executors share; unset, it is a new one in spark.checkpoint.dir. A null html is an empty payload, a
+    folder that all executors share, in the file system that Spark takes it for; unset, it is a new one in
+    spark.checkpoint.dir. A payload of any length is one record. A null html is an empty payload, a
     null url leaves the field out, a null page_id is never referred to; repeated rows each get a record (several
     with the smallest page_id are all responses); an empty table gives an empty index.
     """
-    folder = path or fresh_path(pages.sparkSession, "warc")
+    folder = qualified(pages.sparkSession, path or fresh_path(pages.sparkSession, "warc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size, name = None, 0, ""
@@ -86,7 +88,7 @@ def write(pages: DataFrame, path: str | None = None, least_bytes: int = 0) -> Da
                     if out is None or size > FILE:
                         if out:
                             out.close()
-                        files, base = pyarrow.fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+                        files, base = pyarrow.fs.FileSystem.from_uri(folder)
                         files.create_dir(base, recursive=True)
                         name, size = f"{folder}/{uuid4().hex}.warc.gz", 0
                         out = files.open_output_stream(f"{base}/{name.rpartition('/')[2]}", compression=None)
@@ -125,7 +127,8 @@ def read(selected: DataFrame, payloads: bool = True) -> DataFrame:
 
     Rows are sorted by file and offset, and near ranges are read at once. The payload of a response must have the digest
     that its record states, else the read fails; a revisit has none. With payloads false the last column is the
-    payload's length instead, payload_bytes. Ids come from the record, the url from the index.
+    payload's length instead, payload_bytes. Ids come from the record, the url from the index. Rows selected twice are
+    read twice; a null url or id stays null; other columns of the index are ignored; an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +141,7 @@ def read(selected: DataFrame, payloads: bool = True) -> DataFrame:
                     stop += 1
                 if rows[k]["file"] != name:
                     name = rows[k]["file"]
-                    files, at = pyarrow.fs.FileSystem.from_uri(name if "://" in name else f"file://{name}")
+                    files, at = pyarrow.fs.FileSystem.from_uri(name)
                     stream = files.open_input_file(at)
                 for begin, end, n in ranges([(r["offset"], r["length"]) for r in rows[k:stop]]):
                     data, out = stream.read_at(end - begin, begin), []
@@ -163,7 +166,9 @@ def read(selected: DataFrame, payloads: bool = True) -> DataFrame:
 def round_trip(pages: DataFrame, path: str | None = None, least_bytes: int = 0) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every page, from the archives read back.
 
-    A revisit's length is that of the response that it refers to.
+    A revisit's length is that of the response that it refers to. A null html has the length and the digest of an empty
+    payload; a page with a null id is never referred to, and refers to the smallest id with its payload, if there is one. Repeated
+    rows give a row each, other columns of pages are ignored, an empty table gives no rows.
     """
     got = checkpointed(read(write(pages, path, least_bytes), payloads=False))
     full = got.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "digest", F.col("payload_bytes").alias("full_bytes")).distinct()

@@ -2,6 +2,8 @@ import random
 
 from lakeshore.llm import lines
 
+from tests.llm.skew import splits
+
 SCHEMA = "doc_id long, text string, source string, h string"
 
 
@@ -61,3 +63,8 @@ def test_no_python_in_the_plan(spark, capsys):
     lines.remove_boilerplate(spark.createDataFrame(spark.createDataFrame([(1, "a", "b", "c")], SCHEMA).toPandas(), SCHEMA)).explain()
     plan = capsys.readouterr().out
     assert "MapInArrow" not in plan and "Python" not in plan and "HashAggregate" in plan
+
+
+def test_rows_without_an_id_are_split(spark):
+    docs = spark.range(30000).selectExpr("if(id % 3 = 0, id, null) AS doc_id", "concat('everywhere\n', id) AS text", "concat('s', id % 20) AS source", "'x' AS h")
+    assert splits(spark, lambda: lines.remove_boilerplate(docs))

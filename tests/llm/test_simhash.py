@@ -4,6 +4,8 @@ import numpy as np
 import xxhash
 from lakeshore.llm import simhash
 
+from tests.llm.skew import splits
+
 SCHEMA = "doc_id long, text string, fp string"
 
 
@@ -50,6 +52,12 @@ def test_against_all_pairs(spark):
     assert sorted(got, key=str) == plain_components(rows)
 
 
+def test_a_component_of_many_fingerprints_is_split(spark):
+    """The component is made from links, as if two thirds of the fingerprints were in one."""
+    groups = spark.range(30000).selectExpr("id AS fp", "id AS first_id", "if(id % 3 = 0, id, 1L) AS root")
+    assert splits(spark, lambda: simhash.by_root(groups))
+
+
 def test_empty_table(spark):
     assert simhash.components(spark.createDataFrame([], SCHEMA)).count() == 0
     assert simhash.keep_one(spark.createDataFrame([], SCHEMA)).columns == ["doc_id", "text", "fp"]

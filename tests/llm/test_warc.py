@@ -4,6 +4,8 @@ import hashlib
 
 from lakeshore.llm import warc
 
+from tests.llm.skew import splits
+
 SCHEMA = "page_id long, url string, html string, offset string"
 ROWS = [
     (5, "http://a/x y\r\n", "<p>é</p>", "x"),
@@ -47,11 +49,11 @@ def test_archives_and_selected_records(spark, tmp_path):
     pages = spark.createDataFrame([(i, f"http://x/{i}", f"page {i % 40}", None) for i in range(100)], SCHEMA).coalesce(2)
     index = warc.write(pages, str(tmp_path / "w"))
     for r in index.collect():
-        with open(r.file, "rb") as f:
+        with open(r.file.removeprefix("file://"), "rb") as f:
             f.seek(r.offset)
             assert f"<urn:page:{r.page_id}>".encode() in gzip.decompress(f.read(r.length)).split(b"\r\n\r\n")[0]
     for r in index.select("file").distinct().collect():
-        whole = gzip.open(r.file).read()
+        whole = gzip.open(r.file.removeprefix("file://")).read()
         assert whole.startswith(b"WARC/1.1\r\n") and whole.endswith(b"\r\n\r\n")
     got = warc.read(index.where("page_id % 3 = 0")).collect()
     assert sorted((r.page_id, r.payload) for r in got if r.record_type == "response") == [(i, f"page {i}".encode()) for i in range(0, 40, 3)]
@@ -61,3 +63,14 @@ def test_archives_and_selected_records(spark, tmp_path):
 def test_ranges():
     assert warc.ranges([(0, 10), (10, 5), (16, 4), (200, 1)], gap=2, most=100) == [(0, 20, 3), (200, 201, 1)]
     assert warc.ranges([(0, 60), (60, 60)], gap=2, most=100) == [(0, 60, 1), (60, 120, 1)]
+
+
+def test_pages_without_ids_refer_to_none(spark):
+    pages = spark.createDataFrame([(None, "http://a/", "same", "x"), (None, "http://b/", "same", "x")], SCHEMA)
+    want = (None, 4, digest("same"), "response", None)
+    assert [tuple(r) for r in warc.round_trip(pages).collect()] == [want, want]
+
+
+def test_a_payload_of_many_pages_is_split(spark):
+    pages = spark.range(30000).selectExpr("id AS page_id", "'http://a/' AS url", "if(id % 3 = 0, concat('own ', id), 'shared by most') AS html")
+    assert splits(spark, lambda: warc.with_roles(pages))
