@@ -18,8 +18,8 @@ from .common import slices
 SPACE, BEGINNINGS = 1 << 20, (4, 5, 6)
 #: At most so many labelled documents are fitted: those whose hashed ids are smallest.
 MOST_LABELS = 6_000
-#: At most so many terms take part in the model, and so many factors describe each.
-MOST_TERMS, FACTORS = 4096, 8
+#: At most so many terms take part in the model, each with a z statistic of LEAST_Z or more, and so many factors describe each.
+MOST_TERMS, LEAST_Z, FACTORS = 4096, 4, 8
 
 _words = re.compile(r"\w+").findall
 
@@ -87,7 +87,7 @@ def train(lists: list[np.ndarray], labels: np.ndarray, epochs: int = 30, steps:
     """Fit a machine to documents, each the distinct hashed terms it has, by AdaGrad on the logistic loss.
 
     Terms take part if documents of the two labels have them at clearly different rates (the MOST_TERMS with the
-    largest z statistic, 4 at least). Without both labels the score is the share of label 1.
+    largest z statistic, LEAST_Z at least). Without both labels the score is the share of label 1.
     """
     n, share = len(labels), float((labels.sum() + 0.5) / (len(labels) + 1))
     none = Machine(np.zeros(0, np.int64), float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, FACTORS)))
@@ -100,7 +100,7 @@ def train(lists: list[np.ndarray], labels: np.ndarray, epochs: int = 30, steps:
         z = (hits - have * share) / np.sqrt(have * share * (1 - share) * (1 - have / (n + 1)))
     z = np.abs(np.nan_to_num(z, posinf=0, neginf=0))
     term = np.sort(np.argsort(-z, kind="stable")[:MOST_TERMS])
-    term = term[z[term] >= 4]
+    term = term[z[term] >= LEAST_Z]
     if not len(term):
         return none
     place = np.full(SPACE, -1)
@@ -142,12 +142,13 @@ def is_held_out(id_col: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_labels: int = MOST_LABELS) -> Machine:
     """Fit to the labelled documents that aren't held out, most_labels of them at most.
 
-    Labels that are null, or of a null id, are left out; of several labels of an id the largest counts. Documents
-    with the same id count each.
+    Labels that are null, or of a null id or one that docs lacks, are left out; of several labels of an id the largest counts.
+    Rows with one id are one document, that with the greatest text. Ids with equal hashes are taken in their order.
     """
     told = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~is_held_out(id_col))
     told = told.groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_label"))
-    told = told.orderBy(F.xxhash64("_id"), "_id").limit(most_labels)
+    there = docs.select(F.col(id_col).cast("long").alias("_id"))
+    told = told.join(there, "_id", "left_semi").orderBy(F.xxhash64("_id"), "_id").limit(most_labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -155,14 +156,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.record_batch({"label": b["_label"], "terms": pa.array(lists, pa.list_(pa.int32()))})
 
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(told), "_id")
-    got = rows.select("_label", "text").mapInArrow(run, "label int, terms array<int>").toArrow().combine_chunks()
+    once = rows.groupBy("_id").agg(F.max("_label").alias("_label"), F.max("text").alias("text"))
+    got = once.select("_label", "text").mapInArrow(run, "label int, terms array<int>").toArrow().combine_chunks()
     lists = [x.values.to_numpy() if len(x) else np.zeros(0, np.int32) for x in got["terms"]]
     order = sorted(range(len(lists)), key=lambda i: (len(lists[i]), lists[i].tobytes()))
     return train([lists[i] for i in order], got["label"].to_numpy().astype(float)[order]) if order else train([], np.zeros(0))
 
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row; an empty, blank or null text gets the score of no terms."""
+    """(doc_id, held_out, score, predicted) of every row; an empty, blank or null text gets the score of no terms.
+
+    A text of any length is scored whole. Null and repeated ids pass through, other columns are ignored, an empty table gives
+    no rows.
+    """
     model = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +181,11 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
 
 def drop_toxic(docs: DataFrame, machine: Machine, text_col: str = "text", most: float = 0.5) -> DataFrame:
-    """`docs` without those whose score is `most` or more; the columns stay as they are."""
+    """`docs` without those whose score is `most` or more; the columns stay as they are.
+
+    Each row counts for itself: a null text is scored as an empty one, null and repeated ids and columns of any name pass
+    through, an empty table stays empty. A text of any length is scored whole.
+    """
     model = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

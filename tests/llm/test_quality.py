@@ -70,7 +70,23 @@ def test_order_is_rejection_per_cost():
     def quick(texts, m):
         return np.arange(len(texts)) % 2 == 0
 
-    assert quality.cascade_order(["a b"] * 100, {"slow": slow, "nothing": nothing, "quick": quick}) == ["quick", "slow", "nothing"]
+    assert quality.cascade_order([" ".join(f"w{i}" for i in range(30))] * 100, {"slow": slow, "nothing": nothing, "quick": quick}) == ["quick", "slow", "nothing"]
+
+
+def test_order_comes_from_texts_that_pass_the_base_rule():
+    """A rule that rejects only what the base rule has rejected gains nothing, however much of the sample that is."""
+    short, good = ["one two"] * 90, [" ".join(f"w{k}x{i}" for i in range(30)) for k in range(10)]
+    seen = []
+
+    def shorts(texts, m):
+        seen.append(len(texts))
+        return m["n_words"] < 5
+
+    def few(texts, m):
+        return np.array([x.startswith("w3") for x in texts], bool)
+
+    assert quality.cascade_order(short + good, {"shorts": shorts, "few": few}) == ["few", "shorts"]
+    assert max(seen) == 10
 
 
 def test_documents(spark):
