@@ -3,82 +3,125 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, slices
 
-SEED_WORDS = 4
+#: Three words, so that a copy in which every fourth word is another still has seeds.
+SEED_WORDS = 3
 #: A seed is rare if at most this share of all documents has it, or at most RELATIVE times (1 + the median of its item's seeds).
 RARE_SHARE, RELATIVE = 0.05, 3
 #: A document is contaminated by an item from this share of the score of a full copy.
 LEAST_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: So many benchmark words at most are sent to the executors at once; a larger benchmark takes several passes.
-BLOCK_WORDS = 200_000
+#: Bits of the set that tells which n-grams of a document can be seeds; a larger benchmark fills it more, but never makes it larger.
+BITS = 1 << 24
 _words = re.compile(r"\w+").findall
 
 
-class Seeds:
-    """The n-grams of a block of test items, by number of word; items shorter than n words are one seed of their own length."""
-
-    def __init__(self, items: list[tuple[int, str]], n: int = SEED_WORDS):
-        self.n, self.number, self.length = n, {}, {}
-        grams: dict[int, dict[tuple[int, ...], list[tuple[int, int]]]] = {}
-        for item, text in items:
-            codes = [self.number.setdefault(w, len(self.number)) for w in _words(text.lower())]
-            self.length[item] = len(codes)
-            size = min(n, len(codes))
-            for i in range(len(codes) - size + 1) if size else ():
-                grams.setdefault(size, {}).setdefault(tuple(codes[i : i + size]), []).append((item, i))
-        # For each size: sorted hashes of the n-grams, and the places where they stand. Equal hashes share their places.
-        self.sizes = []
-        for size, found in grams.items():
-            at: dict[int, list[tuple[int, int]]] = {}
-            for gram, places in found.items():
-                at.setdefault(int(self.hashed(np.array(gram)[None])[0]), []).extend(places)
-            keys = np.array(sorted(at), np.uint64)
-            self.sizes.append((size, keys, [at[k] for k in keys.tolist()]))
+class Grams:
+    """Hashes of the n-grams of a row of words; the hashes of words are remembered, MOST_WORDS at most."""
+
+    MOST_WORDS = 300_000
+
+    def __init__(self):
+        self.known: dict[str, int] = {}
+
+    def words(self, words: list[str]) -> np.ndarray:
+        if len(self.known) > self.MOST_WORDS:
+            self.known = {}
+        known = self.known
+        for w in set(words):
+            if w not in known:
+                known[w] = xxhash.xxh64_intdigest(w)
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
     @staticmethod
-    def hashed(codes: np.ndarray) -> np.ndarray:
-        out = np.full(codes.shape[0], 1469598103934665603, np.uint64)
-        for k in range(codes.shape[1]):
-            out = (out ^ (codes[:, k].astype(np.uint64) + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
+    def of(words: np.ndarray, size: int) -> np.ndarray:
+        out = np.full(max(0, len(words) - size + 1), size, np.uint64)
+        for k in range(size):
+            out = (out ^ words[k : k + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
             out ^= out >> np.uint64(29)
         return out
 
-    def passages(self, text: str) -> Iterator[tuple[int, list[int], str]]:
-        """(item, places of its seeds, passage) of a text: runs of hits that are near enough for one copy of the item."""
-        words = _words(text.lower())
-        codes = np.array(list(map(self.number.get, words, [-1] * len(words))), np.int64)
-        out_of_block = np.concatenate([[0], np.cumsum(codes < 0)])
-        hits: dict[int, list[tuple[int, int]]] = {}
-        for size, keys, places in self.sizes:
-            if len(codes) < size:
-                continue
-            start = np.nonzero(out_of_block[size:] == out_of_block[:-size])[0]
-            if not len(start):
-                continue
-            key = self.hashed(codes[start[:, None] + np.arange(size)])
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            for k in np.nonzero(keys[at] == key)[0].tolist():
-                for item, place in places[at[k]]:
-                    hits.setdefault(item, []).append((int(start[k]), place))
-        for item, found in hits.items():
-            length, found = self.length[item], sorted(found)
-            k = 0
-            while k < len(found):
-                stop = k + 1
-                while stop < len(found) and found[stop][0] - found[k][0] <= 2 * length:
-                    stop += 1
-                begin, end = max(0, found[k][0] - length), found[stop - 1][0] + self.n + length
-                yield item, sorted({p for _, p in found[k:stop]}), " ".join(words[begin:end])
-                k = stop
+
+def seeds(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", n: int = SEED_WORDS) -> DataFrame:
+    """(key, item_id, item, n_words, size, hs) of each distinct item with words: its n-grams' hashes by place.
+
+    An item of fewer words is one seed of its own length.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = Grams()
+        for b in slices(batches, "item"):
+            texts = [_words(x.lower()) for x in b["item"].to_pylist()]
+            sizes = [min(n, len(w)) for w in texts]
+            hs = [grams.of(grams.words(w), k).view(np.int64) for w, k in zip(texts, sizes)]
+            yield pa.record_batch({"key": b["key"], "item_id": b["item_id"], "item": b["item"], "n_words": pa.array([len(w) for w in texts], pa.int32()), "size": pa.array(sizes, pa.int32()), "hs": pa.array(hs, pa.list_(pa.int64()))})
+
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).alias("item")).where("item_id is not null and item is not null").distinct()
+    cut = items.select(F.xxhash64("item_id", "item").alias("key"), "item_id", "item").mapInArrow(run, "key long, item_id long, item string, n_words int, size int, hs array<long>")
+    return cut.where("n_words > 0")
+
+
+def bit_set(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
+    """The set of the column h modulo `bits`, as bytes: made from bitmaps of 4096 bytes each, whatever the number of rows."""
+    slot = F.pmod("h", F.lit(bits)) + 1
+    maps = hashes.groupBy(F.bitmap_bucket_number(slot).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    out = np.zeros(-(-bits // 32768) * 4096, np.uint8)
+    for k, x in maps.collect():
+        out[(k - 1) * 4096 : k * 4096] = np.frombuffer(x, np.uint8)
+    return out
+
+
+def regions(docs: DataFrame, chosen: np.ndarray, sizes: list[int], margin: int, bits: int = BITS) -> DataFrame:
+    """(doc_id, start, words, hs, at): stretches of each text around the n-grams that the set has, `margin` words to each side.
+
+    hs and at are the n-grams' hashes and places. Stretches that meet are one, so that all together are no longer than the
+    text. Null texts and ids have none.
+    """
+    told = docs.sparkSession.sparkContext.broadcast(chosen)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, chosen = Grams(), told.value
+        for b in slices(batches, "text"):
+            rows = []
+            for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
+                if doc is None or not text:
+                    continue
+                words = _words(text.lower())
+                codes = grams.words(words)
+                hs, at = [], []
+                for size in sizes:
+                    h = grams.of(codes, size)
+                    slot = h & np.uint64(bits - 1)
+                    hit = np.nonzero(chosen[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)[0]
+                    hs.append(h[hit].view(np.int64))
+                    at.append(hit)
+                hs, at = np.concatenate(hs), np.concatenate(at)
+                order = np.argsort(at, kind="stable")
+                hs, at = hs[order], at[order]
+                breaks = np.nonzero(np.diff(at) > 2 * margin)[0] + 1
+                for h, a in zip(np.split(hs, breaks), np.split(at, breaks)) if len(at) else ():
+                    start = max(0, int(a[0]) - margin)
+                    rows.append((doc, start, " ".join(words[start : int(a[-1]) + margin]), h, a))
+            doc, start, words, hs, at = zip(*rows) if rows else ((),) * 5
+            yield pa.record_batch({"doc_id": pa.array(doc, pa.int64()), "start": pa.array(start, pa.int32()), "words": pa.array(words, pa.string()), "hs": pa.array(hs, pa.list_(pa.int64())), "at": pa.array(at, pa.list_(pa.int32()))})
+
+    return docs.mapInArrow(run, "doc_id long, start int, words string, hs array<long>, at array<int>")
+
+
+def can_reach(item: Counter, passage: list[str], least: float) -> bool:
+    """Whether the words that both have allow a score of `least`: each of them adds MATCH at most."""
+    both = sum((Counter(w for w in passage if w in item) & item).values())
+    return both >= least * item.total()
 
 
 def align(pairs: list[tuple[str, str]]) -> np.ndarray:
@@ -106,18 +149,6 @@ def align(pairs: list[tuple[str, str]]) -> np.ndarray:
     return best / np.maximum(1, [MATCH * len(a) for a, _ in coded])
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> Iterator[list[tuple[int, str]]]:
-    block, held = [], 0
-    for r in benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null").distinct().orderBy("i", "t").toLocalIterator():
-        if block and held + len(r.t) // 2 > most:
-            yield block
-            block, held = [], 0
-        block.append((r.i, r.t))
-        held += len(r.t) // 2
-    if block:
-        yield block
-
-
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -127,58 +158,66 @@ def leaks(
     item_text_col: str = "text",
     least: float = LEAST_SCORE,
     rare_share: float = RARE_SHARE,
-    block_words: int = BLOCK_WORDS,
+    bits: int = BITS,
 ) -> DataFrame:
     """(doc_id, item_id, score, n_seeds, passage): the best passage of each document for each item that it contaminates.
 
-    The benchmark goes to the executors in blocks of bounded size, each of which sees every document. A passage is
-    aligned if one of its seeds is rare; how many documents have a seed is counted over all of them. Null texts and
-    ids have no leaks; of rows that share an id the best counts. Items without a word, and empty tables, have no leaks.
+    The seeds are a table. One scan of the documents, for a benchmark of any size, keeps the stretches around the n-grams that a
+    bit set of fixed size can't rule out; these meet the seeds in a join. A passage is aligned if one of its seeds is
+    rare; how many documents have a seed is counted over all of them. Null texts and ids have no leaks; of rows that share
+    an id the best counts, of equal scores the one with more seeds, then the greater text. Items without a word, and empty
+    tables, have no leaks. Columns of other names are ignored; a text of any length is searched whole.
     """
     spark = docs.sparkSession
-    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = None
-    for block in _blocks(benchmark, item_col, item_text_col, block_words):
-        seeds = spark.sparkContext.broadcast(Seeds(block))
-
-        def run(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
-            for b in slices(batches, "text"):
-                out = [(d, i, p, x) for d, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()) if text and d is not None for i, p, x in seeds.value.passages(text)]
-                d, i, p, x = zip(*out) if out else ((), (), (), ())
-                yield pa.record_batch({"doc_id": pa.array(d, pa.int64()), "item_id": pa.array(i, pa.int64()), "places": pa.array(p, pa.list_(pa.int32())), "passage": pa.array(x, pa.string()), "n_docs": pa.array([0] * len(d), pa.int64())})
-                yield pa.record_batch({"doc_id": pa.array([None], pa.int64()), "item_id": pa.array([None], pa.int64()), "places": pa.array([None], pa.list_(pa.int32())), "passage": pa.array([None], pa.string()), "n_docs": pa.array([b.num_rows], pa.int64())})
-
-        part = kept.mapInArrow(run, "doc_id long, item_id long, places array<int>, passage string, n_docs long")
-        found = part if found is None else found.unionByName(part.withColumn("n_docs", F.lit(0).cast("long")))
+    items = checkpointed(seeds(benchmark, item_col, item_text_col))
     empty = spark.createDataFrame([], "doc_id long, item_id long, score double, n_seeds int, passage string")
-    if found is None:
+    longest = items.agg(F.max("n_words"), F.collect_set("size")).first()
+    if longest[0] is None:
         return empty
-    found = checkpointed(found)
-    n_docs = found.agg(F.sum("n_docs")).first()[0] or 0
-    found = found.where("passage is not null").drop("n_docs")
-    each = found.select("doc_id", "item_id", F.explode("places").alias("place")).distinct()
-    spread = each.groupBy("item_id", "place").agg(F.count("*").alias("n"))
-    middle = spread.groupBy("item_id").agg(F.percentile_approx("n", 0.5, 1000).alias("middle"))
-    rare = spread.join(middle, "item_id").where((F.col("n") <= rare_share * n_docs) | (F.col("n") <= RELATIVE * (1 + F.col("middle")))).select("item_id", "place")
-    numbered = found.withColumn("passage_id", F.xxhash64("doc_id", "item_id", "passage"))
-    seeded = numbered.select("doc_id", "item_id", "passage_id", F.explode("places").alias("place")).join(rare, ["item_id", "place"])
-    wanted = seeded.groupBy("doc_id", "item_id", "passage_id").agg(F.count("*").cast("int").alias("n_seeds"))
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("item"))
-    pairs = numbered.join(wanted, ["doc_id", "item_id", "passage_id"]).join(items, "item_id").select("doc_id", "item_id", "item", "passage", "n_seeds")
+    places = items.select("key", "n_words", F.posexplode("hs").alias("place", "h"))
+    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    found = regions(kept, bit_set(places, bits), sorted(longest[1]), longest[0] + SEED_WORDS, bits)
+    found = checkpointed(found.withColumn("region", F.monotonically_increasing_id()))
+    hits = found.select("region", "doc_id", F.explode(F.arrays_zip("hs", "at")).alias("x")).select("region", "doc_id", "x.hs", "x.at").withColumnRenamed("hs", "h")
+    seen = hits.select("doc_id", "h").distinct().groupBy("h").agg(F.count("*").alias("n"))
+    spread = places.join(seen, "h")
+    middle = spread.groupBy("key").agg(F.percentile_approx("n", 0.5, 1000).alias("middle"))
+    rare = spread.join(middle, "key").where((F.col("n") <= rare_share * kept.count()) | (F.col("n") <= RELATIVE * (1 + F.col("middle"))))
+    # Seeds of one copy of an item start it at about the same word: passages are told apart by that place, in steps of the item's length.
+    step = F.floor((F.col("at") - F.col("place")) / F.col("n_words")).alias("step")
+    near = hits.join(rare.select("h", "key", "place", "n_words"), "h").groupBy("region", "key", step)
+    near = near.agg(F.min("at").alias("first"), F.max("at").alias("last"), F.size(F.collect_set("place")).alias("n_seeds"))
+    wanted = near.join(items.select("key", "item_id", "item", "n_words"), "key").groupBy("region")
+    wanted = wanted.agg(F.collect_list(F.struct("item_id", "item", "n_words", "first", "last", "n_seeds")).alias("wanted"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Counter] = {}
         for b in batches:
-            for k in range(0, b.num_rows, 128):
-                part = b.slice(k, 128)
-                got = align(list(zip(part["item"].to_pylist(), part["passage"].to_pylist())))
-                yield pa.record_batch({"doc_id": part["doc_id"], "item_id": part["item_id"], "score": pa.array(got), "n_seeds": part["n_seeds"], "passage": part["passage"]})
-
-    scored = pairs.mapInArrow(score, empty.schema).where(F.col("score") >= least)
+            out = []
+            for doc, start, text, own in zip(*(b[c].to_pylist() for c in ("doc_id", "start", "words", "wanted"))):
+                words = text.split(" ")
+                for w in own:
+                    item = known.get(w["item"])
+                    if item is None:
+                        known = {} if len(known) > 100_000 else known
+                        item = known[w["item"]] = Counter(_words(w["item"].lower()))
+                    passage = words[max(0, w["first"] - start - w["n_words"]) : w["last"] - start + SEED_WORDS + w["n_words"]]
+                    if can_reach(item, passage, least):
+                        out.append((doc, w["item_id"], w["n_seeds"], w["item"], " ".join(passage)))
+            for k in range(0, len(out), 128):
+                doc, item_id, n, item, passage = zip(*out[k : k + 128])
+                yield pa.record_batch({"doc_id": pa.array(doc, pa.int64()), "item_id": pa.array(item_id, pa.int64()), "score": pa.array(align(list(zip(item, passage)))), "n_seeds": pa.array(n, pa.int32()), "passage": pa.array(passage)})
+
+    met = found.select("region", "doc_id", "start", "words").join(wanted, "region").drop("region")
+    scored = met.mapInArrow(score, empty.schema).where(F.col("score") >= least)
     best = F.max_by(F.struct("n_seeds", "passage"), F.struct("score", "n_seeds", "passage")).alias("b")
     return scored.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), best).select("doc_id", "item_id", "score", "b.n_seeds", "b.passage")
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """`docs` without the documents that hold a test item; rows with a null id stay."""
+    """`docs` without the documents that hold a test item.
+
+    Rows with a null id or a null or empty text stay, rows of one id stay or go together, columns of any name stay as they are.
+    """
     goes = leaks(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(goes, id_col, "left_anti").select(*docs.columns)
