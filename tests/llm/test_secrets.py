@@ -26,8 +26,8 @@ def corpus(n, seed):
         else:
             value = None
             line = rng.choice([
-                "commit " + of(HEX, 40), "sha256: " + of(HEX, 64), "see /usr/share/communication/departments/page.html",
-                "internationalcommunicationdepartments", f"number {rng.randrange(10**16, 10**17)}",
+                "commit " + of(HEX, 40), "sha256: " + of(HEX, 64), f"see /usr/share/{rng.choice(['page', 'reader'])}/departments/page{rng.randrange(50)}.html",
+                "".join(rng.choices(["international", "communication", "departments", "reader"], k=3)), f"number {rng.randrange(10**16, 10**17)}",
             ])
         out.append((f"{prose()} {line} {prose()}", value))
     return out
@@ -48,23 +48,46 @@ def test_labelled_findings(scanned):
     assert len(found) > len(kept) + 100
 
 
-def test_forest_judges_findings_that_no_word_labels(spark):
-    """Fitted to one half; in the other half the words that labels come from are hidden."""
-    rows = corpus(600, 2)
-    docs = spark.createDataFrame([(i, t, None) for i, (t, _) in enumerate(rows)], SCHEMA)
-    known = secrets.dictionary(docs)
-    found = secrets.candidates(docs)
-    features = secrets.with_features(found.where("doc_id < 300").select("candidate", "before").distinct(), known)
-    model = secrets.fit(features)
-    hidden = found.where("doc_id >= 300").withColumn("before", F.when(F.col("before").rlike("[=:]"), F.lit('value = "')).otherwise(F.lit("a ")))
-    held = secrets.with_features(hidden, known)
-    got = {(r.doc_id, r.candidate): r.prediction for r in model.transform(secrets._vectors(held)).collect()}
-    right = [p == ((i, c) in {(k, v) for k, (_, v) in enumerate(rows)}) for (i, c), p in got.items()]
-    assert sum(right) / len(right) > 0.8
+def lookalikes(n, seed):
+    """(text, value, is it a secret): in half of the texts words and form tell different things, or no word tells anything."""
+    rng = random.Random(seed)
+    of = lambda letters, k: "".join(rng.choices(letters, k=k))
+    kinds = [
+        lambda: (f'secret = "{(v := of(MIXED, rng.randint(24, 40)))}"', v, True), lambda: (f"api_key={(v := of(HEX, 32))}", v, True),
+        lambda: (f"password: {(v := of(MIXED, 8) + rng.choice('!#$%') + of(MIXED, 4))}", v, True),
+        lambda: (f"bearer {(v := of(MIXED, rng.randint(24, 40)))}", v, True), lambda: (f"we used {(v := of(MIXED, rng.randint(24, 40)))} there", v, True),
+        lambda: (f"commit {(v := of(HEX, 40))}", v, False), lambda: (f"sha256: {(v := of(HEX, 64))}", v, False),
+        lambda: (f"token: {(v := str(rng.randrange(10**15, 10**17)))}", v, False), lambda: (f"token: {(v := '2024-03-0%d-%08d' % (rng.randint(1, 9), rng.randrange(10**8)))}", v, False),
+        lambda: (f"secret: {(v := '/usr/share/' + '/'.join(rng.choices(['page', 'international', 'communication', 'reader'], k=3)) + str(rng.randrange(10**5)) + '.html')}", v, False),
+        lambda: (f"{(v := '/usr/share/' + '/'.join(rng.choices(['page', 'international', 'communication', 'reader'], k=3)) + str(rng.randrange(10**5)) + '.html')}", v, False),
+        lambda: (f"on {(v := '2024-03-0%d-%08d' % (rng.randint(1, 9), rng.randrange(10**8)))}", v, False),
+        lambda: (f"number {(v := str(rng.randrange(10**16, 10**18)))}", v, False),
+    ]
+    out = []
+    for _ in range(n):
+        line, value, secret = rng.choice(kinds)()
+        prose = [" ".join(rng.choices("the reader of this page would find international communication departments very interesting indeed".split(), k=12)) for _ in range(2)]
+        out.append((f"{prose[0]} {line} {prose[1]}", value, secret))
+    return out
+
+
+def test_forest_judges_lookalikes_it_was_not_fitted_to(spark):
+    rows = lookalikes(1500, 2)
+    docs = spark.createDataFrame([(i, t, None) for i, (t, *_) in enumerate(rows)], SCHEMA)
+    found = secrets.scan(docs).withColumn("fitted", secrets.is_fitted(F.col("candidate"))).collect()
+    held = {(r.doc_id, r.candidate): r.is_secret for r in found if not r.fitted}
+    truth = {(i, v): s for i, (_, v, s) in enumerate(rows)}
+    assert {k for k, s in truth.items() if s} <= {(r.doc_id, r.candidate) for r in found}
+    hit = sum(truth.get(k, False) for k, s in held.items() if s)
+    assert hit / sum(held.values()) >= 0.9 and hit / sum(truth.get(k, False) for k in held) >= 0.9
+    # Nothing tells of findings after neutral words, and of public forms after secret words two things; both are judged.
+    untold = [(truth.get((r.doc_id, r.candidate), False), r.is_secret) for r in found if r.label is None]
+    assert len(untold) > 300 and sum(a == b for a, b in untold) / len(untold) >= 0.9
 
 
 def test_edges(spark):
     docs = spark.createDataFrame([(1, None, "x"), (None, 'token = "0123456789abcdef0123"', "x"), (2, "", None), (2, "AKIA" + "Q" * 15 + "7", None), (3, "word " * 100000, None)], SCHEMA)
+    assert "label" in secrets.scan(docs).columns
     got = secrets.scan(docs).collect()
     assert {(r.doc_id, r.candidate) for r in got if r.is_secret} == {(None, "0123456789abcdef0123"), (2, "AKIA" + "Q" * 15 + "7")}
     assert secrets.scan(docs.limit(0)).count() == 0
