@@ -25,11 +25,12 @@ def connected(links: DataFrame) -> DataFrame:
     )
     before = _state(edges)
     while before[0]:
+        # Sorted merges: the driver then holds no broadcast of each round.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        smallest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        edges = both.where("v > u").join(dealt_anew(smallest, "u"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        smallest = dealt_anew(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "u").hint("merge")
+        edges = both.where("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         smallest = edges.groupBy("u").agg(F.min("v").alias("m"))
-        handed = edges.join(dealt_anew(smallest, "u"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        handed = edges.join(dealt_anew(smallest, "u").hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = checkpointed(handed.unionByName(smallest.withColumnRenamed("m", "v")).distinct())
         after = _state(edges)
         if after == before:

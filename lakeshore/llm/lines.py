@@ -44,7 +44,7 @@ def boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """`docs` without its boilerplate lines, except in the document with the smallest id that has the line; and _n_removed, their number.
 
-    Null texts stay null with 0; a text of which all lines go is empty. Rows with one id are one document: what goes is
+    Null texts stay null with 0; a text of which all lines go is empty, one of any length is worked on whole. Rows with one id are one document: what goes is
     decided for the id, then cut from each of its rows. Null ids are one id, larger than all others. A column that is
     called _n_removed already is replaced.
     """

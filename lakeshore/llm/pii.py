@@ -232,7 +232,7 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     """`docs` with every personal value of the text replaced, and _pii: an array of (kind, value, pseudonym) in the order of the text.
 
     Values that look like a kind but aren't valid (Luhn sum, octets, calendar, area) stay. Null texts stay null with an
-    empty array. Other columns, null and repeated rows pass through; a column called _pii is replaced.
+    empty array; a text of any length is searched whole. Other columns, null and repeated rows pass through; a column called _pii is replaced.
     """
     base = docs.drop("_pii")
     parts, marked = free_name(base, "_parts"), free_name(base, "_marked")

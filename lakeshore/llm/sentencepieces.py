@@ -201,7 +201,7 @@ def encoder(model: str) -> Encoder:
 def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>, decoded string) of every row: the library's ids of the whole text, and its decode(ids).
 
-    A null or empty text gives no ids and an empty string. Ids of documents pass through as they are, null and
+    A null or empty text gives no ids and an empty string; a text of any length is encoded whole. Ids of documents pass through as they are, null and
     repeated ones too. Other columns are ignored; an empty table gives no rows.
     """
 
@@ -218,7 +218,11 @@ def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
 
 
 def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the comma-joined ids and of the decoded text."""
+    """doc_id, n_tokens, and SHA-256 of the comma-joined ids and of the decoded text, for each row of encode_decode().
+
+    Of a text without ids these are 0 and the digests of empty strings; null and repeated ids pass through; other columns are
+    ignored; an empty table gives no rows.
+    """
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -61,21 +62,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, parts: int = 1) -> np.
     return _votes(_shingles(text, shingle), parts)
 
 
-def set_fingerprint(text: str | None, shingle: int, parts: int) -> np.ndarray:
-    """fingerprint() of the text's distinct shingles: a repeated one counts once."""
-    return _votes([shingle_set(text, shingle)], parts)
-
-
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, parts: int = 1, distinct: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, parts: int = 1) -> DataFrame:
     """(doc_id, fp, more) of every row: the first part, and an array of the further ones; a text without words has zeros.
 
-    With `distinct`, repeated shingles of a text count once.
+    Null texts are empty ones; null and repeated ids pass through; a text of any length is hashed whole.
     """
-    of = set_fingerprint if distinct else fingerprint
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            fp = np.array([of(x.as_py(), shingle, parts) for x in b["text"]], np.int64).reshape(-1, parts)
+            fp = np.array([fingerprint(x.as_py(), shingle, parts) for x in b["text"]], np.int64).reshape(-1, parts)
             more = pa.ListArray.from_arrays(pa.array(np.arange(len(fp) + 1, dtype=np.int32) * (parts - 1)), pa.array(fp[:, 1:].ravel()))
             yield pa.record_batch({"doc_id": b["doc_id"], "fp": pa.array(fp[:, 0].copy()), "more": more})
 
@@ -131,26 +126,27 @@ def forest(left: np.ndarray, right: np.ndarray | None, radius: int = RADIUS, blo
     return names[parent[child]], names[child]
 
 
-def near_links(groups: DataFrame, radius: int = RADIUS, tile: int = 16384, whole: int | None = None) -> DataFrame:
+def near_links(groups: DataFrame, radius: int = RADIUS, tile: int = 16384, whole: int | None = None, level: Column | None = None, reach: int | None = None) -> DataFrame:
     """Links (u, v) of nodes that connect the distinct fingerprints of groups(node, fp, more) just as all near pairs do.
 
-    Fingerprints are dealt by hash into tiles of about `tile`, each of one bit count. Only tiles whose bit counts differ by
-    the radius at most are paired, as a join of tile keys; each pair of tiles is one row of a mapInArrow. At most 65
-    counts come to the driver.
+    Fingerprints are dealt by hash into tiles of about `tile`, each of one level: the bit count, or another whole number
+    of which no near pair's differ by over `reach`. Only tiles whose levels do not are paired, as a join of tile keys;
+    each pair of tiles is one row of a mapInArrow. A count for each level comes to the driver.
     """
-    ones = F.bit_count("fp")
-    sizes = {r[0]: r[1] for r in groups.groupBy(ones.alias("p")).count().collect()}
-    chunks = [-(-sizes.get(p, 0) // tile) for p in range(65)]
-    n_chunks = F.element_at(F.array(*map(F.lit, chunks)), F.col("p") + 1)
+    level, reach = (F.bit_count("fp"), radius) if level is None else (level, reach)
+    levelled = checkpointed(groups.select("node", "fp", "more", level.cast("int").alias("p")))
+    sizes = {r[0]: r[1] for r in levelled.groupBy("p").count().collect()}
+    last = max(sizes, default=0)
+    chunks = [-(-sizes.get(p, 0) // tile) for p in range(last + 1)]
+    n_chunks = lambda p: F.element_at(F.array(*map(F.lit, chunks)), F.col(p) + 1)
     tiles = checkpointed(
-        groups.select("node", "fp", "more", ones.alias("p"))
-        .withColumn("c", F.pmod(F.xxhash64("fp", "node"), n_chunks).cast("int"))
+        levelled.withColumn("c", F.pmod(F.xxhash64("fp", "node"), n_chunks("p")).cast("int"))
         .groupBy("p", "c").agg(F.collect_list(F.struct("node", F.array_prepend("more", F.col("fp")).alias("parts"))).alias("tile"))
     )
-    partner = F.explode(F.sequence("p", F.least(F.lit(64), F.col("p") + radius))).alias("q")
-    pairs = tiles.select("p", "c", partner).withColumn("n", F.element_at(F.array(*map(F.lit, chunks)), F.col("q") + 1))
+    partner = F.explode(F.sequence("p", F.least(F.lit(last), F.col("p") + reach))).alias("q")
+    pairs = tiles.select("p", "c", partner).withColumn("n", n_chunks("q"))
     pairs = pairs.where("n > 0").withColumn("d", F.explode(F.expr("sequence(0, n - 1)"))).where("q > p or d >= c").select("p", "c", "q", "d")
-    n_pairs = sum(chunks[p] * chunks[q] if q > p else chunks[p] * (chunks[p] + 1) // 2 for p in range(65) for q in range(p, min(65, p + radius + 1)))
+    n_pairs = sum(chunks[p] * chunks[q] if q > p else chunks[p] * (chunks[p] + 1) // 2 for p in range(last + 1) for q in range(p, min(last, p + reach) + 1))
     other = tiles.select(F.col("p").alias("q"), F.col("c").alias("d"), F.col("tile").alias("other"))
     met = pairs.join(tiles, ["p", "c"]).join(other, ["q", "d"])
     met = met.select(F.expr("p = q and c = d").alias("own"), "tile", "other").repartition(max(parallelism(groups), n_pairs // 32))
@@ -194,6 +190,25 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 #: that share 8 of 10 distinct shingles differ in 15 % of the bits on average, unrelated ones in half. The radii are wide:
 #: they only find candidates, which shingles confirm. CHUNK texts at most are compared with one another or with as many at once.
 PARTS, FIRST_RADIUS, WHOLE_RADIUS, CHUNK = 4, 20, 64, 128
+#: Texts with Jaccard 0.8 have sizes in a ratio of 1.25 at most: so many levels of the size make one such ratio. One more level
+#: is compared for the sake of rounded logarithms.
+LEVELS, SIMILAR_TILE = 4, 65536
+
+
+def set_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, parts: int) -> DataFrame:
+    """(doc_id, fp, more, size) of every row: the fingerprint of a text's distinct shingles, each counted once, and their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            fp, size = np.zeros((b.num_rows, parts), np.int64), np.zeros(b.num_rows, np.int64)
+            for k, x in enumerate(b["text"]):
+                own = shingle_set(x.as_py(), shingle)
+                fp[k], size[k] = _votes([own], parts), len(own)
+            more = pa.ListArray.from_arrays(pa.array(np.arange(len(fp) + 1, dtype=np.int32) * (parts - 1)), pa.array(fp[:, 1:].ravel()))
+            yield pa.record_batch({"doc_id": b["doc_id"], "fp": pa.array(fp[:, 0].copy()), "more": more, "size": pa.array(size)})
+
+    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return kept.mapInArrow(run, "doc_id long, fp long, more array<long>, size long")
 
 
 def confirmed(texts: list[tuple[int, int, bool, set]], own: bool) -> list[tuple[int, int]]:
@@ -287,24 +302,30 @@ def similar_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: st
     return links.unionByName(_confirmed_links(jobs))
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, tile: int = 16384, chunk: int = CHUNK) -> DataFrame:
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, tile: int = SIMILAR_TILE, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, component_id) of every row with an id: groups over links of texts whose sets of word shingles have Jaccard 0.8 or more.
 
     Fingerprints have four parts, so that the share of differing bits tells the similarity to a few hundredths: the
-    first part is compared between all tiles, the others where it is near. The groups that this gives are then compared
-    by their shingles. Texts without words are one group. Rows with a null id are left out.
+    first part is compared between all tiles of sizes that can be similar, the others where it is near. The groups that this gives
+    are then compared by their shingles. Texts without words are one group. Rows with a null id are left out, rows of one
+    id each have one; a text of any length is taken whole, other columns are ignored, an empty table gives no rows.
     """
-    fps = checkpointed(fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle, PARTS, distinct=True))
-    groups = checkpointed(fps.groupBy("fp", "more").agg(F.min("doc_id").alias("node")))
-    near = connected(near_links(groups, FIRST_RADIUS, tile, WHOLE_RADIUS)).select(F.col("u").alias("node"), F.col("v").alias("root"))
+    fps = checkpointed(set_fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle, PARTS))
+    groups = checkpointed(fps.groupBy("fp", "more", "size").agg(F.min("doc_id").alias("node")))
+    level = F.floor(LEVELS * F.ln(F.greatest("size", F.lit(1))) / math.log(1.25))
+    near = connected(near_links(groups, FIRST_RADIUS, tile, WHOLE_RADIUS, level, LEVELS + 1)).select(F.col("u").alias("node"), F.col("v").alias("root"))
     members = checkpointed(near.unionByName(near.select(F.col("root").alias("node"), "root").distinct()))
     roots = connected(similar_links(docs, members, id_col, text_col, shingle, chunk))
     rooted = groups.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
-    rooted = rooted.select("fp", "more", F.coalesce("root", "node").alias("component_id"))
-    return fps.join(rooted, ["fp", "more"]).select("doc_id", "component_id")
+    rooted = rooted.select("fp", "more", "size", F.coalesce("root", "node").alias("component_id"))
+    return fps.join(dealt_anew(rooted, "fp"), ["fp", "more", "size"]).select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
-    """`docs` with the smallest doc_id of each group of similar texts. Rows of one id stay or go together; those with a null id stay."""
+    """`docs` with the smallest doc_id of each group of similar texts, so that no group has a tie.
+
+    Rows of one id stay or go together; those with a null id stay. Null, empty and blank texts are copies of one another. A text
+    of any length is taken whole; columns of any name stay as they are; an empty table stays empty.
+    """
     goes = similar(docs, id_col, text_col, shingle).where("component_id < doc_id").select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(goes, id_col, "left_anti").select(*docs.columns)
