@@ -212,7 +212,7 @@ def set_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int,
 
 
 def confirmed(texts: list[tuple[int, int, bool, set]], own: bool) -> list[tuple[int, int]]:
-    """Links (u, v) of a spanning forest over the pairs of (node, group, side, shingles) with Jaccard 0.8 or more.
+    """Links of a spanning forest over groups, from the pairs of (node, group, side, shingles) with Jaccard 0.8 or more.
 
     Nodes of one group are linked already. Unless `own`, only texts of different sides are compared.
     """
@@ -226,28 +226,42 @@ def confirmed(texts: list[tuple[int, int, bool, set]], own: bool) -> list[tuple[
     links = []
     texts = sorted(texts, key=lambda x: len(x[3]))
     low = 0
-    for k, (u, g, side, a) in enumerate(texts):
+    for k, (_, g, side, a) in enumerate(texts):
         while 5 * len(texts[low][3]) < 4 * len(a):
             low += 1
-        for v, h, other, b in texts[low:k]:
+        for _, h, other, b in texts[low:k]:
             if (own or side != other) and root(g) != root(h) and 9 * len(a & b) >= 4 * (len(a) + len(b)):
-                links.append((u, v))
-                up[root(g)] = root(h)
+                links.append((g, h))
+                g, h = root(g), root(h)
+                up[max(g, h)] = min(g, h)
     return links
 
 
-def _confirmed_links(jobs: DataFrame) -> DataFrame:
-    """confirmed() for each (root, lo, hi) of jobs(root, lo, hi, node, t, side, shingles): links (u, v)."""
+def _confirmed(jobs: DataFrame, labels: bool) -> DataFrame:
+    """confirmed() for each (root, lo, hi) of jobs(root, lo, hi, node, t, side, shingles): links (u, v) of groups t.
+
+    With labels, each node (u) with the smallest group (v) that it is linked to, its own one included.
+    """
     met = jobs.groupBy("root", "lo", "hi").agg(F.collect_set(F.struct("node", "t", "side", "shingles")).alias("texts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            links = []
+            out = []
             for texts, own in zip(b["texts"], b["own"].to_pylist()):
                 x = texts.values
                 sets = [set(s.values.to_numpy().tolist()) for s in x.field("shingles")]
-                links += confirmed(list(zip(*(x.field(c).to_pylist() for c in ("node", "t", "side")), sets)), own)
-            yield pa.record_batch({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
+                nodes, groups, sides = (x.field(c).to_pylist() for c in ("node", "t", "side"))
+                links = confirmed(list(zip(nodes, groups, sides, sets)), own)
+                if labels:
+                    at = {t: k for k, t in enumerate(sorted(set(groups)))}
+                    parent = np.arange(len(at))
+                    _unite(parent, *(np.array([at[t] for t in side], np.int64) for side in (zip(*links) if links else ((), ()))))
+                    while not np.array_equal(parent, parent[parent]):
+                        parent = parent[parent]
+                    names = sorted(at)
+                    links = [(node, names[parent[at[t]]]) for node, t in zip(nodes, groups)]
+                out += links
+            yield pa.record_batch({"u": pa.array([u for u, _ in out], pa.int64()), "v": pa.array([v for _, v in out], pa.int64())})
 
     return met.select(F.expr("lo = hi").alias("own"), "texts").mapInArrow(run, "u long, v long")
 
@@ -257,8 +271,8 @@ def _dealt(texts: DataFrame, k: Column) -> DataFrame:
     return texts.withColumn("lo", F.pmod(F.xxhash64("node"), k).cast("int")).withColumn("hi", F.col("lo")).withColumn("side", F.lit(True))
 
 
-def similar_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int, chunk: int = CHUNK) -> DataFrame:
-    """Links (u, v) that connect the nodes of members(node, root) as all pairs in a root with Jaccard 0.8 or more do.
+def similar_groups(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int, chunk: int = CHUNK) -> DataFrame:
+    """(node, t) of members(node, root): the smallest node that all pairs in a root with Jaccard 0.8 or more link it to.
 
     Three rounds: the texts of a root are cut into chunks by hash, and each chunk is compared within; then one text of each
     group that this gave; at last all texts outside the largest group with all of the root. The pairs that no
@@ -278,28 +292,27 @@ def similar_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: st
     kept = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     texts = checkpointed(kept.join(sized, "node").mapInArrow(run, "node long, root long, n long, shingles array<long>"))
     chunks = lambda size: F.ceil(size / F.lit(chunk))
-    links = checkpointed(_confirmed_links(_dealt(texts.withColumn("t", F.col("node")), chunks(F.col("n")))))
+    node_t = lambda df, node, t: df.select(F.col("u").alias(node), F.col("v").alias(t)).distinct()
+    first = checkpointed(node_t(_confirmed(_dealt(texts.withColumn("t", F.col("node")), chunks(F.col("n"))), True), "node", "t"))
     texts = texts.where(F.col("n") > chunk)
     if texts.isEmpty():
-        return links
-
-    def grouped(links: DataFrame) -> DataFrame:
-        t = connected(links).select(F.col("u").alias("node"), F.col("v").alias("t"))
-        return texts.join(t, "node", "left").withColumn("t", F.coalesce("t", "node"))
-
-    reps = grouped(links).where("t = node")
-    reps = reps.drop("n").join(reps.groupBy("root").agg(n), "root")
-    links = checkpointed(links.unionByName(_confirmed_links(_dealt(reps, chunks(F.col("n"))))))
-    now = checkpointed(grouped(links))
+        return first
+    reps = texts.drop("n").join(first.where("t = node").select("node"), "node").withColumn("t", F.col("node"))
+    reps = reps.join(reps.groupBy("root").agg(n), "root")
+    second = checkpointed(node_t(_confirmed(_dealt(reps, chunks(F.col("n"))), True), "t", "t2"))
+    now = texts.drop("n").join(first, "node").join(second, "t").select("root", "node", F.col("t2").alias("t"), "shingles")
+    now = checkpointed(now)
     sizes = now.groupBy("root", "t").agg(n).groupBy("root").agg(F.sum("n").alias("n"), F.max(F.struct("n", "t")).alias("most"))
     sizes = sizes.select("root", F.col("most.t").alias("largest"), chunks(F.col("n") - F.col("most.n")).alias("kr"), chunks(F.col("most.n")).alias("kb"))
     rest = F.col("t") != F.col("largest")
     at = F.when(rest, F.pmod(F.xxhash64("node"), F.col("kr"))).otherwise(F.col("kr") + F.pmod(F.xxhash64("node"), F.col("kb")))
-    open_ = now.drop("n").join(sizes.where("kr > 0"), "root").withColumn("c", at.cast("int"))
+    open_ = now.join(sizes.where("kr > 0"), "root").withColumn("c", at.cast("int"))
     last = F.when(rest, F.col("kr") + F.col("kb")).otherwise(F.col("kr")) - 1
     jobs = open_.withColumn("d", F.explode(F.sequence(F.lit(0), last.cast("int"))))
     jobs = jobs.select("root", F.least("c", "d").alias("lo"), F.greatest("c", "d").alias("hi"), "node", "t", F.expr("c <= d").alias("side"), "shingles")
-    return links.unionByName(_confirmed_links(jobs))
+    third = node_t(connected(_confirmed(jobs, False)), "t2", "t3")
+    by_t = second.join(third, "t2", "left").select("t", F.coalesce("t3", "t2").alias("t2"))
+    return first.join(by_t, "t", "left").select("node", F.coalesce("t2", "t").alias("t"))
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, tile: int = SIMILAR_TILE, chunk: int = CHUNK) -> DataFrame:
@@ -315,9 +328,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     level = F.floor(LEVELS * F.ln(F.greatest("size", F.lit(1))) / math.log(1.25))
     near = connected(near_links(groups, FIRST_RADIUS, tile, WHOLE_RADIUS, level, LEVELS + 1)).select(F.col("u").alias("node"), F.col("v").alias("root"))
     members = checkpointed(near.unionByName(near.select(F.col("root").alias("node"), "root").distinct()))
-    roots = connected(similar_links(docs, members, id_col, text_col, shingle, chunk))
-    rooted = groups.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
-    rooted = rooted.select("fp", "more", "size", F.coalesce("root", "node").alias("component_id"))
+    rooted = groups.join(similar_groups(docs, members, id_col, text_col, shingle, chunk), "node", "left")
+    rooted = rooted.select("fp", "more", "size", F.coalesce("t", "node").alias("component_id"))
     return fps.join(dealt_anew(rooted, "fp"), ["fp", "more", "size"]).select("doc_id", "component_id")
 
 

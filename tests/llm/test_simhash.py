@@ -147,9 +147,9 @@ def test_groups_of_many_chunks_are_those_of_all_pairs(spark):
     texts = [first]
     for _ in range(99):
         texts.append(edited(rng, rng.choice([first, texts[-1], rng.choice(texts)]), rng.randint(1, 5)))
-    label = list(range(100))
+    label, near = list(range(100)), [[j for j in range(100) if jaccard(a, texts[j]) >= 0.8] for a in texts]
     for _ in range(100):
-        label = [min(label[j] for j in range(100) if jaccard(a, texts[j]) >= 0.8) for a in texts]
+        label = [min(label[j] for j in own) for own in near]
     got = simhash.similar(spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA), chunk=4).collect()
     assert len(set(label)) > 3 and {r.doc_id: r.component_id for r in got} == dict(enumerate(label))
 
