@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from .common import checkpointed, dealt_anew
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each larger end has one link and is no other's smaller end: then the smaller ends are the components' smallest nodes."""
+    end = lambda node, upper: F.struct(F.col(node).alias("node"), F.lit(upper).alias("upper"))
+    ends = edges.select(F.explode(F.array(end("u", 1), end("v", 0))).alias("e")).select("e.*")
+    open_ = ends.groupBy("node").agg(F.sum("upper").alias("n"), F.min("upper").alias("least")).where("n > 1 or n = 1 and least = 0")
+    return not open_.agg(F.count("*")).first()[0]
 
 
 def connected(links: DataFrame) -> DataFrame:
     """links(u, v) -> (u, v): every node u of a component that isn't its smallest node, with that smallest node v.
 
-    Alternates two rewrites of the links until nothing changes: each node hands its larger neighbours to its smallest
+    Alternates two rewrites of the links until they are stars: each node hands its larger neighbours to its smallest
     neighbour, then its smaller ones. The rounds grow with the logarithm of the longest path. A node with many
     links is a minimum aggregate (combined before the shuffle) and a join that adaptive execution can split.
     Loops and repeated links do no harm; an empty table gives an empty table.
@@ -23,17 +27,12 @@ def connected(links: DataFrame) -> DataFrame:
     edges = checkpointed(
         links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
-    before = _state(edges)
-    while before[0]:
+    while not _are_stars(edges):
         # Sorted merges: the driver then holds no broadcast of each round.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = dealt_anew(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "u").hint("merge")
-        edges = both.where("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        smallest = edges.groupBy("u").agg(F.min("v").alias("m"))
-        handed = edges.join(dealt_anew(smallest, "u").hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = checkpointed(handed.unionByName(smallest.withColumnRenamed("m", "v")).distinct())
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
+        handed = both.where("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        smallest = handed.groupBy("u").agg(F.min("v").alias("m"))
+        on = handed.join(dealt_anew(smallest, "u").hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = checkpointed(on.unionByName(smallest.withColumnRenamed("m", "v")).distinct())
     return edges

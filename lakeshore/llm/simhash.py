@@ -240,9 +240,10 @@ def confirmed(texts: list[tuple[int, int, bool, set]], own: bool) -> list[tuple[
 def _confirmed(jobs: DataFrame, labels: bool) -> DataFrame:
     """confirmed() for each (root, lo, hi) of jobs(root, lo, hi, node, t, side, shingles): links (u, v) of groups t.
 
-    With labels, each node (u) with the smallest group (v) that it is linked to, its own one included.
+    With labels, each node (u) with the smallest group (v) that it is linked to, its own one included. Each job is dealt for itself,
+    even where jobs comes from a join by root, whose partitioning would bring all jobs of a root into one task.
     """
-    met = jobs.groupBy("root", "lo", "hi").agg(F.collect_set(F.struct("node", "t", "side", "shingles")).alias("texts"))
+    met = dealt_anew(jobs, "root").groupBy("root", "lo", "hi").agg(F.collect_set(F.struct("node", "t", "side", "shingles")).alias("texts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -298,7 +299,7 @@ def similar_groups(docs: DataFrame, members: DataFrame, id_col: str, text_col: s
     if texts.isEmpty():
         return first
     reps = texts.drop("n").join(first.where("t = node").select("node"), "node").withColumn("t", F.col("node"))
-    reps = reps.join(reps.groupBy("root").agg(n), "root")
+    reps = reps.join(dealt_anew(reps.groupBy("root").agg(n), "root").hint("merge"), "root")
     second = checkpointed(node_t(_confirmed(_dealt(reps, chunks(F.col("n"))), True), "t", "t2"))
     now = texts.drop("n").join(first, "node").join(second, "t").select("root", "node", F.col("t2").alias("t"), "shingles")
     now = checkpointed(now)
@@ -306,7 +307,7 @@ def similar_groups(docs: DataFrame, members: DataFrame, id_col: str, text_col: s
     sizes = sizes.select("root", F.col("most.t").alias("largest"), chunks(F.col("n") - F.col("most.n")).alias("kr"), chunks(F.col("most.n")).alias("kb"))
     rest = F.col("t") != F.col("largest")
     at = F.when(rest, F.pmod(F.xxhash64("node"), F.col("kr"))).otherwise(F.col("kr") + F.pmod(F.xxhash64("node"), F.col("kb")))
-    open_ = now.join(sizes.where("kr > 0"), "root").withColumn("c", at.cast("int"))
+    open_ = now.join(dealt_anew(sizes.where("kr > 0"), "root").hint("merge"), "root").withColumn("c", at.cast("int"))
     last = F.when(rest, F.col("kr") + F.col("kb")).otherwise(F.col("kr")) - 1
     jobs = open_.withColumn("d", F.explode(F.sequence(F.lit(0), last.cast("int"))))
     jobs = jobs.select("root", F.least("c", "d").alias("lo"), F.greatest("c", "d").alias("hi"), "node", "t", F.expr("c <= d").alias("side"), "shingles")
