@@ -1 +1 @@
-"""A PySpark library for a retailer's lakehouse: ingest, clean, classify, aggregate and report."""
+"""A PySpark library for a retailer's layered tables: ingest, clean, classify, aggregate and report."""

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.clean import epoch_seconds
-from ..functions.vocabulary import EVENT_TYPES, STATUSES
+from .functions.clean import epoch_seconds
+from .functions.vocabulary import EVENT_TYPES, STATUSES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -12,13 +12,12 @@ BUCKETS = {"discovery": range(1, 5), "cart": range(5, 9), "checkout": range(9, 1
 # Order statuses. STOCK is work in hand, FLOW is closed; F (payment failed) is in neither.
 STATUSES = "WRODICBPF"
 STOCK, FLOW = ("W", "O", "D", "P"), ("I", "B", "C", "R")
-CHANNELS = ("offline", "online")
 NEW, RETAINED, RESURRECTED = 1, 2, 3
 INSERTED, UPDATED, DELETED = 0, 1, 2
 # Upper bounds of the aging categories in days, and their names.
 AGING = [(1, "<", "<1"), (3, "<=", "<=3"), (7, "<=", "<=7"), (14, "<=", "<=14"), (28, "<=", "<=28")]
 
-#: Fields of the metadata of an event; each event type fills some.
+# The fields of the metadata of an event; each event type fills some.
 METADATA = (
     "source_screen string, source_element string, position int, app_version string, search_keyword string, result_count int, "
     "product_id string, product_name string, base_price bigint, variant_type string, variant_value string, variant_color string, "
@@ -27,12 +26,12 @@ METADATA = (
     "promotion_id string, promotion_type string, discount_amount bigint, is_valid int, error_message string, payment_method string, "
     "final_amount bigint, order_id string, transaction_id string, is_success int, error_code string"
 )
-#: An event as its producer sends it.
+# An event as its producer sends it.
 ENVELOPE = (
     "event_uuid string, event_id int, event_type string, timestamp bigint, log_date string, created_at string, session_id string, "
     f"user_id string, device_os string, app_version string, metadata struct<{METADATA}>"
 )
-#: Fields of a bucket's events beside those that all events have.
+# Fields of a bucket's events beside those that all events have.
 FIELDS = {
     "discovery": ["source_screen", "source_element", "position", "search_keyword", "result_count", "product_id", "product_name", "base_price", "variant_type", "variant_value"],
     "cart": ["source_screen", "source_element", "product_id", "variant_color", "variant_size", "quantity", "removed_quantity", "action_type", "old_quantity", "new_quantity", "total_items", "cart_total_value"],
@@ -42,7 +41,7 @@ FIELDS = {
     ],
 }
 
-#: ERP tables as declared; readers cast to these.
+# ERP tables as declared; readers cast to these.
 ERP = {
     "customers": "customer_id string, first_name string, last_name string, phone string, dob date, age int, gender int, address_line string, is_deleted int, registered_datetime timestamp, created_at timestamp, updated_at timestamp, source string",
     "category": "category_id string, category_name string, is_current boolean, created_at timestamp, updated_at timestamp",

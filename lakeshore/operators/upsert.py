@@ -10,8 +10,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: bool =
     """target with the rows of source merged in by keys, as source's columns are named in target.
 
     Without update matched rows stay as they are; with it they take source's values except in the columns `keep`.
-    A null key matches nothing, so its row is inserted. Of source rows with one key update takes an arbitrary row
-    unless unique() has been checked before; inserts keep all of them.
+    A null key matches nothing, so its row is inserted. Source rows with one key are all kept, and with `keep` each of them
+    once for every target row of the key; repeated_keys() finds them, and merge_table raises on them.
     """
     source = source.select(*target.columns)
     if not update:

@@ -6,7 +6,7 @@ from .functions.vocabulary import EVENT_TYPES
 
 _TYPES = "[" + ", ".join(f"'{t}'" for t in EVENT_TYPES) + "]"
 
-# Every tenth event has a second version with ten units more; the later version counts, events without an id don't.
+# Every tenth event has a second version with ten units more; the version that came in last counts, events without an id don't.
 _EVENTS = f"""
     sent AS (
         SELECT event_id AS n, 1 + event_id % 14 AS no, ts, user_id AS u, event_type AS src, value,
@@ -23,7 +23,8 @@ _EVENTS = f"""
     ev AS (
         SELECT *, strftime(ts, '%Y%m%d') || '_' || user_id || '_' || no AS trans_event_id, date_trunc('second', ts) AS event_time,
             coalesce(is_success = 0, false) OR coalesce(is_valid = 0, false) AS failed
-        FROM named WHERE event_uuid IS NOT NULL AND late = CASE WHEN n % 10 = 0 THEN 1 ELSE 0 END
+        FROM named WHERE event_uuid IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY event_uuid ORDER BY ts + to_hours(late) DESC, u % 10 DESC, 2 * n + late DESC) = 1
     )"""
 _COMMON = "event_uuid, trans_event_id, event_id, event_type, event_time, log_date, session_id, user_id, device_os, app_version"
 
@@ -77,15 +78,16 @@ def _rate(part: str, whole: str, digits: int = 4, times: str = "") -> str:
     return f"round({times}sum({part})::DOUBLE / sum({whole})::DOUBLE, {digits})"
 
 
-# The newest snapshot of each order is the one that isn't the old one, as ties go to the later load.
+# Every seventh order has an older snapshot; the newest one by change, then by load, counts.
 _TX = """
-    tx AS (
+    versions AS (
         SELECT o_orderkey AS k, o_orderkey::VARCHAR AS transaction_id, 'b' || (o_custkey % 5) AS branch_id, o_orderdate + to_seconds(o_orderkey % 86400) AS transaction_datetime,
             o_orderpriority AS payment_type, o_totalprice::DECIMAL(15, 2) AS trans_total_amount, CASE WHEN o_orderkey % 53 <> 0 THEN 'c' || o_custkey END AS customer_id,
-            substr('WRODICBPF', (1 + o_orderkey % 9)::INT, 1) AS order_status, CASE WHEN o_orderkey % 2 = 0 THEN 'offline' ELSE 'online' END AS channel,
-            o_orderdate AS old_updated_at, o_orderdate + to_days((o_orderkey % 40)::INT) AS updated_at
-        FROM orders
+            CASE WHEN old = 1 THEN 'W' ELSE substr('WRODICBPF', (1 + o_orderkey % 9)::INT, 1) END AS order_status, CASE WHEN o_orderkey % 2 = 0 THEN 'offline' ELSE 'online' END AS channel,
+            o_orderdate AS ordered, CASE WHEN old = 1 THEN o_orderdate ELSE o_orderdate + to_days((o_orderkey % 40)::INT) END AS updated_at, old
+        FROM (SELECT *, unnest(CASE WHEN o_orderkey % 7 = 0 THEN [0, 1] ELSE [0] END) AS old FROM orders)
     ),
+    tx AS (SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY transaction_id, branch_id ORDER BY updated_at DESC NULLS LAST, old, order_status) = 1),
     timed AS (SELECT *, strftime(transaction_datetime, '%Y%m') AS ym, strftime(transaction_datetime, '%Y%m%d') AS ymd FROM tx),
     nou AS (SELECT customer_id, min(ymd) AS nou_ymd FROM timed WHERE customer_id IS NOT NULL GROUP BY customer_id),
     months AS (SELECT DISTINCT customer_id, ym FROM timed WHERE customer_id IS NOT NULL),
@@ -112,20 +114,24 @@ def _group(name: str, codes: str) -> str:
 
 _STATES = """
     states AS (SELECT k, transaction_id, branch_id, order_status, transaction_datetime AS created_at, updated_at FROM tx),
-    old AS (SELECT transaction_id, branch_id, order_status, created_at, updated_at FROM states WHERE month(created_at) % 2 = 0),
-    new AS (SELECT transaction_id, branch_id, 'I' AS order_status, created_at + INTERVAL 1 DAY AS created_at, updated_at + INTERVAL 50 DAY AS updated_at FROM states WHERE k % 3 = 0)"""
+    old AS (SELECT transaction_id, branch_id, order_status, created_at, updated_at FROM states WHERE created_at < TIMESTAMP '1998-01-01'),
+    new AS (SELECT transaction_id, branch_id, 'I' AS order_status, created_at + INTERVAL 1 DAY AS created_at, updated_at + INTERVAL 50 DAY AS updated_at FROM states WHERE created_at >= TIMESTAMP '1997-06-01')"""
 
 _CUSTOMERS = """
+    people AS (
+        SELECT c_custkey AS k, n_name, 'c' || c_custkey AS customer_id, c_mktsegment || CASE WHEN old = 1 THEN ' before' ELSE '' END AS segment,
+            TIMESTAMP '2024-01-01' + to_days((c_custkey % 10)::INT) AS created_at, TIMESTAMP '2024-01-01' + to_days((c_custkey % 10 + c_custkey % 5 - old)::INT) AS updated_at
+        FROM (SELECT *, unnest(CASE WHEN c_custkey % 4 = 0 THEN [0, 1] ELSE [0] END) AS old FROM customer) JOIN nation ON c_nationkey = n_nationkey
+    ),
     latest AS (
-        SELECT 'c' || c_custkey AS customer_id, c_custkey AS k,
-            trim(regexp_replace(concat_ws(' ', CASE WHEN c_custkey % 20 > 1 THEN ' Customer  ' || (c_custkey % 100) END, CASE WHEN c_custkey % 20 <> 0 THEN c_mktsegment END), '\\s+', ' ', 'g')) AS full_name,
-            CASE WHEN c_custkey % 11 <> 0 THEN CASE WHEN c_custkey % 13 = 0 THEN '12' ELSE 'xxxxxxx' || right(lpad(c_custkey::VARCHAR, 8, '0'), 3) END END AS phone,
-            DATE '1980-01-01' + (c_custkey % 9000)::INT AS dob, (c_custkey % 80)::INT AS age, ['O', 'M', 'F'][1 + c_custkey % 3] AS gender,
-            CASE WHEN c_custkey % 17 = 0 THEN 'unknown' WHEN c_custkey % 19 = 0 THEN '' ELSE n_name END AS city,
-            CASE WHEN c_custkey % 23 = 0 THEN 2 WHEN c_custkey % 10 = 4 THEN 0 ELSE 1 END::INT AS _cdc_operation,
-            TIMESTAMP '2024-01-01' + to_days((c_custkey % 10)::INT) AS registered_datetime, TIMESTAMP '2024-01-01' + to_days((c_custkey % 10 + c_custkey % 5)::INT) AS updated_at,
-            CASE WHEN c_custkey % 2 = 0 THEN 'pos' ELSE 'web' END AS source
-        FROM customer JOIN nation ON c_nationkey = n_nationkey
+        SELECT customer_id, k,
+            trim(regexp_replace(concat_ws(' ', CASE WHEN k % 20 > 1 THEN ' Customer  ' || (k % 100) END, CASE WHEN k % 20 <> 0 THEN segment END), '\\s+', ' ', 'g')) AS full_name,
+            CASE WHEN k % 11 <> 0 THEN CASE WHEN k % 13 = 0 THEN '12' ELSE 'xxxxxxx' || right(lpad(k::VARCHAR, 8, '0'), 3) END END AS phone,
+            DATE '1980-01-01' + (k % 9000)::INT AS dob, (k % 80)::INT AS age, ['O', 'M', 'F'][1 + k % 3] AS gender,
+            CASE WHEN k % 17 = 0 THEN 'unknown' WHEN k % 19 = 0 THEN '' ELSE n_name END AS city,
+            CASE WHEN k % 23 = 0 THEN 2 WHEN k % 10 = 4 THEN 0 ELSE 1 END::INT AS _cdc_operation, created_at AS registered_datetime, updated_at,
+            CASE WHEN k % 2 = 0 THEN 'pos' ELSE 'web' END AS source
+        FROM people QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC) = 1
     )"""
 _CREATED = "TIMESTAMP '2024-01-01' + to_days(({0} % 10)::INT) AS created_at, TIMESTAMP '2024-01-01' + to_days(({0} % 15)::INT) AS updated_at"
 _KIND = "CASE WHEN {0} % {1} = 0 THEN 2 WHEN {0} % 10 = 4 THEN 0 ELSE 1 END::INT AS _cdc_operation"
@@ -151,20 +157,18 @@ def _with(*parts: str) -> str:
 ORACLES: dict[str, str] = {
     "bronze_events": _with(_EVENTS) + """SELECT event_uuid, event_id, event_type, event_ts, log_date, created_at, session_id, user_id, device_os, app_version,
         'behavior_events' AS _kafka_topic, (u % 10)::INT AS _kafka_partition, 2 * n + late AS _kafka_offset FROM named""",
-    "bronze_transactions": _with(_TX) + """, v AS (SELECT *, 0 AS old FROM tx UNION ALL SELECT *, 1 AS old FROM tx WHERE k % 7 = 0),
-        w AS (SELECT * EXCLUDE (order_status, updated_at), CASE WHEN old = 1 THEN 'W' ELSE order_status END AS order_status, CASE WHEN old = 1 THEN old_updated_at ELSE updated_at END AS updated_at FROM v)
-        SELECT strftime(updated_at, '%Y%m%d') AS report_date, strftime(updated_at, '%Y%m') AS report_month, channel, branch_id, transaction_id, transaction_datetime, payment_type, trans_total_amount,
+    "bronze_transactions": _with(_TX) + """SELECT strftime(updated_at, '%Y%m%d') AS report_date, strftime(updated_at, '%Y%m') AS report_month, channel, branch_id, transaction_id, transaction_datetime, payment_type, trans_total_amount,
             CASE WHEN k % 2 = 0 THEN k % 8 END::INT AS trans_total_line, CASE WHEN k % 2 = 0 THEN k % 6 END::INT AS trans_total_sell_sku, customer_id, order_status,
-            old_updated_at::DATE AS delivery_date, transaction_datetime AS created_at, updated_at FROM w""",
+            ordered::DATE AS delivery_date, transaction_datetime AS created_at, updated_at FROM versions""",
     "bronze_transaction_details": """
         WITH l AS (
             SELECT l_orderkey || '-' || l_linenumber AS id, l_orderkey::VARCHAR AS transaction_id, CASE WHEN l_orderkey % 2 = 0 THEN 'offline' ELSE 'online' END AS channel,
                 CASE WHEN l_orderkey % 2 = 0 THEN 'b' || (l_suppkey % 5) END AS branch_id, 'p' || l_partkey AS product_id, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS promo,
-                l_quantity::INT AS qty, l_shipdate AS created_at, CASE WHEN l_linestatus = 'O' THEN 'pc' END AS uom, l_extendedprice::DECIMAL(15, 2) AS amount FROM lineitem
+                l_quantity::INT AS qty, l_shipdate AS created_at, CASE WHEN l_linestatus = 'O' THEN 'pc' END AS uom, l_extendedprice::DECIMAL(15, 2) AS amount, CASE WHEN l_linenumber % 2 = 0 THEN 'M' ELSE '' END AS size FROM lineitem
         )
         SELECT transaction_id, channel, branch_id, count(DISTINCT CASE WHEN promo = 0 THEN id END) AS order_total_line, sum(CASE WHEN promo = 0 THEN qty ELSE 0 END)::BIGINT AS order_total_sku,
             count(DISTINCT CASE WHEN promo = 1 THEN id END) AS promo_total_line, sum(CASE WHEN promo = 1 THEN qty ELSE 0 END)::BIGINT AS promo_total_sku, max(promo)::INT AS is_promo,
-            min(created_at) AS created_at, string_agg(id || ':' || product_id || ':' || qty, ',' ORDER BY id, product_id, promo, uom NULLS FIRST, qty, amount) AS trans_metadata, strftime(min(created_at), '%Y%m%d') AS report_date
+            min(created_at) AS created_at, string_agg(concat_ws(':', id, product_id, promo, coalesce(uom, '-'), qty, amount, size, ''), ',' ORDER BY id, product_id, promo, uom NULLS FIRST, qty, amount) AS trans_metadata, strftime(min(created_at), '%Y%m%d') AS report_date
         FROM l GROUP BY transaction_id, channel, branch_id""",
     "silver_events_discovery": _with(_EVENTS, _DISCOVERY) + "SELECT * FROM discovery",
     "silver_events_cart": _with(_EVENTS, _CART) + "SELECT * FROM cart",
@@ -228,11 +232,35 @@ ORACLES: dict[str, str] = {
             CASE WHEN k % 2 = 0 THEN updated_at - INTERVAL 9 DAY ELSE updated_at END AS valid_from, CASE WHEN k % 2 = 0 THEN updated_at END AS valid_to FROM latest WHERE k % 3 <> 0
         UNION ALL SELECT customer_id, full_name, updated_at, true, updated_at, NULL FROM latest WHERE k % 3 = 0 OR k % 2 = 0""",
     "constraint_violations": _with(_TX) + """SELECT unnest(['valid_order_status', 'valid_channel', 'valid_user_type', 'paid', 'small', 'has_customer']) AS rule,
-        unnest([0, 0, 0, count(*) FILTER (order_status = 'F'), count(*) FILTER (order_total_amount >= 200000), count(*) FILTER (customer_id IS NULL)]) AS n_violations FROM silver""",
+        unnest([count(*) FILTER (NOT regexp_matches(order_status, '^[WRODICBPF]$')), count(*) FILTER (channel NOT IN ('offline', 'online')), count(*) FILTER (user_type NOT IN (1, 2, 3)), count(*) FILTER (order_status = 'F'), count(*) FILTER (order_total_amount >= 200000), count(*) FILTER (customer_id IS NULL)]) AS n_violations FROM silver""",
     "quarantined_transactions": _with(_TX) + """SELECT trans_id, branch_id, concat_ws(',', CASE WHEN order_status = 'F' THEN 'paid' END, CASE WHEN order_total_amount >= 200000 THEN 'small' END, CASE WHEN customer_id IS NULL THEN 'has_customer' END) AS broken
         FROM silver WHERE order_status = 'F' OR order_total_amount >= 200000 OR customer_id IS NULL""",
     "compacted_orders": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
     "zordered_orders": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+    "job_bronze_customers": _with(_CUSTOMERS) + """SELECT customer_id, CASE WHEN k % 20 <> 0 THEN segment END AS first_name, CASE WHEN k % 20 > 1 THEN ' Customer  ' || (k % 100) END AS last_name,
+        CASE WHEN k % 11 <> 0 THEN CASE WHEN k % 13 = 0 THEN '12' ELSE '09' || lpad(k::VARCHAR, 8, '0') END END AS phone, DATE '1980-01-01' + (k % 9000)::INT AS dob, (k % 80)::INT AS age, (k % 3)::INT AS gender,
+        CASE WHEN k % 17 <> 0 THEN CASE WHEN k % 19 = 0 THEN '' ELSE 'Street ' || k || ', ' || n_name END END AS address_line, CASE WHEN k % 23 = 0 THEN 1 ELSE 0 END::INT AS is_deleted,
+        created_at AS registered_datetime, created_at, updated_at, CASE WHEN k % 2 = 0 THEN 'pos' ELSE 'web' END AS source, strftime(updated_at, '%Y%m') AS report_month, strftime(updated_at, '%Y%m%d') AS report_date FROM people""",
+    "job_silver_events_cart": _with(_EVENTS, _CART) + "SELECT * FROM cart",
+    "job_silver_transactions": _with(_TX) + """, loads AS (SELECT *, strftime(transaction_datetime, '%Y%m') AS ym, strftime(transaction_datetime, '%Y%m%d') AS ymd, CASE WHEN updated_at < TIMESTAMP '1998-01-01' THEN 1 ELSE 2 END AS batch FROM versions),
+        batches AS (SELECT unnest([1, 2]) AS batch),
+        registry AS (SELECT b.batch, customer_id, min(ymd) AS nou_ymd FROM batches b JOIN loads l ON l.batch <= b.batch WHERE customer_id IS NOT NULL GROUP BY ALL),
+        ordered_in AS (SELECT DISTINCT b.batch, customer_id, ym FROM batches b JOIN loads l ON l.batch <= b.batch WHERE customer_id IS NOT NULL),
+        newest AS (SELECT * FROM loads QUALIFY row_number() OVER (PARTITION BY batch, transaction_id, branch_id ORDER BY updated_at DESC, old, order_status) = 1),
+        judged AS (
+            SELECT n.*, r.nou_ymd, CASE WHEN n.customer_id IS NULL THEN NULL WHEN r.nou_ymd[1:6] = n.ym THEN 1 WHEN o.customer_id IS NOT NULL THEN 2 ELSE 3 END::INT AS user_type,
+                CASE WHEN n.ymd = r.nou_ymd AND row_number() OVER (PARTITION BY n.batch, n.customer_id ORDER BY transaction_datetime, transaction_id, branch_id) = 1 THEN 1 ELSE 0 END::INT AS NOU
+            FROM newest n LEFT JOIN registry r ON r.batch = n.batch AND r.customer_id = n.customer_id
+            LEFT JOIN ordered_in o ON o.batch = n.batch AND o.customer_id = n.customer_id AND o.ym = strftime(strptime(n.ym || '01', '%Y%m%d') - INTERVAL 1 MONTH, '%Y%m')
+        )
+        SELECT ym AS trans_month, transaction_datetime::DATE AS trans_date, strftime(transaction_datetime, '%H:%M:%S') AS trans_time, (epoch_us(transaction_datetime) // 1000000)::BIGINT AS "timestamp",
+            concat_ws('_', ymd, customer_id, transaction_id) AS trans_id, customer_id, user_type, NOU, nou_ymd, branch_id, channel, order_status, payment_type, trans_total_amount AS order_total_amount,
+            transaction_datetime AS created_at, updated_at, ym, ymd
+        FROM judged QUALIFY row_number() OVER (PARTITION BY transaction_id, branch_id ORDER BY batch DESC) = 1""",
+    "job_gold_sales": _with(_TX) + f"""SELECT snapshot_date, customer_id, branch_id, user_type, channel, payment_type, strftime(snapshot_date, '%Y%m') AS ym, strftime(snapshot_date, '%Y%m%d') AS ymd,
+        {_group("processing", "'W', 'O', 'D', 'P'")}, {_group("recognized", "'I'")}, {_group("returned", "'B'")}, {_group("cancelled", "'C', 'R'")}
+        FROM silver, (SELECT unnest([DATE '1998-06-15', DATE '1998-06-16']) AS snapshot_date)
+        WHERE (order_status IN ('W', 'O', 'D', 'P') AND trans_date <= snapshot_date) OR (order_status IN ('I', 'B', 'C', 'R') AND updated_at::DATE = snapshot_date) GROUP BY ALL""",
     "stream_alerts": _with(_SALES) + """SELECT CASE kind WHEN 'purchase' THEN 'sms' WHEN 'error' THEN 'email' ELSE 'push' END AS channel, user_id,
         CASE kind WHEN 'purchase' THEN 'Confirmed: ' || item || ' [' || array_to_string(['A1', 'A2', 'A3'][1:units], ', ') || ']'
             WHEN 'error' THEN 'Payment failed for ' || item || ': ' || CASE WHEN n % 2 = 0 THEN 'no funds' ELSE 'Unknown error' END ELSE 'Offer for ' || item END AS message

@@ -1 +1 @@
-"""Transformations between the layers of the lakehouse, and reports."""
+"""Transformations between raw, conformed and dashboard tables, and reports."""

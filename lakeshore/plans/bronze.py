@@ -25,18 +25,21 @@ def rollup_details(pos: DataFrame, online: DataFrame) -> DataFrame:
     created_at is the earliest of its lines. trans_metadata holds the lines as structs in the order of their ids.
     """
     both = pos.withColumn("channel", F.lit("offline")).unionByName(online.withColumn("channel", F.lit("online")), allowMissingColumns=True)
-    of = lambda promo, value: F.when(F.col("is_promo") == promo, F.col(value))
+    units = lambda promo: F.sum(F.when(F.col("is_promo") == promo, F.col("trans_qty")).otherwise(0)).cast("long")
+    # The lines are at hand in any case: distinct ones are counted in their array, and no line is expanded for each count.
+    lines = lambda promo: F.size(F.array_distinct(F.filter(F.transform(F.filter("trans_metadata", lambda x: x.is_promo == promo), lambda x: x.transaction_detail_id), lambda x: x.isNotNull()))).cast("long")
     line = F.struct(
         "transaction_detail_id", "product_id", "is_promo", "product_uom_code", "trans_qty", "trans_line_amount",
         F.coalesce("variant_size", F.lit("")).alias("variant_size"), F.coalesce("variant_color", F.lit("")).alias("variant_color"),
     )
     rolled = both.groupBy("transaction_id", "channel", "branch_id").agg(
-        F.countDistinct(of(0, "transaction_detail_id")).alias("order_total_line"),
-        F.sum(F.coalesce(of(0, "trans_qty"), F.lit(0))).cast("long").alias("order_total_sku"),
-        F.countDistinct(of(1, "transaction_detail_id")).alias("promo_total_line"),
-        F.sum(F.coalesce(of(1, "trans_qty"), F.lit(0))).cast("long").alias("promo_total_sku"),
+        F.coalesce(units(0), F.lit(0)).alias("order_total_sku"),
+        F.coalesce(units(1), F.lit(0)).alias("promo_total_sku"),
         F.max("is_promo").alias("is_promo"),
         F.min("created_at").alias("created_at"),
         F.sort_array(F.collect_list(line)).alias("trans_metadata"),
     )
-    return rolled.withColumn("report_date", F.date_format("created_at", "yyyyMMdd"))
+    return rolled.select(
+        "transaction_id", "channel", "branch_id", lines(0).alias("order_total_line"), "order_total_sku", lines(1).alias("promo_total_line"), "promo_total_sku",
+        "is_promo", "created_at", "trans_metadata", F.date_format("created_at", "yyyyMMdd").alias("report_date"),
+    )

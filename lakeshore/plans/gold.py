@@ -69,16 +69,6 @@ def daily_logistics_aging(prepared: DataFrame) -> DataFrame:
     return prepared.groupBy(*keys).agg(F.sum("order_total_amount").alias("total_rev"), F.countDistinct("trans_id").cast("int").alias("total_orders"))
 
 
-def all_events(*silver: DataFrame) -> DataFrame:
-    """Events of several buckets with the columns that the marts need."""
-    out = None
-    for df in silver:
-        flags = [F.col(c) if c in df.columns else F.lit(None).cast("int").alias(c) for c in ("is_success", "is_valid")]
-        part = df.select("event_uuid", "event_type", "event_time", "log_date", "session_id", "user_id", "device_os", "app_version", *flags)
-        out = part if out is None else out.unionByName(part)
-    return out.withColumn("failed", clean.failed(F.col("is_success"), F.col("is_valid")))
-
-
 def _hour():
     return F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("hour")
 

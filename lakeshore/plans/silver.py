@@ -60,21 +60,35 @@ def clean_dimension(bronze: DataFrame, key: str, columns: list[str], day: str) -
 BRANCH_COLUMNS = ["branch_name", "branch_type", "region", "city_province", "ward", "status", "open_date"]
 
 
-def silver_events(bronze: DataFrame, bucket: str, day: str | None = None) -> DataFrame:
-    """Valid events of a bucket, once each (the version that came in last), with the fields that the bucket's events fill.
+def _valid_once(bronze: DataFrame, ids: list[int], day: str | None) -> DataFrame:
+    """Valid events of the given types, once each (the version that came in last), with their time.
 
     Events without an id or time are dropped before the duplicates are sought, so that null ids don't meet in one
     group. `day` (yyyy-MM-dd) reads one partition.
     """
-    ids = list(BUCKETS[bucket])
     own = bronze.where(F.col("event_id").isin(ids) & F.col("event_uuid").isNotNull() & (F.col("event_ts") > 0))
     own = own if day is None else own.where(F.col("log_date") == F.lit(day).cast("date"))
     once = latest(own, ["event_uuid"], F.col("_ingested_at").desc(), F.col("_kafka_partition").desc(), F.col("_kafka_offset").desc())
-    read = once.withColumn("meta", F.from_json("raw_metadata", METADATA)).withColumn("event_time", F.expr("try_to_timestamp(created_at)").cast("timestamp_ntz"))
+    return once.withColumn("event_time", F.expr("try_to_timestamp(created_at)").cast("timestamp_ntz"))
+
+
+_EVERY = ["event_type", "event_time", "log_date", "session_id", "user_id", "device_os", "app_version"]
+
+
+def silver_events(bronze: DataFrame, bucket: str, day: str | None = None) -> DataFrame:
+    """Valid events of a bucket, once each, with the fields that the bucket's events fill. `day` (yyyy-MM-dd) reads one partition."""
+    read = _valid_once(bronze, list(BUCKETS[bucket]), day).withColumn("meta", F.from_json("raw_metadata", METADATA))
     value = lambda c: (clean.keyword(F.col("meta.search_keyword")) if c == "search_keyword" else F.col(f"meta.{c}")).alias(c)
     key = clean.smart_key(F.date_format("event_time", "yyyyMMdd"), F.col("user_id"), F.col("event_id").cast("string"))
     extra = [F.col("meta.app_version").alias("meta_app_version")] if bucket == "discovery" else []
-    return read.select("event_uuid", key.alias("trans_event_id"), "event_id", "event_type", "event_time", "log_date", "session_id", "user_id", "device_os", "app_version", *extra, *map(value, FIELDS[bucket]))
+    return read.select("event_uuid", key.alias("trans_event_id"), "event_id", *_EVERY, *extra, *map(value, FIELDS[bucket]))
+
+
+def every_event(bronze: DataFrame, day: str | None = None) -> DataFrame:
+    """Valid events of all buckets in one pass, with what the hourly marts need: `failed` says whether a flag of the event says no."""
+    ids = [i for bucket in BUCKETS.values() for i in bucket]
+    read = _valid_once(bronze, ids, day).withColumn("meta", F.from_json("raw_metadata", "is_success int, is_valid int"))
+    return read.select("event_uuid", *_EVERY, clean.failed(F.col("meta.is_success"), F.col("meta.is_valid")).alias("failed"))
 
 
 def dedup_transactions(bronze: DataFrame) -> DataFrame:
@@ -83,21 +97,12 @@ def dedup_transactions(bronze: DataFrame) -> DataFrame:
 
 
 def with_times(transactions: DataFrame) -> DataFrame:
-    """Add the parts of the order's time and its key; a null customer shortens the key."""
+    """Add the order's amount, key and the parts of its time; a null customer shortens the key."""
     at = F.col("transaction_datetime")
-    ymd = F.date_format(at, "yyyyMMdd")
-    ym = F.date_format(at, "yyyyMM")
-    return transactions.select(
-        "*",
-        ym.alias("trans_month"),
-        at.cast("date").alias("trans_date"),
-        F.date_format(at, "HH:mm:ss").alias("trans_time"),
-        clean.epoch_seconds(at).alias("timestamp"),
-        clean.smart_key(ymd, F.col("customer_id"), F.col("transaction_id")).alias("trans_id"),
-        F.col("trans_total_amount").alias("order_total_amount"),
-        ym.alias("ym"),
-        ymd.alias("ymd"),
-    )
+    day, month = F.date_format(at, "yyyyMMdd"), F.date_format(at, "yyyyMM")
+    parts = {"ymd": day, "ym": month, "trans_month": month, "trans_date": at.cast("date"), "trans_time": F.date_format(at, "HH:mm:ss"), "timestamp": clean.epoch_seconds(at)}
+    key = clean.smart_key(day, F.col("customer_id"), F.col("transaction_id"))
+    return transactions.withColumns(parts | {"trans_id": key, "order_total_amount": F.col("trans_total_amount")})
 
 
 def first_orders(transactions: DataFrame) -> DataFrame:
@@ -130,19 +135,21 @@ def classify_transactions(batch: DataFrame, registry: DataFrame, prior: DataFram
     itself counts too. A customer is new in the month of the first order, retained after a month with an order,
     resurrected otherwise; an order without a customer has no type.
     """
-    timed = with_times(dedup_transactions(batch))
-    months = prior.select("customer_id", "ym").unionByName(timed.select("customer_id", "ym")).where("customer_id is not null").distinct()
-    next_month = months.select("customer_id", clean.month_before(F.col("ym"), -1).alias("ym"), F.lit(True).alias("_ordered"))
-    first = registry.select("customer_id", "nou_ymd", F.col("ym").alias("_first_ym"))
-    joined = timed.join(next_month, ["customer_id", "ym"], "left").join(first, "customer_id", "left")
+    # An order without a customer joins by a key of its own that nothing has, so that such orders don't meet in one task.
+    who = F.coalesce("customer_id", F.concat(F.lit("\0"), "transaction_id")).alias("_who")
+    timed = with_times(dedup_transactions(batch)).select("*", who)
+    known = timed.where("customer_id is not null")
+    months = prior.select("customer_id", "ym").unionByName(known.select("customer_id", "ym")).distinct()
+    next_month = months.select(F.col("customer_id").alias("_who"), clean.month_before(F.col("ym"), -1).alias("ym"), F.lit(True).alias("_ordered"))
+    # One row for each customer of the batch: the first order in it, and the first day ever.
+    order = F.struct("timestamp", "transaction_id", F.coalesce("branch_id", F.lit("")).alias("b"))
+    earliest = known.groupBy("customer_id").agg(F.min(order).alias("_earliest"))
+    first = earliest.join(registry.select("customer_id", "nou_ymd", F.col("ym").alias("_first_ym")), "customer_id", "left").withColumnRenamed("customer_id", "_who")
+    joined = timed.join(next_month, ["_who", "ym"], "left").join(first, "_who", "left")
     kind = F.when(F.col("customer_id").isNull(), F.lit(None)).when(F.col("_first_ym").isNull() | (F.col("_first_ym") == F.col("ym")), NEW)
     kind = kind.when(F.col("_ordered"), RETAINED).otherwise(RESURRECTED)
-    # Only orders of the first day compete for NOU, so that a customer with many orders makes no large window.
-    on_first_day = F.col("customer_id").isNotNull() & (F.col("ymd") == F.col("nou_ymd"))
-    firsts = joined.where(on_first_day).groupBy("customer_id").agg(F.min(F.struct("timestamp", "transaction_id", F.coalesce("branch_id", F.lit("")).alias("b"))).alias("_nou"))
-    own = F.struct("timestamp", "transaction_id", F.coalesce("branch_id", F.lit("")).alias("b"))
-    flagged = joined.join(firsts, "customer_id", "left").withColumn("NOU", F.when(own == F.col("_nou"), 1).otherwise(0))
-    return flagged.withColumn("user_type", kind.cast("int")).select(*_SILVER)
+    is_first = F.coalesce((F.col("ymd") == F.col("nou_ymd")) & (order == F.col("_earliest")), F.lit(False))
+    return joined.withColumn("NOU", is_first.cast("int")).withColumn("user_type", kind.cast("int")).select(*_SILVER)
 
 
 def classify_history(history: DataFrame, registry: DataFrame | None = None) -> DataFrame:

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.vocabulary import BUCKETS
+from . import conform
+from .jobs import bronze as bronze_jobs
+from .jobs import gold as gold_jobs
+from .jobs import silver as silver_jobs
 from .operators import layout, quality, upsert
 from .plans import bronze, gold, reports, silver
-from .sources import conform
+from .sources import sinks
 from .streaming import events as stream
 
 AS_OF, SNAPSHOT, DAY = "2024-01-20", "1998-06-15", "20240105"
@@ -32,7 +36,7 @@ def _silver_events(spark: SparkSession, sf: str, bucket: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.all_events(*[_silver_events(spark, sf, b) for b in BUCKETS])
+    return silver.every_event(_raw_events(spark, sf))
 
 
 def _transactions(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,7 +60,8 @@ def bronze_transactions(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def bronze_transaction_details(spark: SparkSession, sf: str) -> DataFrame:
     rolled = bronze.rollup_details(*conform.order_lines(spark, sf))
-    text = F.array_join(F.transform("trans_metadata", lambda x: F.concat_ws(":", x.transaction_detail_id, x.product_id, x.trans_qty.cast("string"))), ",")
+    fields = ["transaction_detail_id", "product_id", "is_promo", "product_uom_code", "trans_qty", "trans_line_amount", "variant_size", "variant_color"]
+    text = F.array_join(F.transform("trans_metadata", lambda x: F.concat_ws(":", *[F.coalesce(x[f].cast("string"), F.lit("-")) for f in fields])), ",")
     return rolled.withColumn("trans_metadata", text)
 
 
@@ -195,12 +200,11 @@ _KEY = ["transaction_id", "branch_id"]
 
 
 def _two_states(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Orders of even months as a first state, later versions of every third order as a second."""
+    """Orders made before 1998, and later versions of those made since June 1997: each order is in one of the states, or in both."""
     all_ = silver.dedup_transactions(_transactions(spark, sf)).select(*_KEY, "order_status", "created_at", "updated_at")
-    k = F.col("transaction_id").cast("long")
-    later = all_.where(k % 3 == 0).withColumn("order_status", F.lit("I"))
+    later = all_.where("created_at >= timestamp_ntz'1997-06-01'").withColumn("order_status", F.lit("I"))
     later = later.withColumns({"created_at": F.timestamp_add("DAY", F.lit(1), "created_at"), "updated_at": F.timestamp_add("DAY", F.lit(50), "updated_at")})
-    return all_.where(F.month("created_at") % 2 == 0), later
+    return all_.where("created_at < timestamp_ntz'1998-01-01'"), later
 
 
 @query
@@ -280,3 +284,54 @@ def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def stream_running_sales(spark: SparkSession, sf: str) -> DataFrame:
     return stream.running_sales(_sales(spark, sf), 150000)
+
+
+def _database(spark: SparkSession, name: str) -> str:
+    """A new database for the jobs of one query, under a name that no earlier session has left files of."""
+    name = f"{name}_{uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    return name
+
+
+@query
+def job_bronze_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers loaded on two days: what changed until 2024-01-05, what has since, and nothing on a third day."""
+    rows, db = conform.customers(spark, sf), _database(spark, "lakeshore_bronze")
+    changed = {"1": rows.where("updated_at < timestamp_ntz'2024-01-05'"), "2": rows.where("updated_at >= timestamp_ntz'2024-01-05'"), "3": rows.limit(0)}
+    for day in changed:
+        bronze_jobs.load_dimension(lambda _, d: changed[d], "customers", day, db)
+    return spark.table(f"{db}.customers").drop("_loaded_at")
+
+
+@query
+def job_silver_events_cart(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw events appended twice, as at-least-once delivery may; the whole table merged, then one day again."""
+    db = _database(spark, "lakeshore_cart")
+    for _ in range(2):
+        sinks.append_table(_raw_events(spark, sf), f"{db}.behavior_events", ["log_date"])
+    for day in (None, "2024-01-05"):
+        silver_jobs.events(spark, "cart", day, db, db)
+    return spark.table(f"{db}.events_cart")
+
+
+@query
+def job_silver_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in two loads, changed before 1998 and since; the second brings changed statuses and late orders. A third load is empty."""
+    db, load = _database(spark, "lakeshore_orders"), F.when(F.col("updated_at") < F.lit("1998-01-01").cast("timestamp_ntz"), "19971231").otherwise("19980101")
+    sinks.append_table(_transactions(spark, sf).withColumn("report_date", load), f"{db}.transactions", ["report_date"])
+    out = _database(spark, "lakeshore_classified")
+    for day in ("19971231", "19980101", "19980102"):
+        silver_jobs.nou(spark, day, db, out)
+        silver_jobs.transactions(spark, day, db, out, ["ym"])
+    return spark.table(f"{out}.transactions").select(_classified(spark, sf).columns)
+
+
+@query
+def job_gold_sales(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole history classified, then two days' sales, one of them run twice."""
+    db, out = _database(spark, "lakeshore_history"), _database(spark, "lakeshore_sales")
+    sinks.append_table(_transactions(spark, sf), f"{db}.transactions")
+    silver_jobs.transactions_backfill(spark, db, out)
+    for day in (SNAPSHOT, "1998-06-16", SNAPSHOT):
+        gold_jobs.sales(spark, day, out, out)
+    return spark.table(f"{out}.daily_customer_sales")

@@ -89,8 +89,10 @@ def replace_where(df: DataFrame, table: str, column: str, value: object, partiti
 
 
 def merge_table(source: DataFrame, table: str, keys: list[str], partition_by: list[str] | None = None, update: bool = False, keep: tuple[str, ...] = (), rules: dict[str, str] | None = None) -> None:
-    """Upsert into a table, by rewriting only the partitions that old or new versions of the rows are in."""
+    """Upsert into a table, by rewriting only the partitions that old or new versions of the rows are in; an empty source changes nothing."""
     source = enforced(source, rules or {})
+    if source.isEmpty():
+        return None
     if update and not repeated_keys(source, keys).isEmpty():
         raise ValueError(f"several rows of the source have one key of {keys}")
     if not _exists(source, table):

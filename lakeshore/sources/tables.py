@@ -54,6 +54,22 @@ def day_predicates(day: str, columns: tuple[str, ...], parts: int = 1, part_colu
     return [f"{whole} AND (MOD({part_column}, {parts}) = {k}{f' OR {part_column} IS NULL' if k == 0 else ''})" for k in range(parts)]
 
 
+def read_jdbc(spark: SparkSession, url: str, table: str, where: str | None = None, parts: int = 1, part_column: str | None = None, properties: dict[str, str] | None = None) -> DataFrame:
+    """A database table, whole or where a condition of the database holds, cast to its declared schema if it has one.
+
+    The condition runs in the database. With several parts the rows are dealt by a numeric column, each part a partition of the read.
+    """
+    whole = f"({where})" if where else "1 = 1"
+    deal = lambda k: f"{whole} AND (MOD({part_column}, {parts}) = {k}{f' OR {part_column} IS NULL' if k == 0 else ''})"
+    return _declared(spark.read.jdbc(url, table, predicates=[whole] if parts == 1 else [deal(k) for k in range(parts)], properties=properties or {}), table)
+
+
+def _declared(df: DataFrame, table: str) -> DataFrame:
+    lower = df.toDF(*[c.lower() for c in df.columns])
+    declared = ERP.get(table.split(".")[-1].lower())
+    return cast_to(lower, declared) if declared else lower
+
+
 def read_jdbc_incremental(spark: SparkSession, url: str, table: str, day: str, date_cols: tuple[str, ...] = ("updated_at", "created_at"), parts: int = 1, part_column: str | None = None, properties: dict[str, str] | None = None) -> DataFrame:
     """The rows of a database table that changed on a day (yyyy-MM-dd), cast to its declared schema if it has one.
 
@@ -61,6 +77,4 @@ def read_jdbc_incremental(spark: SparkSession, url: str, table: str, day: str, d
     in quotes where it folds case.
     """
     df = spark.read.jdbc(url, table, predicates=day_predicates(day, date_cols, parts, part_column), properties=properties or {})
-    lower = df.toDF(*[c.lower() for c in df.columns])
-    declared = ERP.get(table.split(".")[-1].lower())
-    return cast_to(lower, declared) if declared else lower
+    return _declared(df, table)

@@ -88,6 +88,8 @@ def test_incremental_read(spark, tmp_path):
     ]
     df = spark.createDataFrame([(*r, n) for n, r in enumerate(data)], "category_id string, category_name string, created_at timestamp, updated_at timestamp, n int").withColumn("is_current", F.lit(True))
     df.write.jdbc(url, "category", properties=driver | {"createTableColumnTypes": "category_id varchar(20), category_name varchar(20)"}, mode="overwrite")
+    every = [tables.read_jdbc(spark, url, "category", where, parts, '"n"', driver) for where, parts in ((None, 1), (None, 3), ('"n" < 2', 2))]
+    assert [sorted(r.category_id for r in df.collect()) for df in every] == [["c1", "c2", "c3", "c4"]] * 2 + [["c1", "c2"]] and every[1].columns == every[2].columns
     for parts in (1, 3):
         got = tables.read_jdbc_incremental(spark, url, "category", "2024-01-05", ('"updated_at"', '"created_at"'), parts, '"n"', driver)
         assert sorted(r.category_id for r in got.collect()) == ["c1", "c2"] and got.rdd.getNumPartitions() == parts
