@@ -1,7 +1,6 @@
 import hashlib
 
 import corpus_pipeline
-import numpy as np
 import public_tokenizers
 import sentencepiece
 from lakeshore.llm import simhash, toxicity
@@ -11,17 +10,17 @@ from tests.llm.test_decontaminate import plain_align
 
 
 def groups(rows):
-    fps = [simhash.fingerprint(t, 5, simhash.PARTS).view(np.uint64) for _, t in rows]
+    """The smallest id that pairs of five-word shingle sets with Jaccard 0.8 or more link each row to."""
+    sets = [set(simhash.shingle_set(t, 5).tolist()) for _, t in rows]
     at = [i for i, _ in rows]
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
     changed = True
     while changed:
         changed = False
-        for i in range(len(rows)):
-            for j in range(i):
-                bits = np.bitwise_count(fps[i] ^ fps[j])
-                if bits[0] <= simhash.FIRST_RADIUS and bits.sum() <= simhash.WHOLE_RADIUS and at[i] != at[j]:
-                    at[i] = at[j] = min(at[i], at[j])
-                    changed = True
+        for i, j in near:
+            if at[i] != at[j]:
+                at[i] = at[j] = min(at[i], at[j])
+                changed = True
     return at
 
 
