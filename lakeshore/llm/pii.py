@@ -17,7 +17,7 @@ ROUNDS = 8
 KINDS = ("email", "iban", "date", "ssn", "ip", "card", "phone")
 
 # One pattern finds candidates of all kinds; each is then validated.
-_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+_EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
 _ISO, _DAY_FIRST = r"\d{4}-\d{2}-\d{2}", r"\d{2}[./]\d{2}[./]\d{4}"
 _SSN = r"\d{3}-\d{2}-\d{4}"
@@ -25,7 +25,9 @@ _IP = r"\d{1,3}(?:\.\d{1,3}){3}"
 _CARD = r"\d(?:[ -]?\d){12,18}"
 _NANP = r"(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]?\d{4}"
 _PHONE = r"\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}"
-PATTERN = rf"(?<![\p{{L}}\p{{N}}_@.+%-])(?:{_EMAIL}|{_IBAN}|{_ISO}|{_DAY_FIRST}|{_SSN}|{_IP}|{_CARD}|{_NANP}|{_PHONE})(?![\p{{L}}\p{{N}}_@])(?!\.\p{{N}})"
+# What a candidate starts with; words of letters alone are passed by at once.
+_START = r"(?=[0-9+(]|[A-Z]{2}[0-9]|[A-Za-z._%-][A-Za-z0-9._%+-]*+@)"
+PATTERN = rf"(?<![\p{{L}}\p{{N}}_@.+%-]){_START}(?:{_EMAIL}|{_IBAN}|{_ISO}|{_DAY_FIRST}|{_SSN}|{_IP}|{_CARD}|{_NANP}|{_PHONE})(?![\p{{L}}\p{{N}}_@])(?!\.\p{{N}})"
 
 # Forms that a card has within a longer row of digit groups, each with all places where it starts.
 _CARD_FORMS = [rf"(?<![0-9])(?=({x})(?![0-9]))" for x in (r"\d{4}(?:[ -]\d{4}){3}", r"\d{4}[ -]\d{6}[ -]\d{4,5}", r"\d{13,19}", r"\d{4}(?:[ -]\d{4}){3}[ -]\d{1,3}")]
@@ -36,6 +38,11 @@ _MARK = "\ue000\ue001\ue002"
 _EPOCH = (189, 773)
 
 
+def _with(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with the value computed once; an expression that a function over an array names is computed again for each element."""
+    return F.transform(F.array(value), f)[0]
+
+
 def _round(key: str, kind: str, r: Column, value: Column) -> Column:
     digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), r.cast("string"), value.cast("string")), 256)
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
@@ -63,12 +70,19 @@ def _ten_to(n: Column) -> Column:
 
 def permuted_digits(key: str, kind: str, digits: Column) -> Column:
     """A string of digits (at most 19) as another of the same length, one to one."""
-    left = F.floor(F.length(digits) / 2).cast("int")
-    right = F.length(digits) - left
-    a = F.coalesce(F.substring(digits, F.lit(1), left).try_cast("long"), F.lit(0))
-    b = F.substring(digits, left + 1, right).cast("long")
-    out = feistel(key, kind, a, b, _ten_to(left), _ten_to(right))
-    return F.concat(F.when(left > 0, F.lpad(out["a"].cast("string"), left, "0")).otherwise(""), F.lpad(out["b"].cast("string"), right, "0"))
+
+    def halves(d: Column) -> Column:
+        left = F.floor(F.length(d) / 2).cast("int")
+        return F.struct(
+            left.alias("left"), (F.length(d) - left).alias("right"),
+            F.coalesce(F.substring(d, F.lit(1), left).try_cast("long"), F.lit(0)).alias("a"), F.substring(d, left + 1, F.length(d) - left).cast("long").alias("b"),
+            _ten_to(left).alias("size_a"), _ten_to(F.length(d) - left).alias("size_b"),
+        )
+
+    def text(h: Column, out: Column) -> Column:
+        return F.concat(F.when(h["left"] > 0, F.lpad(out["a"].cast("string"), h["left"], "0")).otherwise(""), F.lpad(out["b"].cast("string"), h["right"], "0"))
+
+    return _with(_with(digits, halves), lambda h: _with(feistel(key, kind, h["a"], h["b"], h["size_a"], h["size_b"]), lambda out: text(h, out)))
 
 
 def _digits(x: Column) -> Column:
@@ -79,28 +93,33 @@ def _refill(shape: Column, digits: Column) -> Column:
     """`shape` with its digits replaced by the given ones, in order."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("i"))
 
-    def step(s: Column, c: Column) -> Column:
-        with_digit = F.struct(F.concat(s["out"], F.substring(digits, s["i"], F.lit(1))).alias("out"), (s["i"] + 1).alias("i"))
-        return F.when(c.rlike("^[0-9]$"), with_digit).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["i"].alias("i")))
+    def filled(d: Column) -> Column:
+        def step(s: Column, c: Column) -> Column:
+            with_digit = F.struct(F.concat(s["out"], F.substring(d, s["i"], F.lit(1))).alias("out"), (s["i"] + 1).alias("i"))
+            return F.when(c.between("0", "9"), with_digit).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["i"].alias("i")))
+
+        return F.aggregate(F.split(shape, ""), start, step, lambda s: s["out"])
 
-    return F.aggregate(F.split(shape, ""), start, step, lambda s: s["out"])
+    return _with(digits, filled)
 
 
 def _luhn(digits: Column) -> Column:
     """Luhn sum of a string of digits; of a valid number it is a multiple of ten."""
 
-    def step(s: Column, i: Column) -> Column:
-        d = F.substring(digits, F.length(digits) - i + 1, F.lit(1)).cast("int")
-        return s + F.when(i % 2 == 1, d).otherwise(2 * d - F.when(d > 4, 9).otherwise(0))
+    def total(n: Column) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            d = F.substring(n, F.length(n) - i + 1, F.lit(1)).cast("int")
+            return s + F.when(i % 2 == 1, d).otherwise(2 * d - F.when(d > 4, 9).otherwise(0))
+
+        return F.aggregate(F.sequence(F.lit(1), F.length(n)), F.lit(0), step)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), step)
+    return _with(digits, total)
 
 
 def _card(key: str, x: Column) -> Column:
-    digits = _digits(x)
-    body = F.concat(F.substring(digits, 1, 1), permuted_digits(key, "card", F.substring(digits, F.lit(2), F.length(digits) - 2)))
-    check = (10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10
-    return _refill(x, F.concat(body, check.cast("string")))
+    body = lambda d: F.concat(F.substring(d, 1, 1), permuted_digits(key, "card", F.substring(d, F.lit(2), F.length(d) - 2)))
+    check = lambda b: (10 - _luhn(F.concat(b, F.lit("0"))) % 10) % 10
+    return _refill(x, _with(_with(_digits(x), body), lambda b: F.concat(b, check(b).cast("string"))))
 
 
 def _card_in(x: Column) -> Column:
@@ -113,7 +132,7 @@ def _card_in(x: Column) -> Column:
 def _marked(text: Column, found: Column) -> Column:
     """The text with marks around its cards, if one of them stands in a longer candidate; else the text."""
     hidden = F.exists(found, lambda x: F.coalesce(_card_in(x) != x, F.lit(False)))
-    marked = lambda x: F.coalesce(F.replace(x, _card_in(x), F.concat(F.lit(_MARK), _card_in(x), F.lit(_MARK))), x)
+    marked = lambda x: _with(_card_in(x), lambda c: F.coalesce(F.replace(x, c, F.concat(F.lit(_MARK), c, F.lit(_MARK))), x))
     pieces = F.zip_with(F.concat(F.array(F.lit("")), F.transform(found, marked)), F.split(text, PATTERN, -1), lambda m, rest: F.concat(m, rest))
     return F.when(hidden & ~text.contains(_MARK), F.array_join(pieces, "")).otherwise(text)
 
@@ -122,7 +141,7 @@ def _mod97(x: Column) -> Column:
     """Remainder of a string of digits and capitals, A counting as 10 to Z as 35."""
 
     def step(s: Column, c: Column) -> Column:
-        return F.when(c.rlike("^[0-9]$"), (s * 10 + c.try_cast("int")) % 97).otherwise((s * 100 + F.ascii(c) - 55) % 97)
+        return F.when(c.between("0", "9"), (s * 10 + c.try_cast("int")) % 97).otherwise((s * 100 + F.ascii(c) - 55) % 97)
 
     return F.aggregate(F.split(x, ""), F.lit(0), step)
 
@@ -138,55 +157,64 @@ def _valid_iban(x: Column) -> Column:
 
 def _iban(key: str, x: Column) -> Column:
     # The last digits of the account (18 at most) are permuted, letters and country stay, the check digits follow.
-    bare = _bare(x)
-    account = F.substring(bare, F.lit(5), F.length(bare))
-    digits = _digits(account)
-    kept = F.greatest(F.length(digits) - 18, F.lit(0))
-    moved = F.concat(F.substring(digits, F.lit(1), kept), permuted_digits(key, "iban", F.substring(digits, kept + 1, F.length(digits))))
-    new = F.when(F.length(digits) > 0, _refill(account, moved)).otherwise(account)
-    country = F.substring(bare, 1, 2)
-    check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    return F.concat(country, _respaced(F.substring(x, F.lit(3), F.length(x)), F.concat(check, new)))
+    country = F.substring(x, 1, 2)
+
+    def moved(digits: Column) -> Column:
+        kept = F.greatest(F.length(digits) - 18, F.lit(0))
+        return F.concat(F.substring(digits, F.lit(1), kept), permuted_digits(key, "iban", F.substring(digits, kept + 1, F.length(digits))))
+
+    def new(account: Column) -> Column:
+        return _with(_digits(account), lambda digits: F.when(F.length(digits) > 0, _refill(account, moved(digits))).otherwise(account))
+
+    def with_check(account: Column) -> Column:
+        return F.concat(F.lpad((98 - _mod97(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0"), account)
+
+    account = F.substring(_bare(x), F.lit(5), F.length(x))
+    return F.concat(country, _respaced(F.substring(x, F.lit(3), F.length(x)), _with(_with(account, new), with_check)))
 
 
 def _respaced(shape: Column, text: Column) -> Column:
     """`text` with spaces where `shape` has them."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("i"))
 
-    def step(s: Column, c: Column) -> Column:
-        letter = F.struct(F.concat(s["out"], F.substring(text, s["i"], F.lit(1))).alias("out"), (s["i"] + 1).alias("i"))
-        return F.when(c == " ", F.struct(F.concat(s["out"], c).alias("out"), s["i"].alias("i"))).otherwise(letter)
+    def spaced(t: Column) -> Column:
+        def step(s: Column, c: Column) -> Column:
+            letter = F.struct(F.concat(s["out"], F.substring(t, s["i"], F.lit(1))).alias("out"), (s["i"] + 1).alias("i"))
+            return F.when(c == " ", F.struct(F.concat(s["out"], c).alias("out"), s["i"].alias("i"))).otherwise(letter)
 
-    return F.aggregate(F.split(shape, ""), start, step, lambda s: s["out"])
+        return F.aggregate(F.split(shape, ""), start, step, lambda s: s["out"])
+
+    return _with(text, spaced)
 
 
 def _phone(key: str, x: Column) -> Column:
-    digits = _digits(x)
-    last = F.substring(digits, F.length(digits) - 9, F.lit(10))
-    ahead = F.substring(digits, F.lit(1), F.length(digits) - 10)
-    area, rest = F.substring(last, 1, 3).cast("long"), F.substring(last, 4, 7).cast("long")
-    out = feistel(key, "nanp", area - 200, rest - 2_000_000, 800, 8_000_000)
-    nanp = F.concat(ahead, (out["a"] + 200).cast("string"), (out["b"] + 2_000_000).cast("string"))
-    # Other numbers keep their first three digits, the country with them.
-    other = F.concat(F.substring(digits, 1, 3), permuted_digits(key, "phone", F.substring(digits, F.lit(4), F.length(digits) - 3)))
-    return _refill(x, F.when(x.rlike(f"^{_NANP}$"), nanp).otherwise(other))
+    def nanp(digits: Column) -> Column:
+        last = F.substring(digits, F.length(digits) - 9, F.lit(10))
+        area, rest = F.substring(last, 1, 3).cast("long"), F.substring(last, 4, 7).cast("long")
+        new = lambda out: F.concat((out["a"] + 200).cast("string"), (out["b"] + 2_000_000).cast("string"))
+        return F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), _with(feistel(key, "nanp", area - 200, rest - 2_000_000, 800, 8_000_000), new))
+
+    def other(digits: Column) -> Column:
+        # Other numbers keep their first three digits, the country with them.
+        return F.concat(F.substring(digits, 1, 3), permuted_digits(key, "phone", F.substring(digits, F.lit(4), F.length(digits) - 3)))
+
+    return _refill(x, _with(_digits(x), lambda digits: F.when(x.rlike(f"^{_NANP}$"), nanp(digits)).otherwise(other(digits))))
 
 
 def _ip(key: str, x: Column) -> Column:
     octet = lambda i: F.split_part(x, F.lit("."), F.lit(i)).cast("long")
-    out = feistel(key, "ip", octet(1) * 256 + octet(2), octet(3) * 256 + octet(4), 65536, 65536)
-    parts = [F.floor(out["a"] / 256), out["a"] % 256, F.floor(out["b"] / 256), out["b"] % 256]
-    return F.concat_ws(".", *[p.cast("string") for p in parts])
+    parts = lambda out: [F.floor(out["a"] / 256), out["a"] % 256, F.floor(out["b"] / 256), out["b"] % 256]
+    new = feistel(key, "ip", octet(1) * 256 + octet(2), octet(3) * 256 + octet(4), 65536, 65536)
+    return _with(new, lambda out: F.concat_ws(".", *[p.cast("string") for p in parts(out)]))
 
 
 def _ssn(key: str, x: Column) -> Column:
     part = lambda i, n: F.substring(x, i, n).cast("long")
     area = part(1, 3) - 1 - F.when(part(1, 3) > 666, 1).otherwise(0)
-    out = feistel(key, "ssn", area, (part(5, 2) - 1) * 9999 + part(8, 4) - 1, 898, 99 * 9999)
-    new = out["a"] + 1
-    new = new + F.when(new >= 666, 1).otherwise(0)
     padded = lambda v, n: F.lpad(v.cast("string"), n, "0")
-    return F.concat_ws("-", padded(new, 3), padded(F.floor(out["b"] / 9999) + 1, 2), padded(out["b"] % 9999 + 1, 4))
+    new_area = lambda a: a + 1 + F.when(a + 1 >= 666, 1).otherwise(0)
+    new = feistel(key, "ssn", area, (part(5, 2) - 1) * 9999 + part(8, 4) - 1, 898, 99 * 9999)
+    return _with(new, lambda out: F.concat_ws("-", padded(new_area(out["a"]), 3), padded(F.floor(out["b"] / 9999) + 1, 2), padded(out["b"] % 9999 + 1, 4)))
 
 
 def _as_date(x: Column) -> Column:
@@ -199,10 +227,13 @@ def _as_date(x: Column) -> Column:
 
 def _date(key: str, x: Column) -> Column:
     day = F.datediff(_as_date(x), F.lit("1800-01-01").cast("date"))
-    out = feistel(key, "date", F.floor(day / _EPOCH[1]), day % _EPOCH[1], *_EPOCH)
-    new = F.date_add(F.lit("1800-01-01").cast("date"), (out["a"] * _EPOCH[1] + out["b"]).cast("int"))
     sign = F.substring(x, 3, 1)
-    return F.when(x.rlike(f"^{_ISO}$"), F.date_format(new, "yyyy-MM-dd")).otherwise(F.concat_ws("", F.date_format(new, "dd"), sign, F.date_format(new, "MM"), sign, F.date_format(new, "yyyy")))
+    day_first = lambda new: F.concat_ws("", F.date_format(new, "dd"), sign, F.date_format(new, "MM"), sign, F.date_format(new, "yyyy"))
+    moved = _with(
+        _with(day, lambda d: feistel(key, "date", F.floor(d / _EPOCH[1]), d % _EPOCH[1], *_EPOCH)),
+        lambda out: F.date_add(F.lit("1800-01-01").cast("date"), (out["a"] * _EPOCH[1] + out["b"]).cast("int")),
+    )
+    return _with(moved, lambda new: F.when(x.rlike(f"^{_ISO}$"), F.date_format(new, "yyyy-MM-dd")).otherwise(day_first(new)))
 
 
 def _email(key: str, x: Column) -> Column:
