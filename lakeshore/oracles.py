@@ -229,8 +229,8 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT *, 'delete' FROM old WHERE (transaction_id, branch_id) NOT IN (SELECT (transaction_id, branch_id) FROM new)
         UNION ALL SELECT *, 'insert' FROM new WHERE (transaction_id, branch_id) NOT IN (SELECT (transaction_id, branch_id) FROM old)""",
     "scd2_customers": _with(_CUSTOMERS) + """SELECT customer_id, upper(full_name) AS full_name, CASE WHEN k % 2 = 0 THEN updated_at - INTERVAL 9 DAY ELSE updated_at END AS updated_at, k % 2 <> 0 AS is_current,
-            CASE WHEN k % 2 = 0 THEN updated_at - INTERVAL 9 DAY ELSE updated_at END AS valid_from, CASE WHEN k % 2 = 0 THEN updated_at END AS valid_to FROM latest WHERE k % 3 <> 0
-        UNION ALL SELECT customer_id, full_name, updated_at, true, updated_at, NULL FROM latest WHERE k % 3 = 0 OR k % 2 = 0""",
+            CASE WHEN k % 2 = 0 THEN updated_at - INTERVAL 9 DAY ELSE updated_at END AS valid_from, CASE WHEN k % 2 = 0 THEN updated_at END AS valid_to FROM latest WHERE registered_datetime < TIMESTAMP '2024-01-07'
+        UNION ALL SELECT customer_id, full_name, updated_at, true, updated_at, NULL FROM latest WHERE registered_datetime >= TIMESTAMP '2024-01-07' OR k % 2 = 0""",
     "constraint_violations": _with(_TX) + """SELECT unnest(['valid_order_status', 'valid_channel', 'valid_user_type', 'paid', 'small', 'has_customer']) AS rule,
         unnest([count(*) FILTER (NOT regexp_matches(order_status, '^[WRODICBPF]$')), count(*) FILTER (channel NOT IN ('offline', 'online')), count(*) FILTER (user_type NOT IN (1, 2, 3)), count(*) FILTER (order_status = 'F'), count(*) FILTER (order_total_amount >= 200000), count(*) FILTER (customer_id IS NULL)]) AS n_violations FROM silver""",
     "quarantined_transactions": _with(_TX) + """SELECT trans_id, branch_id, concat_ws(',', CASE WHEN order_status = 'F' THEN 'paid' END, CASE WHEN order_total_amount >= 200000 THEN 'small' END, CASE WHEN customer_id IS NULL THEN 'has_customer' END) AS broken

@@ -230,13 +230,13 @@ def change_feed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def scd2_customers(spark: SparkSession, sf: str) -> DataFrame:
-    """History of customers with ids not divisible by 3, merged with the latest rows of all."""
-    rows = silver.clean_customers(conform.customers(spark, sf), DAY).select("customer_id", "full_name", "updated_at")
+    """History of the customers who registered before 2024-01-07, merged with the latest rows of all."""
+    rows = silver.clean_customers(conform.customers(spark, sf), DAY).select("customer_id", "full_name", "registered_datetime", "updated_at")
     n = F.substring("customer_id", 2, 20).cast("long")
     before = F.timestamp_add("DAY", F.when(n % 2 == 0, F.lit(-9)).otherwise(F.lit(0)), "updated_at")
-    target = rows.where(n % 3 != 0).withColumns({"full_name": F.upper("full_name"), "updated_at": before})
+    target = rows.where("registered_datetime < timestamp_ntz'2024-01-07'").withColumns({"full_name": F.upper("full_name"), "updated_at": before})
     target = target.withColumns({"is_current": F.lit(True), "valid_from": F.col("updated_at"), "valid_to": F.lit(None).cast("timestamp_ntz")})
-    return upsert.scd2_merge(target, rows, "customer_id")
+    return upsert.scd2_merge(target.drop("registered_datetime"), rows.drop("registered_datetime"), "customer_id")
 
 
 _RULES = silver.TRANSACTION_RULES | {"paid": "order_status <> 'F'", "small": "order_total_amount < 200000", "has_customer": "customer_id IS NOT NULL"}
