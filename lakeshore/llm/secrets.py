@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, dealt_anew
+from .common import checkpointed, dealt_anew, dropped, fresh_path
 
 #: A candidate: so many characters at least of these; or so many of a value after a name and = or :, of which a digit or a sign is one.
 LEAST_CHARS, LEAST_VALUE = 16, 6
@@ -153,7 +153,14 @@ def fit(kinds: DataFrame, known: DataFrame, most_labels: int = MOST_LABELS) -> R
     if sample.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(numTrees=32, maxDepth=12, seed=7, featureSubsetStrategy="onethird", featuresCol="features", labelCol="label", weightCol="weight")
-    return forest.fit(_vectors(with_features(sample, known)).select("features", "label", "weight"))
+    fitted = forest.fit(_vectors(with_features(sample, known)).select("features", "label", "weight"))
+    # A fitted model holds its training summary, and with it the session, which executors can't be sent once an Observation
+    # is in it. A saved model that is loaded again has none.
+    path = fresh_path(kinds.sparkSession, "forest")
+    fitted.write().save(path)
+    loaded = RandomForestClassificationModel.load(path)
+    dropped(kinds.sparkSession, path)
+    return loaded
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_labels: int = MOST_LABELS) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from lakeshore.llm import secrets
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, candidate string"
@@ -94,6 +95,15 @@ def test_edges(spark):
     assert secrets.scan(docs.where("doc_id = 1")).count() == 0
 
 
+def test_scan_after_an_observation(spark):
+    """A session that has an Observation scans as any other does."""
+    seen = Observation("rows before a scan")
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 5
+    docs = spark.createDataFrame([(i, t, None) for i, (t, _) in enumerate(corpus(120, 3))], SCHEMA)
+    assert secrets.scan(docs).where("is_secret").count() > 10
+
+
 def test_candidates_before_candidates(spark):
     """A candidate that is the word before another is found too, and a value is found in both spellings."""
     keys = ["AKIA" + "".join(random.Random(k).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)) for k in range(8)]
