@@ -93,3 +93,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
 def two_hashes(text: Column, *more: Column) -> Column:
     """128 bits from built-in functions: two 64-bit hashes with different seeds."""
     return F.struct(F.xxhash64(text, *more).alias("a"), F.xxhash64(F.lit(7), text, *more).alias("b"))
+
+
+def lowered(text: Column) -> Column:
+    """The text with A-Z in lower case, and no other letter changed; null stays null."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))

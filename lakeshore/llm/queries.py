@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, pii, quality, secrets, sentence_spans, sentencepieces, simhash, toxicity, warc
+from . import decontaminate, exact, lines, pii, quality, secrets, sentence_spans, sentencepieces, simhash, toxicity, warc
 from .common import table
 
 
@@ -66,7 +66,11 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.remove_repeats(docs).select("doc_id", F.col("_n_removed").alias("n_removed"), "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op5_secrets": op5_secrets, "op6_decontaminate": op6_decontaminate, "op7_lines": op7_lines, "op8_toxicity": op8_toxicity, "op9_warc": op9_warc, "op10_sentence_spans": op10_sentence_spans}
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.groups(table(spark, sf_dir, "documents"), digests=True)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op5_secrets": op5_secrets, "op6_decontaminate": op6_decontaminate, "op7_lines": op7_lines, "op8_toxicity": op8_toxicity, "op9_warc": op9_warc, "op10_sentence_spans": op10_sentence_spans, "op13_exact_dedup": op13_exact_dedup}
 
 ORACLES: dict[str, str] = {
     "op7_lines": """
@@ -101,6 +105,11 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, (coalesce(h.n, 0) - coalesce(k.n, 0))::INT AS n_removed, coalesce(k.text, '') AS text
         FROM documents d LEFT JOIN had h ON d.doc_id = h.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
     """,
+    "op13_exact_dedup": """
+        WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+        FROM d WINDOW same AS (PARTITION BY t)
+    """,
     "op9_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         h AS (SELECT page_id, strlen(html) AS n, sha1(html) AS hex FROM p),
