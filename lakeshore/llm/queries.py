@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, lines, pii, quality, secrets, sentence_spans, sentencepieces, simhash, toxicity, warc
-from .common import table
+from . import decontaminate, exact, lines, merkle, pii, quality, secrets, sentence_spans, sentencepieces, simhash, toxicity, warc
+from .common import lowered, table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,11 +66,20 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.remove_repeats(docs).select("doc_id", F.col("_n_removed").alias("n_removed"), "text")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of every document; of those whose id's CRC-32 five divides, the text is lower-cased before it is verified."""
+    fields = [F.col(c) for c in merkle.FIELDS]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, merkle.leaf(*fields[:-1], lowered(fields[-1])))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), altered=tampered)
+    folded = found.withColumn("folded_root", merkle.folded(F.coalesce("altered", "leaf"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.siblings_digest(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents"), digests=True)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op5_secrets": op5_secrets, "op6_decontaminate": op6_decontaminate, "op7_lines": op7_lines, "op8_toxicity": op8_toxicity, "op9_warc": op9_warc, "op10_sentence_spans": op10_sentence_spans, "op13_exact_dedup": op13_exact_dedup}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op5_secrets": op5_secrets, "op6_decontaminate": op6_decontaminate, "op7_lines": op7_lines, "op8_toxicity": op8_toxicity, "op9_warc": op9_warc, "op10_sentence_spans": op10_sentence_spans, "op12_merkle_manifest": op12_merkle_manifest, "op13_exact_dedup": op13_exact_dedup}
 
 ORACLES: dict[str, str] = {
     "op7_lines": """
@@ -105,6 +114,57 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, (coalesce(h.n, 0) - coalesce(k.n, 0))::INT AS n_removed, coalesce(k.text, '') AS text
         FROM documents d LEFT JOIN had h ON d.doc_id = h.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
     """,
+    "op12_merkle_manifest": """
+        WITH RECURSIVE fields AS (
+            SELECT doc_id, source, [doc_id::VARCHAR, source, lang, n_chars::VARCHAR] AS head, text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_text,
+                -- CRC-32 of the decimal id, bit by bit
+                xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                    lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 5 = 0 AS tampered
+            FROM documents
+        ),
+        d AS (
+            SELECT doc_id, source, sha256(array_to_string(list_transform(list_append(head, text), lambda x: coalesce(strlen(x)::VARCHAR || ':' || x, '-')), '')) AS leaf,
+                sha256(array_to_string(list_transform(list_append(head, CASE WHEN tampered THEN lower_text ELSE text END), lambda x: coalesce(strlen(x)::VARCHAR || ':' || x, '-')), '')) AS told,
+                row_number() OVER own - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+            FROM fields WINDOW own AS (PARTITION BY source ORDER BY doc_id NULLS FIRST)
+        ),
+        up AS (
+            SELECT source, 0 AS level, pos, leaf AS digest, n FROM d
+            UNION ALL
+            SELECT source, level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (n + 15) // 16 FROM up WHERE n > 1 GROUP BY source, level, pos // 16, n
+        ),
+        subroots AS (SELECT source, digest AS subroot, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+        top AS (
+            SELECT 0 AS level, pos, subroot AS digest, n FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (n + 15) // 16 FROM top WHERE n > 1 GROUP BY level, pos // 16, n
+        ),
+        steps AS (
+            SELECT source, level, pos, coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+                coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+            FROM up WHERE n > 1 WINDOW run AS (PARTITION BY source, level, pos // 16 ORDER BY pos)
+        ),
+        top_steps AS (
+            SELECT level, pos, coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+                coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+            FROM top WHERE n > 1 WINDOW run AS (PARTITION BY level, pos // 16 ORDER BY pos)
+        ),
+        fold AS (
+            SELECT doc_id, source, 0 AS level, pos, told AS digest, '' AS proof FROM d
+            UNION ALL
+            SELECT f.doc_id, f.source, f.level + 1, f.pos // 16, sha256(s.lft || f.digest || s.rgt), f.proof || s.lft || s.rgt
+            FROM fold f JOIN steps s ON f.source IS NOT DISTINCT FROM s.source AND f.level = s.level AND f.pos = s.pos
+        ),
+        inner_folds AS (SELECT f.doc_id, f.digest, f.proof, r.subroot, r.pos FROM fold f JOIN subroots r ON f.source IS NOT DISTINCT FROM r.source AND f.level = r.height),
+        whole AS (
+            SELECT doc_id, 0 AS level, pos, digest, proof FROM inner_folds
+            UNION ALL
+            SELECT w.doc_id, w.level + 1, w.pos // 16, sha256(s.lft || w.digest || s.rgt), w.proof || s.lft || s.rgt FROM whole w JOIN top_steps s ON w.level = s.level AND w.pos = s.pos
+        ),
+        root AS (SELECT level AS height, digest AS root FROM top WHERE n = 1)
+        SELECT d.doc_id, d.leaf, i.subroot, r.root, sha256(w.proof) AS proof_sha256, w.digest AS folded_root, w.digest = r.root AS verified
+        FROM d JOIN inner_folds i ON d.doc_id = i.doc_id JOIN root r ON true JOIN whole w ON w.doc_id = d.doc_id AND w.level = r.height
+    """,
     "op13_exact_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
