@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, lines, merkle, pii, quality, secrets, sentence_spans, sentencepieces, simhash, toxicity, warc
+from . import alignment, decontaminate, exact, lines, merkle, pii, quality, secrets, sentence_spans, sentencepieces, simhash, toxicity, warc
 from .common import lowered, table
 
 
@@ -66,6 +66,14 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.remove_repeats(docs).select("doc_id", F.col("_n_removed").alias("n_removed"), "text")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    found = alignment.agreement(table(spark, sf_dir, "documents"), *paths)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of every document; of those whose id's CRC-32 five divides, the text is lower-cased before it is verified."""
     fields = [F.col(c) for c in merkle.FIELDS]
@@ -79,7 +87,7 @@ def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents"), digests=True)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op5_secrets": op5_secrets, "op6_decontaminate": op6_decontaminate, "op7_lines": op7_lines, "op8_toxicity": op8_toxicity, "op9_warc": op9_warc, "op10_sentence_spans": op10_sentence_spans, "op12_merkle_manifest": op12_merkle_manifest, "op13_exact_dedup": op13_exact_dedup}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op5_secrets": op5_secrets, "op6_decontaminate": op6_decontaminate, "op7_lines": op7_lines, "op8_toxicity": op8_toxicity, "op9_warc": op9_warc, "op10_sentence_spans": op10_sentence_spans, "op11_tokenizer_alignment": op11_tokenizer_alignment, "op12_merkle_manifest": op12_merkle_manifest, "op13_exact_dedup": op13_exact_dedup}
 
 ORACLES: dict[str, str] = {
     "op7_lines": """

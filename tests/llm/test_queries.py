@@ -3,7 +3,7 @@
 import pytest
 from lakeshore.llm import queries
 
-ROWS = {"op1_simhash": "documents", "op2_pii": "documents", "op3_sentencepiece": "documents", "op4_quality": "documents", "op7_lines": "documents", "op8_toxicity": "documents", "op9_warc": "pages", "op10_sentence_spans": "documents", "op12_merkle_manifest": "documents", "op13_exact_dedup": "documents"}
+ROWS = {"op1_simhash": "documents", "op2_pii": "documents", "op3_sentencepiece": "documents", "op4_quality": "documents", "op7_lines": "documents", "op8_toxicity": "documents", "op9_warc": "pages", "op10_sentence_spans": "documents", "op11_tokenizer_alignment": "documents", "op12_merkle_manifest": "documents", "op13_exact_dedup": "documents"}
 ID = {"documents": "doc_id", "pages": "page_id"}
 
 
