@@ -158,6 +158,11 @@ def numbered(groups: DataFrame) -> DataFrame:
     return dealt.withColumn("at", (F.element_at(F.array(*map(F.lit, before)), F.col("part") + 1) + place).cast("long")).drop("part")
 
 
+def with_sizes(nodes: DataFrame, sizes: DataFrame) -> DataFrame:
+    """nodes with n of sizes(g, n). Groups are named anew after the join, so that the nodes of one aren't left in the task of its join."""
+    return dealt_anew(nodes.join(dealt_anew(sizes, "g").select("g", "n"), "g"), "g")
+
+
 def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", fields: tuple[str, ...] = FIELDS, altered: Column | None = None) -> DataFrame:
     """(doc_id, leaf, subroot, root, path, altered) of every row; `altered` is another leaf for it, null unless given.
 
@@ -171,7 +176,7 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     carried = F.lit(None).cast("string") if altered is None else altered
     leaves = checkpointed(docs.select(group.alias("g"), F.col(id_col).cast("long").alias("doc_id"), leaf(*map(F.col, fields)).alias("leaf"), carried.alias("altered")))
     sizes = numbered(leaves.groupBy("g").agg(F.count(F.lit(1)).alias("n")))
-    nodes = ranked(leaves).join(dealt_anew(sizes, "g").select("g", "n"), "g").withColumnRenamed("leaf", "digest")
+    nodes = with_sizes(ranked(leaves).withColumnRenamed("leaf", "digest"), sizes)
     subroots, runs = tree(nodes, "doc_id", "altered")
     n_sources = sizes.count()
     tops = subroots.join(sizes.select("g", "at"), "g").select(F.lit("").alias("g"), "at", F.col("root").alias("digest"), F.lit(n_sources).cast("long").alias("n"), F.col("g").alias("source"))

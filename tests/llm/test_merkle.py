@@ -6,6 +6,8 @@ from lakeshore.llm import merkle
 from lakeshore.llm.common import lowered
 from pyspark.sql import functions as F
 
+from tests.llm.skew import splits
+
 SCHEMA = "doc_id long, source string, lang string, n_chars long, text string, g string, at long, digest string"
 
 
@@ -117,3 +119,10 @@ def test_no_window_holds_more_than_a_directory_row(spark):
     docs = spark.range(5000).selectExpr("'g' AS g", "if(id % 2 = 0, id, id * 2000000000) AS doc_id", "cast(id AS string) AS leaf", "cast(null AS string) AS altered")
     got = {r.doc_id: r["at"] for r in merkle.ranked(docs).collect()}
     assert got == {i: k for k, i in enumerate(sorted(got))}
+
+
+def test_a_source_of_most_rows_is_split(spark):
+    docs = spark.range(30000).selectExpr("id AS doc_id", "if(id % 3 = 0, concat('s', id % 50), 'most') AS source", "'en' AS lang", "id AS n_chars", "'text' AS text")
+    leaves = docs.selectExpr("source AS g", "doc_id", "sha2(cast(doc_id AS string), 256) AS digest", "cast(null AS string) AS altered", "doc_id AS at")
+    sizes = leaves.groupBy("g").agg(F.count("*").alias("n"))
+    assert splits(spark, lambda: merkle._passed(merkle.with_sizes(leaves, sizes), "doc_id", "altered"))
