@@ -15,8 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as topic records. Every tenth event comes again an hour later, with ten units more."""
-    # Records come by the partitions of their topic, as a topic's source would read them.
-    e = table(spark, sf_dir, "events").repartition(10, (F.col("user_id") % 10).cast("int"))
+    # A user's records come together, as a partition of their topic would bring them.
+    e = table(spark, sf_dir, "events").repartition(F.col("user_id"))
     n = F.col("event_id")
     number = 1 + n % 14
     sent = e.withColumn("late", F.explode(F.when(n % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))

@@ -4,25 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from ..operators.rows import observed
 
-
-def written(source: DataFrame, transform: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], object]) -> int:
-    """The number of rows that transform makes of source and write gets; 0, and nothing is written, if source is empty.
-
-    The transformed rows are kept on disk while a writer reads them several times, and counted as they are made.
-    """
-    if source.isEmpty():
-        return 0
-    rows, seen = observed(transform(source), "written")
-    kept = rows.persist(StorageLevel.DISK_ONLY)
-    try:
-        n = kept.count()
-        if n:
-            write(kept)
-        return seen.get["n_rows"]
-    finally:
-        kept.unpersist()
+def written(source: DataFrame, transform: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], int]) -> int:
+    """The number of rows that transform makes of source, as the writer counts them; 0, and nothing is written, if source is empty."""
+    return 0 if source.isEmpty() else write(transform(source))

@@ -11,10 +11,12 @@ from ..functions.clean import month_before
 from ..plans import silver
 from ..sources.sinks import merge_table, overwrite_table
 from ..sources.tables import read_table
+from ..streaming.ledger import read_due
 from .run import written
 
 #: Key and partitions of each dimension.
 DIMENSIONS = {"customers": ("customer_id", ["source"]), "products": ("product_id", ["sales_unit"]), "branches": ("branch_id", ["region"]), "category": ("category_id", None)}
+FEW_MONTHS = 24
 TRANSACTION_KEYS, TRANSACTION_PARTITIONS = ["trans_id", "branch_id", "ym", "ymd"], ["branch_id", "ym", "ymd"]
 
 
@@ -32,15 +34,22 @@ def dimension(spark: SparkSession, name: str, day: str, raw: str = "bronze", dat
     return written(read_table(spark, raw, name, {"report_date": day}), clean, lambda df: merge_table(df, f"{database}.{name}", [key], partitions, update=True))
 
 
-def events(spark: SparkSession, bucket: str, day: str | None, raw: str = "bronze", database: str = "silver") -> int:
-    """A day's events of a bucket, or all for None, merged by event and day: those that are there already stay. An absent raw table has none."""
+def events(spark: SparkSession, bucket: str, day: str | list[str] | None, raw: str = "bronze", database: str = "silver") -> int:
+    """A day's events of a bucket, those of several, or all for None, merged by event and day: those that are there already stay. An absent raw table has none."""
     if not spark.catalog.tableExists(f"{raw}.behavior_events"):
         return 0
-    source = read_table(spark, raw, "behavior_events", {"log_date": datetime.date.fromisoformat(day)} if day else None)
+    days = [day] if isinstance(day, str) else day
+    source = read_table(spark, raw, "behavior_events")
+    source = source if days is None else source.where(F.col("log_date").isin([datetime.date.fromisoformat(d) for d in days]))
     merge = lambda df: merge_table(df, f"{database}.events_{bucket}", ["event_uuid", "log_date"], ["log_date"], rules=silver.EVENT_RULES[bucket])
     return written(source, lambda df: silver.silver_events(df, bucket), merge)
 
 
+def events_due(spark: SparkSession, bucket: str, raw: str = "bronze", database: str = "silver") -> int:
+    """The events of all days that got raw rows since the last run, finished days too, by the ledger of the raw table."""
+    return read_due(spark, f"{raw}.behavior_events", f"{database}.events_{bucket}", lambda days: events(spark, bucket, days, raw, database))
+
+
 def nou(spark: SparkSession, day: str, raw: str = "bronze", database: str = "silver") -> int:
     """First days of the day's customers, merged into the registry: a late earlier order lowers one."""
     table = f"{database}.nou"
@@ -61,9 +70,12 @@ def transactions(spark: SparkSession, day: str, raw: str = "bronze", database: s
     table = f"{database}.transactions"
 
     def classified(batch: DataFrame) -> DataFrame:
-        months = [r[0] for r in batch.select(month_before(F.date_format("transaction_datetime", "yyyyMM"))).distinct().collect()]  # months of one day's orders
-        prior = read_table(spark, database, "transactions", missing_ok=True, schema="customer_id string, ym string")
-        return silver.classify_transactions(batch, spark.table(f"{database}.nou"), prior.where(F.col("ym").isin(months) & F.col("customer_id").isNotNull()))
+        before = batch.select(month_before(F.date_format("transaction_datetime", "yyyyMM")).alias("ym")).distinct()
+        months = [r[0] for r in before.limit(FEW_MONTHS + 1).collect()]
+        prior = read_table(spark, database, "transactions", missing_ok=True, schema="customer_id string, ym string").where("customer_id is not null")
+        # The months of a day's orders prune the scan; those of a first load of years are joined.
+        prior = prior.where(F.col("ym").isin(months)) if len(months) <= FEW_MONTHS else prior.join(before, "ym", "left_semi")
+        return silver.classify_transactions(batch, spark.table(f"{database}.nou"), prior)
 
     merge = lambda df: merge_table(df, table, TRANSACTION_KEYS, partitions or TRANSACTION_PARTITIONS, update=True, keep=("created_at",), rules=silver.TRANSACTION_RULES)
     return written(read_table(spark, raw, "transactions", {"report_date": day}), classified, merge)

@@ -12,9 +12,9 @@ def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, object]:
-    """The frame, and an Observation that holds its row count once an action has run; no second pass."""
+def observed(df: DataFrame, name: str | None = None, *more: Column) -> tuple[DataFrame, object]:
+    """The frame, and an Observation that holds its row count, and `more` aggregates, once an action over all of it has run; no second pass."""
     from pyspark.sql import Observation
 
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), seen
+    seen = Observation(name) if name else Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *more), seen

@@ -267,3 +267,14 @@ ORACLES: dict[str, str] = {
         FROM sale WHERE (kind = 'purchase' AND ok) OR kind IN ('error', 'view')""",
     "stream_running_sales": _with(_SALES) + "SELECT coalesce(sum(units), 0)::BIGINT AS units_sold, (coalesce(sum(units), 0) * 150000)::BIGINT AS revenue FROM sale WHERE kind = 'purchase' AND ok",
 }
+
+# Jobs and streams end at what their transformations give of the whole input.
+ORACLES |= {
+    "job_bronze_transactions": ORACLES["bronze_transactions"],
+    "job_bronze_transaction_details": ORACLES["bronze_transaction_details"],
+    "job_silver_customers": _with(_CUSTOMERS) + "SELECT * EXCLUDE (k, _cdc_operation) FROM latest",
+    "job_silver_late_events": ORACLES["silver_events_cart"],
+    "job_gold_events_cart": ORACLES["gold_events_cart"],
+    "stream_ingest_restarted": ORACLES["bronze_events"],
+    "stream_sales_by_item": _with(_SALES) + "SELECT item, coalesce(sum(units), 0)::BIGINT AS units_sold, (coalesce(sum(units), 0) * 150000)::BIGINT AS revenue FROM sale WHERE kind = 'purchase' AND ok GROUP BY item",
+}

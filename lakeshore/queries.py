@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import conform
@@ -15,7 +16,9 @@ from .jobs import silver as silver_jobs
 from .operators import layout, quality, upsert
 from .plans import bronze, gold, reports, silver
 from .sources import sinks
+from .sources.shared import checkpointed, dropped, fresh_path
 from .streaming import events as stream
+from .streaming import ledger
 
 AS_OF, SNAPSHOT, DAY = "2024-01-20", "1998-06-15", "20240105"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,7 +62,10 @@ def bronze_transactions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def bronze_transaction_details(spark: SparkSession, sf: str) -> DataFrame:
-    rolled = bronze.rollup_details(*conform.order_lines(spark, sf))
+    return _lines_as_text(bronze.rollup_details(*conform.order_lines(spark, sf)))
+
+
+def _lines_as_text(rolled: DataFrame) -> DataFrame:
     fields = ["transaction_detail_id", "product_id", "is_promo", "product_uom_code", "trans_qty", "trans_line_amount", "variant_size", "variant_color"]
     text = F.array_join(F.transform("trans_metadata", lambda x: F.concat_ws(":", *[F.coalesce(x[f].cast("string"), F.lit("-")) for f in fields])), ",")
     return rolled.withColumn("trans_metadata", text)
@@ -263,7 +269,7 @@ def zordered_orders(spark: SparkSession, sf: str) -> DataFrame:
     return layout.zorder(conform.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), ["o_custkey", "o_totalprice"], 8)
 
 
-def _sales(spark: SparkSession, sf: str) -> DataFrame:
+def _sale_records(spark: SparkSession, sf: str) -> DataFrame:
     """`events` as records of a sale topic."""
     n = F.col("event_id")
     units = F.when(n % 7 != 0, F.transform(F.sequence(F.lit(1), (1 + n % 3).cast("int")), lambda k: F.concat(F.lit("A"), k)))
@@ -273,7 +279,11 @@ def _sales(spark: SparkSession, sf: str) -> DataFrame:
     )
     kind = F.when(F.col("event_type") == "purchase", "item_sold").when(F.col("event_type") == "error", "payment_failed").when(F.col("event_type") == "view", "view_item").otherwise("other")
     envelope = F.struct(kind.alias("event_type"), F.concat(F.lit("u"), F.col("user_id")).alias("user_id"), metadata.alias("metadata"))
-    return stream.parse_sales(conform.table(spark, sf, "events").select(F.to_json(envelope).cast("binary").alias("value")))
+    return conform.table(spark, sf, "events").select("event_id", "ts", F.to_json(envelope).cast("binary").alias("value"))
+
+
+def _sales(spark: SparkSession, sf: str) -> DataFrame:
+    return stream.parse_sales(_sale_records(spark, sf))
 
 
 @query
@@ -286,52 +296,161 @@ def stream_running_sales(spark: SparkSession, sf: str) -> DataFrame:
     return stream.running_sales(_sales(spark, sf), 150000)
 
 
-def _database(spark: SparkSession, name: str) -> str:
-    """A new database for the jobs of one query, under a name that no earlier session has left files of."""
-    name = f"{name}_{uuid4().hex[:12]}"
-    spark.sql(f"CREATE DATABASE {name}")
-    return name
+@contextmanager
+def _databases(spark: SparkSession, *names: str) -> Iterator[list[str]]:
+    """New databases for the jobs of one query, under names that no earlier session has left files of; dropped at the end."""
+    made = [f"lakeshore_{name}_{uuid4().hex[:12]}" for name in names]
+    for name in made:
+        spark.sql(f"CREATE DATABASE {name}")
+    try:
+        yield made
+    finally:
+        for name in made:
+            spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@contextmanager
+def _folders(spark: SparkSession, *names: str) -> Iterator[list[str]]:
+    """New shared folders for one query, deleted at the end."""
+    made = [fresh_path(spark, name) for name in names]
+    try:
+        yield made
+    finally:
+        for path in made:
+            dropped(spark, path)
+
+
+def _delivered(spark: SparkSession, records: DataFrame, first: Column, path: str, run: Callable[[], None]) -> None:
+    """Write records to a folder in two deliveries, `first` and the others, and run what reads the folder after each."""
+    for part in (first, ~first):
+        records.where(part).write.mode("append").parquet(path)
+        run()
 
 
 @query
 def job_bronze_customers(spark: SparkSession, sf: str) -> DataFrame:
     """Customers loaded on two days: what changed until 2024-01-05, what has since, and nothing on a third day."""
-    rows, db = conform.customers(spark, sf), _database(spark, "lakeshore_bronze")
+    rows = conform.customers(spark, sf)
     changed = {"1": rows.where("updated_at < timestamp_ntz'2024-01-05'"), "2": rows.where("updated_at >= timestamp_ntz'2024-01-05'"), "3": rows.limit(0)}
-    for day in changed:
-        bronze_jobs.load_dimension(lambda _, d: changed[d], "customers", day, db)
-    return spark.table(f"{db}.customers").drop("_loaded_at")
+    with _databases(spark, "bronze") as (db,):
+        for day in changed:
+            bronze_jobs.load_dimension(lambda _, d: changed[d], "customers", day, db)
+        return checkpointed(spark.table(f"{db}.customers").drop("_loaded_at"))
+
+
+@query
+def job_bronze_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """Both channels' order headers, loaded in two runs."""
+    pos, online = conform.orders(spark, sf)
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    own = lambda day: F.col("updated_at") < cut if day == "1" else F.col("updated_at") >= cut
+    with _databases(spark, "headers") as (db,):
+        for day in ("1", "2"):
+            bronze_jobs.load_transactions(lambda name, d: (pos if name.startswith("pos") else online).where(own(d)), day, db)
+        return checkpointed(spark.table(f"{db}.transactions").drop("_loaded_at"))
+
+
+@query
+def job_bronze_transaction_details(spark: SparkSession, sf: str) -> DataFrame:
+    """Both channels' order lines rolled up, loaded as one day."""
+    pos, online = conform.order_lines(spark, sf)
+    with _databases(spark, "lines") as (db,):
+        bronze_jobs.load_transaction_details(lambda name, _: pos if name.startswith("pos") else online, "1", db)
+        return checkpointed(_lines_as_text(spark.table(f"{db}.transaction_details").drop("_loaded_at")))
+
+
+@query
+def job_silver_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers conformed over two loads: the second brings newer versions of some. Both are merged by customer."""
+    rows = conform.customers(spark, sf)
+    with _databases(spark, "raw_customers", "customers") as (raw, db):
+        for load, part in (("20240104", "updated_at < timestamp_ntz'2024-01-05'"), ("20240105", "updated_at >= timestamp_ntz'2024-01-05'")):
+            sinks.append_table(rows.where(part).withColumn("report_date", F.lit(load)), f"{raw}.customers", ["report_date"])
+            silver_jobs.dimension(spark, "customers", load, raw, db)
+        return checkpointed(spark.table(f"{db}.customers").drop("_cdc_operation"))
 
 
 @query
 def job_silver_events_cart(spark: SparkSession, sf: str) -> DataFrame:
     """Raw events appended twice, as at-least-once delivery may; the whole table merged, then one day again."""
-    db = _database(spark, "lakeshore_cart")
-    for _ in range(2):
-        sinks.append_table(_raw_events(spark, sf), f"{db}.behavior_events", ["log_date"])
-    for day in (None, "2024-01-05"):
-        silver_jobs.events(spark, "cart", day, db, db)
-    return spark.table(f"{db}.events_cart")
+    with _databases(spark, "cart") as (db,):
+        for _ in range(2):
+            sinks.append_table(_raw_events(spark, sf), f"{db}.behavior_events", ["log_date"])
+        for day in (None, "2024-01-05"):
+            silver_jobs.events(spark, "cart", day, db, db)
+        return checkpointed(spark.table(f"{db}.events_cart"))
+
+
+@query
+def job_silver_late_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw events in two batches of a stream, the second from partitions of the topic that were down, with events of all days. The job
+    runs after each on the days that the ledger tells; a batch that comes again changes nothing."""
+    records = conform.event_records(spark, sf)
+    with _databases(spark, "late") as (db,):
+        write = stream.write_bronze_batch(f"{db}.behavior_events", query="topic", ingested_at=F.col("timestamp"))
+        for epoch, part in ((0, "partition < 7"), (1, "partition >= 7"), (1, "partition >= 7")):
+            write(records.where(part), epoch)
+            silver_jobs.events_due(spark, "cart", db, db)
+        return checkpointed(spark.table(f"{db}.events_cart"))
 
 
 @query
 def job_silver_transactions(spark: SparkSession, sf: str) -> DataFrame:
     """Orders in two loads, changed before 1998 and since; the second brings changed statuses and late orders. A third load is empty."""
-    db, load = _database(spark, "lakeshore_orders"), F.when(F.col("updated_at") < F.lit("1998-01-01").cast("timestamp_ntz"), "19971231").otherwise("19980101")
-    sinks.append_table(_transactions(spark, sf).withColumn("report_date", load), f"{db}.transactions", ["report_date"])
-    out = _database(spark, "lakeshore_classified")
-    for day in ("19971231", "19980101", "19980102"):
-        silver_jobs.nou(spark, day, db, out)
-        silver_jobs.transactions(spark, day, db, out, ["ym"])
-    return spark.table(f"{out}.transactions").select(_classified(spark, sf).columns)
+    load = F.when(F.col("updated_at") < F.lit("1998-01-01").cast("timestamp_ntz"), "19971231").otherwise("19980101")
+    with _databases(spark, "orders", "classified") as (db, out):
+        sinks.append_table(_transactions(spark, sf).withColumn("report_date", load), f"{db}.transactions", ["report_date"])
+        for day in ("19971231", "19980101", "19980102"):
+            silver_jobs.nou(spark, day, db, out)
+            silver_jobs.transactions(spark, day, db, out, ["ym"])
+        return checkpointed(spark.table(f"{out}.transactions").select(_classified(spark, sf).columns))
+
+
+@query
+def job_gold_events_cart(spark: SparkSession, sf: str) -> DataFrame:
+    """Every day's cart events counted by the daily job, the first day twice."""
+    with _databases(spark, "carts", "cart_marts") as (db, out):
+        sinks.append_table(_silver_events(spark, sf, "cart"), f"{db}.events_cart", ["log_date"])
+        days = [str(r[0]) for r in spark.table(f"{db}.events_cart").select("log_date").distinct().orderBy("log_date").collect()]
+        for day in [*days, *days[:1]]:
+            gold_jobs.events(spark, "cart", day, db, out)
+        return checkpointed(spark.table(f"{out}.events_cart").select(*gold.EVENT_GRAIN["cart"], "event_count", "qty_added", "qty_removed"))
 
 
 @query
 def job_gold_sales(spark: SparkSession, sf: str) -> DataFrame:
     """The whole history classified, then two days' sales, one of them run twice."""
-    db, out = _database(spark, "lakeshore_history"), _database(spark, "lakeshore_sales")
-    sinks.append_table(_transactions(spark, sf), f"{db}.transactions")
-    silver_jobs.transactions_backfill(spark, db, out)
-    for day in (SNAPSHOT, "1998-06-16", SNAPSHOT):
-        gold_jobs.sales(spark, day, out, out)
-    return spark.table(f"{out}.daily_customer_sales")
+    with _databases(spark, "history", "sales") as (db, out):
+        sinks.append_table(_transactions(spark, sf), f"{db}.transactions")
+        silver_jobs.transactions_backfill(spark, db, out)
+        for day in (SNAPSHOT, "1998-06-16", SNAPSHOT):
+            gold_jobs.sales(spark, day, out, out)
+        return checkpointed(spark.table(f"{out}.daily_customer_sales"))
+
+
+@query
+def stream_ingest_restarted(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream of record files into the raw table: it ends, and another one goes on from its checkpoint with what has come since."""
+    with _databases(spark, "stream") as (db,), _folders(spark, "records", "ingest") as (files, checkpoint):
+
+        def ingest() -> None:
+            records = stream.read_events_stream(spark, "parquet", path=files, maxFilesPerTrigger="2")
+            stream.start_ingest(records, f"{db}.events", checkpoint, True, "topic", F.col("timestamp")).awaitTermination()
+
+        _delivered(spark, conform.event_records(spark, sf), F.col("partition") < 5, files, ingest)
+        return checkpointed(spark.table(f"{db}.events").drop("raw_metadata", "_ingested_at", ledger.BATCH))
+
+
+@query
+def stream_sales_by_item(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of each item, kept by a stream that ends half-way and goes on from its checkpoint, and merged into a table."""
+    with _databases(spark, "totals") as (db,), _folders(spark, "sales", "totals") as (files, checkpoint):
+
+        def total() -> None:
+            sales = stream.parse_sales(stream.read_events_stream(spark, "parquet", path=files))
+            stream.start_totals(sales, f"{db}.totals", checkpoint, 150000, True).awaitTermination()
+
+        records = _sale_records(spark, sf)
+        records = records.select(F.lit(None).cast("binary").alias("key"), "value", F.lit("sales").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
+        _delivered(spark, records, F.col("timestamp") < "2024-01-16", files, total)
+        return checkpointed(spark.table(f"{db}.totals"))

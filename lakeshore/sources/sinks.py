@@ -1,17 +1,27 @@
-"""Writers of catalog tables. A plain Parquet table has no transactions: readers of a partition that is being replaced
-may see it half done; a table format with MERGE removes that limit."""
+"""Writers of catalog tables, each in one pass over its rows; all return the number of rows that they were given.
+
+A plain Parquet table has no transactions: readers of a partition that is being replaced may see it half done; a table format
+with MERGE removes that limit.
+"""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import enforced
+from ..operators.quality import enforced, violations
+from ..operators.rows import observed
 from ..operators.upsert import repeated_keys, upsert
 
+#: Rules of a table are properties of it, under this prefix.
+RULE = "lakeshore.rule."
+Values = set[tuple]
+
 
-def _exists(df: DataFrame, table: str) -> bool:
-    return df.sparkSession.catalog.tableExists(table)
+def _exists(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(table)
 
 
 def ensure_database(spark: SparkSession, table: str) -> None:
@@ -19,91 +29,184 @@ def ensure_database(spark: SparkSession, table: str) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rpartition('.')[0]}")
 
 
-def _create(df: DataFrame, table: str, partition_by: list[str] | None, properties: dict[str, str] | None = None) -> None:
-    ensure_database(df.sparkSession, table)
-    df.write.format("parquet").mode("overwrite").partitionBy(*(partition_by or [])).options(**(properties or {})).saveAsTable(table)
+def _text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def append_table(df: DataFrame, table: str, partition_by: list[str] | None = None, properties: dict[str, str] | None = None) -> bool:
-    """Append, or create with partitions and properties; an empty frame writes nothing. Returns whether anything was written."""
-    if df.isEmpty():
-        return False
-    if not _exists(df, table):
-        _create(df, table, partition_by, properties)
-    else:
-        df.select(*df.sparkSession.table(table).columns).write.mode("append").insertInto(table)
-    return True
+def rules_of(spark: SparkSession, table: str) -> dict[str, str]:
+    """The conditions that stay with a table, by name; none for an absent table."""
+    if not _exists(spark, table):
+        return {}
+    return {r["key"].removeprefix(RULE): r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if r["key"].startswith(RULE)}
 
 
-def overwrite_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
-    """Replace the whole table; the new rows may come from the old ones."""
-    _create(_staged(df, table), table, partition_by)
-    _drop_stage(df.sparkSession, table)
+def add_rules(spark: SparkSession, table: str, conditions: dict[str, str]) -> None:
+    """Conditions that every writer of the table obeys from now on. One that a present row breaks raises, and none is added.
 
+    Those that the table has already are neither checked nor changed; a null condition isn't broken.
+    """
+    present = rules_of(spark, table)
+    new = {name: sql for name, sql in conditions.items() if present.get(name) != sql}
+    if not new:
+        return
+    broken = {r["rule"]: r["n_violations"] for r in violations(spark.table(table), new).collect() if r["n_violations"]}
+    if broken:
+        names = ", ".join(sorted(broken))
+        raise ValueError(f"constraint {names} is violated by rows of {table}: {broken}")
+    _set_rules(spark, table, new)
 
-def _staged(df: DataFrame, table: str) -> DataFrame:
-    """The rows written to a table beside the target, so that they can be read while the target is overwritten."""
-    stage = f"{table}__stage"
-    _create(df, stage, None)
-    return df.sparkSession.table(stage)
+
+def _set_rules(spark: SparkSession, table: str, conditions: dict[str, str]) -> None:
+    if conditions:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({', '.join(f'{_text(RULE + k)} = {_text(v)}' for k, v in conditions.items())})")
 
 
-def _drop_stage(spark: SparkSession, table: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {table}__stage")
+def drop_rule(spark: SparkSession, table: str, name: str) -> None:
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({_text(RULE + name)})")
+
+
+def _clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Rows of a partition value together, so that it gets as few files as its size allows: adaptive execution splits large values
+    over several tasks and puts small ones into one."""
+    return df.hint("rebalance", *map(F.col, partition_by)) if partition_by else df
+
+
+def _create(df: DataFrame, table: str, partition_by: list[str] | None, properties: dict[str, str] | None = None, conditions: dict[str, str] | None = None) -> int:
+    ensure_database(df.sparkSession, table)
+    rows, seen = observed(_clustered(enforced(df, conditions or {}), partition_by))
+    rows.write.format("parquet").mode("overwrite").partitionBy(*(partition_by or [])).options(**(properties or {})).saveAsTable(table)
+    _set_rules(df.sparkSession, table, conditions or {})
+    return seen.get["n_rows"]
+
+
+def append_table(df: DataFrame, table: str, partition_by: list[str] | None = None, properties: dict[str, str] | None = None) -> int:
+    """Append, or create with partitions and properties; an empty frame creates nothing."""
+    spark = df.sparkSession
+    if not _exists(spark, table):
+        return 0 if df.isEmpty() else _create(df, table, partition_by, properties)
+    whole = enforced(df.select(*spark.table(table).columns), rules_of(spark, table))
+    rows, seen = observed(_clustered(whole, _partition_columns(spark, table)))
+    rows.write.mode("append").insertInto(table)
+    return seen.get["n_rows"]
+
+
+def overwrite_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
+    """Replace the whole table, whose rules stay. Only where the new rows come from the old ones are they written twice."""
+    kept = rules_of(df.sparkSession, table)
+    try:
+        return _create(df, table, partition_by, conditions=kept)
+    except AnalysisException as e:
+        if e.getCondition() != "UNSUPPORTED_OVERWRITE.TABLE":
+            raise
+    stage = f"{table}__stage"
+    _create(df, stage, None)
+    n = _create(df.sparkSession.table(stage), table, partition_by, conditions=kept)
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {stage}")
+    return n
 
 
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def replace_partitions(df: DataFrame, table: str, affected: DataFrame) -> None:
-    """Make `df` the content of the partitions `affected` (distinct partition values); those without rows are dropped."""
+def _values(df: DataFrame, columns: list[str]) -> Values:
+    """Distinct partition values: as many as there are partitions, which a table's metadata hold, too."""
+    return {tuple(r) for r in df.select(*columns).distinct().collect()}
+
+
+def in_partitions(df: DataFrame, columns: list[str], values: Values) -> DataFrame:
+    """The rows of the given partitions. The values of each column prune the scan; where they meet in other partitions, too, a join
+    with the values themselves leaves these out."""
+    for k, c in enumerate(columns):
+        told = {v[k] for v in values}
+        among = F.col(c).isin(sorted(told - {None})) if told != {None} else F.lit(False)
+        df = df.where(among | F.col(c).isNull() if None in told else among)
+    if len(columns) == 1:
+        return df
+    schema = ", ".join(f"_{c} {dict(df.dtypes)[c]}" for c in columns)
+    own = df.sparkSession.createDataFrame(sorted(values, key=repr), schema)
+    same = F.struct(*columns).eqNullSafe(F.struct(*[F.col(f"_{c}").alias(c) for c in columns]))
+    return df.join(own, same, "left_semi")
+
+
+def overwrite_partitions(df: DataFrame, table: str, affected: Values) -> int:
+    """Make `df` the content of the partitions `affected`; those of them that get no rows are dropped.
+
+    Spark writes beside the partitions and puts them in place at the end, so that `df` may read the table.
+    """
     spark, columns = df.sparkSession, _partition_columns(df.sparkSession, table)
-    new = _staged(df, table)
-    empty = affected.join(new.select(*columns).distinct(), columns, "left_anti")
-    gone = [r.asDict() for r in empty.collect()]  # partition values only
+    seen_values = F.collect_set(F.struct(*columns)).alias("partitions")
+    rows, seen = observed(_clustered(df.select(*spark.table(table).columns), columns), None, seen_values)
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
     try:
-        new.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        rows.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(mode, before)
-    for values in gone:
-        spec = ", ".join(f"{k} = {_literal(v)}" for k, v in values.items())
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-    _drop_stage(spark, table)
+    got = seen.get
+    gone = affected - {tuple(v) for v in got["partitions"] or []}
+    if gone:
+        specs = ", ".join("PARTITION ({})".format(", ".join(f"{c} = {_literal(x)}" for c, x in zip(columns, v))) for v in sorted(gone, key=repr))
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+    return got["n_rows"]
 
 
 def _literal(v: object) -> str:
-    return "NULL" if v is None else str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "\\'") + "'"
+    return "NULL" if v is None else str(v) if isinstance(v, (int, float)) else _text(str(v))
 
 
-def replace_where(df: DataFrame, table: str, column: str, value: object, partition_by: list[str] | None = None) -> None:
+def replace_where(df: DataFrame, table: str, column: str, value: object, partition_by: list[str] | None = None) -> int:
     """Make `df` all rows with column = value, sub-partitions that vanished included. The first write creates the table."""
-    if not _exists(df, table):
+    spark, own = df.sparkSession, F.col(column) == F.lit(value)
+    if not _exists(spark, table):
         return _create(df, table, partition_by or [column])
-    columns = _partition_columns(df.sparkSession, table)
-    affected = df.sparkSession.table(table).where(F.col(column) == F.lit(value)).select(*columns).distinct()
-    replace_partitions(df.where(F.col(column) == F.lit(value)), table, affected)
-
-
-def merge_table(source: DataFrame, table: str, keys: list[str], partition_by: list[str] | None = None, update: bool = False, keep: tuple[str, ...] = (), rules: dict[str, str] | None = None) -> None:
-    """Upsert into a table, by rewriting only the partitions that old or new versions of the rows are in; an empty source changes nothing."""
-    source = enforced(source, rules or {})
-    if source.isEmpty():
-        return None
-    if update and not repeated_keys(source, keys).isEmpty():
-        raise ValueError(f"several rows of the source have one key of {keys}")
-    if not _exists(source, table):
-        return _create(source, table, partition_by)
-    target, columns = source.sparkSession.table(table), _partition_columns(source.sparkSession, table)
-    if not columns:
-        return overwrite_table(upsert(target, source, keys, update, keep), table)
-    moved = target.join(source.select(*keys).distinct(), keys, "left_semi").select(*columns)
-    affected = moved.unionByName(source.select(*columns)).distinct()
-    within = target.join(affected, columns, "left_semi")
-    replace_partitions(upsert(within, source, keys, update, keep), table, affected)
+    affected = _values(spark.table(table).where(own), _partition_columns(spark, table))
+    return overwrite_partitions(enforced(df.where(own), rules_of(spark, table)), table, affected)
+
+
+def merge_plan(source: DataFrame, table: str, keys: list[str], update: bool = False, keep: tuple[str, ...] = ()) -> tuple[DataFrame, Values]:
+    """The rows after a merge of the partitions that it changes, and these partitions' values.
+
+    Where the keys hold the partition columns these are the source's own; otherwise the target's keys are searched for
+    old versions. The scan of whole rows is pruned to them.
+    """
+    spark = source.sparkSession
+    target, columns = spark.table(table), _partition_columns(spark, table)
+    affected = _values(source, columns)
+    if not set(columns) <= set(keys):
+        affected |= _values(target.join(source.select(*keys).distinct(), keys, "left_semi"), columns)
+    within = in_partitions(target, columns, affected)
+    return upsert(within, source, keys, update, keep), affected
+
+
+def merge_table(source: DataFrame, table: str, keys: list[str], partition_by: list[str] | None = None, update: bool = False, keep: tuple[str, ...] = (), rules: dict[str, str] | None = None) -> int:
+    """Upsert into a table, by rewriting only the partitions that old or new versions of the rows are in; an empty source changes nothing.
+
+    `rules` become the table's, which the source has to obey. The source is made once, and kept on disk while it is read.
+    """
+    spark, conditions = source.sparkSession, rules or {}
+    there = _exists(spark, table)
+    if there:
+        add_rules(spark, table, conditions)
+        conditions = rules_of(spark, table)
+    rows = enforced(source, conditions).persist(StorageLevel.DISK_ONLY)
+    try:
+        n = rows.count()
+        if not n:
+            return 0
+        if update and not repeated_keys(rows, keys).isEmpty():
+            raise ValueError(f"several rows of the source have one key of {keys}")
+        if not there:
+            return _create(rows, table, partition_by, conditions=conditions)
+        if not _partition_columns(spark, table):
+            overwrite_table(upsert(spark.table(table), rows, keys, update, keep), table)
+            return n
+        merged, affected = merge_plan(rows, table, keys, update, keep)
+        overwrite_partitions(merged, table, affected)
+        return n
+    finally:
+        rows.unpersist()
 
 
 def register_table(spark: SparkSession, table: str, path: str, schema: str, partition_by: list[str] | None = None) -> None:

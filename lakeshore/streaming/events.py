@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.vocabulary import ENVELOPE
-from ..sources.sinks import append_table
+from ..sources.sinks import merge_table
+from .ledger import append_once
 
 RECORD = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
 SALE = "event_type string, user_id string, metadata struct<item: string, is_success: int, units: array<string>, error_message: string>"
@@ -45,20 +46,21 @@ def parse_events(records: DataFrame, ingested_at: Column | None = None) -> DataF
     )
 
 
-def write_bronze_batch(table: str, partition_by: str = "log_date") -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: parse and append; an empty batch writes nothing, an absent table is made.
+def write_bronze_batch(table: str, partition_by: str = "log_date", query: str = "ingest", ingested_at: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: parse, and append each batch once, as the table's ledger tells; an empty batch writes nothing, an absent table is made.
 
-    A batch may come again after a failure. Raw events may repeat, the conformed layer holds each once.
+    `query` names the stream in the ledger: it has to stay the same over restarts, and to be the stream's own. Events may repeat in different
+    batches, as their producer may send them twice; the conformed layer holds each once.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        append_table(parse_events(batch), table, [partition_by])
+        append_once(parse_events(batch, ingested_at), epoch, table, query, partition_by)
 
     return write
 
 
-def start_ingest(records: DataFrame, table: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    writer = records.writeStream.foreachBatch(write_bronze_batch(table)).option("checkpointLocation", checkpoint)
+def start_ingest(records: DataFrame, table: str, checkpoint: str, available_now: bool = False, query: str = "ingest", ingested_at: Column | None = None) -> StreamingQuery:
+    writer = records.writeStream.foreachBatch(write_bronze_batch(table, query=query, ingested_at=ingested_at)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER)).start()
 
 
@@ -93,3 +95,20 @@ def running_sales(sales: DataFrame, unit_price: int) -> DataFrame:
     sold = sales.where((F.col("event_type") == "item_sold") & (F.col("is_success") == 1))
     units = F.coalesce(F.sum(F.size("units")), F.lit(0)).cast("long")
     return sold.agg(units.alias("units_sold"), (units * unit_price).alias("revenue"))
+
+
+def sales_by_item(sales: DataFrame, unit_price: int) -> DataFrame:
+    """(item, units_sold, revenue) over all successful sales of each item; on a stream one state for each item, in the checkpoint."""
+    sold = sales.where((F.col("event_type") == "item_sold") & (F.col("is_success") == 1))
+    units = F.sum(F.size("units")).cast("long")
+    return sold.groupBy("item").agg(units.alias("units_sold"), (units * unit_price).alias("revenue"))
+
+
+def start_totals(sales: DataFrame, table: str, checkpoint: str, unit_price: int, available_now: bool = False) -> StreamingQuery:
+    """Keep each item's totals in a table: the items whose totals a batch changed are merged by item.
+
+    The totals are states, not increments, so a batch that comes again after a failure writes what it wrote before.
+    """
+    totals = sales_by_item(sales, unit_price).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    writer = totals.foreachBatch(lambda batch, _: merge_table(batch, table, ["item"], update=True))
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER)).start()

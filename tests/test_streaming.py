@@ -1,9 +1,13 @@
 import datetime as dt
 import json
 
+import pytest
+
 from lakeshore.plans import silver
 from lakeshore import conform
+from lakeshore.jobs import silver as jobs
 from lakeshore.streaming import events as stream
+from lakeshore.streaming import ledger
 from pyspark.sql import functions as F
 
 
@@ -87,3 +91,82 @@ def test_running_sales_survive_a_restart(spark, tmp_path):
         query = totals.foreachBatch(lambda df, _: seen.append(tuple(df.first()))).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()
     assert seen == [(2, 20), (4, 40)]
+
+
+@pytest.fixture
+def db(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS streamed")
+    yield "streamed"
+    spark.sql("DROP DATABASE streamed CASCADE")
+
+
+def batch(spark, ids, day="2024-01-01"):
+    body = lambda i: json.dumps({"event_uuid": f"e{i}", "event_id": 5, "event_type": "add_to_cart", "timestamp": 1704067200, "log_date": day, "created_at": f"{day}T00:00:00", "user_id": "u1"})
+    rows = [(None, body(i), "t", 0, i, dt.datetime(2024, 1, 1)) for i in ids]
+    return spark.createDataFrame(rows, TEXT).withColumn("value", F.col("value").cast("binary"))
+
+
+def test_a_batch_that_comes_again_writes_nothing(spark, db, monkeypatch):
+    write, table = stream.write_bronze_batch(f"{db}.raw", query="q"), f"{db}.raw"
+    uuids = lambda: sorted(r[0] for r in spark.table(table).select("event_uuid").collect())
+    write(batch(spark, []), 0)
+    assert not spark.catalog.tableExists(table)
+    write(batch(spark, [1, 2]), 1)
+    for _ in range(2):
+        write(batch(spark, [1, 2]), 1)
+        assert uuids() == ["e1", "e2"]
+    stream.write_bronze_batch(table, query="another")(batch(spark, [3], "2024-01-02"), 1)
+    assert uuids() == ["e1", "e2", "e3"]
+    # A batch breaks after its rows are in the table, before it is done: the next attempt takes them away first.
+    enter = ledger._enter
+    monkeypatch.setattr(ledger, "_enter", lambda s, t, rows: enter(s, t, rows) if rows[0][2] == "begun" else (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        write(batch(spark, [4, 5]), 2)
+    assert uuids() == ["e1", "e2", "e3", "e4", "e5"]
+    monkeypatch.setattr(ledger, "_enter", enter)
+    for _ in range(2):
+        write(batch(spark, [4, 5]), 2)
+        assert uuids() == ["e1", "e2", "e3", "e4", "e5"]
+    assert {r.n_rows for r in spark.table(ledger.ledger_of(table)).where("epoch = 2 and state = 'done'").collect()} == {2}
+
+
+def test_late_events_of_a_finished_day_arrive(spark, db):
+    write = stream.write_bronze_batch(f"{db}.behavior_events", query="q")
+    got = lambda: sorted(r[0] for r in spark.table(f"{db}.events_cart").select("event_uuid").collect())
+    assert jobs.events_due(spark, "cart", db, db) == 0
+    write(batch(spark, [1]), 0)
+    write(batch(spark, [2], "2024-01-02"), 1)
+    assert jobs.events_due(spark, "cart", db, db) == 2 and jobs.events_due(spark, "cart", db, db) == 0
+    write(batch(spark, [3], "2024-01-01"), 2)  # a day that is done
+    assert [r.part for r in ledger.due(spark, f"{db}.behavior_events", f"{db}.events_cart").collect()] == ["2024-01-01"]
+    assert jobs.events_due(spark, "cart", db, db) > 0 and got() == ["e1", "e2", "e3"]
+    # Another consumer has marks of its own; another stream is read from its own first batch.
+    assert {r.part for r in ledger.due(spark, f"{db}.behavior_events", f"{db}.events_checkout").collect()} == {"2024-01-01", "2024-01-02"}
+    stream.write_bronze_batch(f"{db}.behavior_events", query="second")(batch(spark, [4]), 0)
+    assert jobs.events_due(spark, "cart", db, db) > 0 and got() == ["e1", "e2", "e3", "e4"]
+
+
+def test_a_failed_run_is_due_again(spark, db):
+    write = stream.write_bronze_batch(f"{db}.behavior_events", query="q")
+    write(batch(spark, [1]), 0)
+
+    def broken(days):
+        raise OSError(days)
+
+    with pytest.raises(OSError):
+        ledger.read_due(spark, f"{db}.behavior_events", f"{db}.out", broken)
+    assert ledger.read_due(spark, f"{db}.behavior_events", f"{db}.out", len) == 1
+    assert ledger.read_due(spark, f"{db}.behavior_events", f"{db}.out", len) == 0
+
+
+def test_totals_by_item_go_on_after_a_restart(spark, db, tmp_path):
+    files, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    seen = []
+    for k in range(2):
+        rows = SALES if k == 0 else [sale("item_sold", item="Hat", is_success=1, units=["A1"])]
+        spark.createDataFrame(rows, TEXT).select(*[F.col(c).cast("binary") if c in ("key", "value") else c for c in ("key", "value", "topic", "partition", "offset", "timestamp")]).write.mode("append").parquet(files)
+        sales = stream.parse_sales(stream.read_events_stream(spark, "parquet", path=files))
+        stream.start_totals(sales, f"{db}.totals", checkpoint, 10, available_now=True).awaitTermination()
+        spark.catalog.refreshTable(f"{db}.totals")  # the stream writes in a session of its own
+        seen.append(sorted(map(tuple, spark.table(f"{db}.totals").collect())))
+    assert seen == [[("Coat", 2, 20), ("Unknown", 0, 0)], [("Coat", 2, 20), ("Hat", 1, 10), ("Unknown", 0, 0)]]

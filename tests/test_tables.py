@@ -1,6 +1,7 @@
 """Catalog tables and database reads."""
 
 import datetime as dt
+import re
 
 import pytest
 from lakeshore.sources import sinks, tables
@@ -65,6 +66,92 @@ def test_merge_without_partitions_and_overwrite(spark, db):
     assert rows(spark.table("shop.u")) == [("a", 5, "b", "1")]
 
 
+def files(spark, table):
+    """The number of files in each partition of a table."""
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    got = spark.table(table).groupBy(F.element_at(F.split(F.input_file_name(), "/"), -2).alias("p")).agg(F.countDistinct(name).alias("n"))
+    return {r.p: r.n for r in got.collect()}
+
+
+def test_a_partition_gets_one_small_file(spark, db):
+    """However many tasks hold rows of it; for creating, appending, replacing and merging."""
+    many = spark.range(0, 40000, 1, 16).select(F.col("id").cast("string").alias("k"), F.col("id").cast("int").alias("v"), F.concat(F.lit("b"), F.col("id") % 12).alias("branch"), F.lit("1").alias("ymd"))
+    assert sinks.overwrite_table(many, "shop.files", ["branch"]) == 40000
+    assert files(spark, "shop.files") == {f"branch=b{k}": 1 for k in range(12)}
+    assert sinks.append_table(many, "shop.files") == 40000
+    assert set(files(spark, "shop.files").values()) == {2}
+    assert sinks.replace_where(many, "shop.files", "branch", "b3") == 3334 and files(spark, "shop.files")["branch=b3"] == 1
+    sinks.overwrite_table(many, "shop.files", ["branch"])
+    assert sinks.merge_table(many.where("id % 2 = 0").withColumn("v", F.lit(-1)), "shop.files", ["k"], update=True) == 20000
+    assert set(files(spark, "shop.files").values()) == {1} and spark.table("shop.files").where("v = -1").count() == 20000
+
+
+def test_a_large_partition_is_written_by_several_tasks(spark, db):
+    rows = spark.range(0, 60000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("k"), F.lit(1).alias("v"), F.when(F.col("id") < 50000, "large").otherwise(F.concat(F.lit("b"), F.col("id") % 3)).alias("branch"), F.lit("1").alias("ymd"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
+    try:
+        sinks.overwrite_table(rows, "shop.large", ["branch"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    got = files(spark, "shop.large")
+    assert 2 <= got.pop("branch=large") <= 16 and set(got.values()) == {1}
+
+
+def scans(df):
+    """The partition filters and numbers of partitions of the scans of a plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+
+
+def test_a_merge_reads_only_the_partitions_of_its_source(spark, db):
+    """One partition of fifty; a null one is among them, too, and one that exists only as a mixture of others' values."""
+    rows = spark.range(500).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"), F.concat(F.lit("b"), F.col("id") % 5).alias("branch"), F.when(F.col("id") % 10 > 0, (F.col("id") % 10).cast("string")).alias("ymd"))
+    sinks.merge_table(rows, "shop.pruned", ["k", "branch", "ymd"], ["branch", "ymd"])
+    day = rows.where("k in ('1', '2', '10', '20')").withColumn("v", F.lit(2))
+    merged, affected = sinks.merge_plan(day, "shop.pruned", ["k", "branch", "ymd"], update=True)
+    assert affected == {("b1", "1"), ("b2", "2"), ("b0", None)}
+    on_target = [f for f in scans(merged) if f]
+    assert on_target and all("branch" in f and "IN" in f and "ymd" in f for f in on_target), on_target
+    assert merged.select("branch", "ymd").distinct().count() == 3
+    before = {r[0] for r in spark.table("shop.pruned").where("branch = 'b4'").select(F.input_file_name()).distinct().collect()}
+    sinks.merge_table(day, "shop.pruned", ["k", "branch", "ymd"], update=True)
+    # Two of the four have a null in their key, which matches nothing.
+    assert spark.table("shop.pruned").where("v = 2").count() == 4 and spark.table("shop.pruned").count() == 502
+    assert before == {r[0] for r in spark.table("shop.pruned").where("branch = 'b4'").select(F.input_file_name()).distinct().collect()}
+    # A key without the partition's columns may move: its old place is found, and then the scan of whole rows is pruned, too.
+    moved, affected = sinks.merge_plan(day.withColumn("ymd", F.lit("new")), "shop.pruned", ["k"], update=True)
+    assert ("b1", "new") in affected and ("b1", "1") in affected and len(affected) == 6
+    assert any("branch" in f and "IN" in f for f in scans(moved))
+
+
+def test_rules_stay_with_a_table(spark, db):
+    good = spark.createDataFrame([("a", 1, "b1", "1"), ("b", None, "b2", "1")], SCHEMA)
+    bad = spark.createDataFrame([("c", -1, "b1", "1")], SCHEMA)
+    sinks.append_table(good, "shop.ruled", ["branch"])
+    for _ in range(2):
+        sinks.add_rules(spark, "shop.ruled", {"positive": "v > 0", "name": "k <> 'it\\'s'"})
+    assert sinks.rules_of(spark, "shop.ruled") == {"positive": "v > 0", "name": "k <> 'it\\'s'"}
+    with pytest.raises(ValueError, match="constraint big"):
+        sinks.add_rules(spark, "shop.ruled", {"big": "v > 1", "positive": "v > 0"})
+    for write in (
+        lambda df: sinks.append_table(df, "shop.ruled"), lambda df: sinks.overwrite_table(df, "shop.ruled", ["branch"]), lambda df: sinks.replace_where(df, "shop.ruled", "branch", "b1"),
+        lambda df: sinks.merge_table(df, "shop.ruled", ["k"]), lambda df: sinks.merge_table(df, "shop.ruled", ["k"], update=True),
+    ):
+        with pytest.raises(Exception, match="constraint positive"):
+            write(bad)
+        assert rows(spark.table("shop.ruled")) == rows(good)
+        assert sinks.rules_of(spark, "shop.ruled") == {"positive": "v > 0", "name": "k <> 'it\\'s'"}
+        write(good)
+    sinks.overwrite_table(spark.table("shop.ruled").where("k = 'a'").limit(1), "shop.ruled", ["branch"])
+    assert sinks.rules_of(spark, "shop.ruled") == {"positive": "v > 0", "name": "k <> 'it\\'s'"}
+    sinks.drop_rule(spark, "shop.ruled", "positive")
+    assert sinks.append_table(bad, "shop.ruled") == 1
+    # Rules that a merge brings stay with the table that it makes.
+    sinks.merge_table(good, "shop.made", ["k"], rules={"positive": "v > 0"})
+    with pytest.raises(Exception, match="constraint positive"):
+        sinks.append_table(bad, "shop.made")
+
+
 def test_register(spark, db, tmp_path):
     at = str(tmp_path / "files")
     spark.createDataFrame([("a", 1, "b", "20240101")], SCHEMA).write.partitionBy("ymd").parquet(at)
