@@ -111,9 +111,9 @@ ORACLES: dict[str, str] = {
             SELECT doc_id, i, array_to_string(words, ' ') AS t, row_number() OVER d AS k, sum(len(words)) OVER d AS upto, sum(len(words)) OVER d - len(words) AS before
             FROM w WHERE len(words) > 0 WINDOW d AS (PARTITION BY doc_id ORDER BY i)
         ),
-        whole AS (SELECT doc_id, list(t ORDER BY k) AS ts, list(i ORDER BY k) AS places FROM f GROUP BY doc_id HAVING count(*) >= 3),
-        reach AS (SELECT s.doc_id, s.k, s.i, e.k AS z FROM f s ASOF LEFT JOIN f e ON s.doc_id = e.doc_id AND s.before + 25 <= e.upto),
-        runs AS (SELECT r.doc_id, r.k, r.i, greatest(coalesce(r.z, CASE WHEN r.k = 1 THEN len(o.ts) END), r.k + 2) AS z, o.ts, o.places FROM reach r JOIN whole o ON r.doc_id = o.doc_id WHERE r.z IS NOT NULL OR r.k = 1),
+        whole AS (SELECT doc_id, list(t ORDER BY k) AS ts, list(i ORDER BY k) AS places, max(upto) AS total FROM f GROUP BY doc_id HAVING count(*) >= 3),
+        reach AS (SELECT s.doc_id, s.k, s.i, s.before, e.k AS z FROM f s ASOF LEFT JOIN f e ON s.doc_id = e.doc_id AND s.before + 25 <= e.upto),
+        runs AS (SELECT r.doc_id, r.k, r.i, greatest(coalesce(r.z, len(o.ts)), r.k + 2) AS z, o.ts, o.places FROM reach r JOIN whole o ON r.doc_id = o.doc_id WHERE r.z IS NOT NULL OR r.k = 1 OR o.total - r.before >= 12),
         spans AS (SELECT doc_id, i AS a, places[z] AS z, array_to_string(ts[k:z], chr(30)) AS span FROM runs WHERE z <= len(ts)),
         placed AS (SELECT *, row_number() OVER (PARTITION BY span ORDER BY doc_id, a) AS place FROM spans),
         gone AS (SELECT DISTINCT s.doc_id, s.i FROM placed p JOIN s ON p.doc_id = s.doc_id AND s.i BETWEEN p.a AND p.z WHERE place > 1),

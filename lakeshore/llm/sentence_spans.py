@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 
 from .common import dealt_anew, free_name, slices
 
-#: A run is RUN consecutive sentences, and as many more as it takes to have LEAST_WORDS words.
-RUN, LEAST_WORDS = 3, 25
+#: A run is RUN consecutive sentences, and as many more as it takes to have LEAST_WORDS words; at a text's end LEAST_TAIL words do.
+RUN, LEAST_WORDS, LEAST_TAIL = 3, 25, 12
 # A sentence ends after . ! or ? before white space, and at each line break; the white space belongs to it.
 _cut = re.compile(r"(?<=[.!?])\s+|\s*\n\s*").finditer
 
@@ -31,8 +31,8 @@ def spans(text: str, run: int = RUN, least: int = LEAST_WORDS) -> Iterator[tuple
     """(128-bit hash, first sentence, number of sentences) of each run; sentences are equal if their words are.
 
     A run starts at every sentence with words and goes on to the first one at which it has `run` sentences and `least`
-    words; blank sentences between don't count. Near the end, where the text runs out before, the runs that started earlier
-    hold the last sentences. A text of `run` sentences or more that is shorter than `least` words is one run.
+    words; blank sentences between don't count. Where the text ends before, the run is all that is left, if that has `run` sentences and
+    LEAST_TAIL words (or `least`, if that is fewer). A text of `run` sentences or more is a run, however few words it has.
     """
     words = [x.split() for x in sentences(text)]
     full = [i for i, w in enumerate(words) if w]
@@ -45,7 +45,7 @@ def spans(text: str, run: int = RUN, least: int = LEAST_WORDS) -> Iterator[tuple
         end = max(end, k + run)
         while end < len(full) and so_far[end] - so_far[k] < least:
             end += 1
-        if end > len(full) or so_far[end] - so_far[k] < least and k:
+        if end > len(full) or k and so_far[end] - so_far[k] < min(least, LEAST_TAIL):
             return
         yield xxhash.xxh3_128_digest(digests[16 * k : 16 * end]), i, full[end - 1] - i + 1
 

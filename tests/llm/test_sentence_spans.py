@@ -23,7 +23,7 @@ def plain(rows):
         full = [i for i, w in enumerate(words) if w]
         for k in range(len(full)):
             ends = [z for z in range(k + 3, min(len(full), k + 30) + 1) if sum(len(words[i]) for i in full[k:z]) >= 25]  # 25 sentences have 25 words
-            if not ends and k == 0 and len(full) >= 3:
+            if not ends and len(full) - k >= 3 and (k == 0 or sum(len(words[i]) for i in full[k:]) >= 12):
                 ends = [len(full)]
             for z in ends[:1]:
                 key = tuple(" ".join(words[j]) for j in full[k:z])
@@ -84,6 +84,17 @@ def test_passages_of_short_sentences_and_of_glued_ones_go(spark):
     assert got == {d: 0 if d in (0, 5) else 12 if d < 5 else 3 for d in range(10)}
 
 
+def test_a_passage_at_the_end_goes(spark):
+    """Two texts with beginnings of their own and the same last three sentences, of 24 words: shorter than a run elsewhere."""
+    rng = random.Random(6)
+    of = lambda n, k: " ".join(f"{k}{rng.randrange(10**6)}" for _ in range(n)) + "."
+    tail = " ".join(of(8, "t") for _ in range(3))
+    short = " ".join(of(2, "s") for _ in range(3))
+    rows = [(d, " ".join([of(9, "a"), of(12, "b"), of(7, "c"), tail if d < 2 else short])) for d in range(4)]
+    got = {r.doc_id: (r._n_removed, r.text) for r in ss.remove_repeats(spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA)).collect()}
+    assert got == {0: (0, rows[0][1]), 1: (3, rows[1][1].removesuffix(tail)), 2: (0, rows[2][1]), 3: (0, rows[3][1])}
+
+
 def test_a_run_of_many_places_is_split(spark):
     from tests.llm.skew import splits
 
