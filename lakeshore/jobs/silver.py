@@ -50,8 +50,12 @@ def events_due(spark: SparkSession, bucket: str, raw: str = "bronze", database:
     return read_due(spark, f"{raw}.behavior_events", f"{database}.events_{bucket}", lambda days: events(spark, bucket, days, raw, database))
 
 
-def nou(spark: SparkSession, day: str, raw: str = "bronze", database: str = "silver") -> int:
-    """First days of the day's customers, merged into the registry: a late earlier order lowers one."""
+def nou(spark: SparkSession, day: str, raw: str = "bronze", database: str = "silver", buckets: int | None = None) -> int:
+    """First days of the day's customers, merged into the registry: a late earlier order lowers one.
+
+    A registry that is made with buckets, as many at least as shuffles have partitions, is never dealt anew when a day's orders are
+    classified; each of its months then has a file for every bucket.
+    """
     table = f"{database}.nou"
 
     def changed(batch: DataFrame) -> DataFrame:
@@ -62,7 +66,7 @@ def nou(spark: SparkSession, day: str, raw: str = "bronze", database: str = "sil
         return silver.updated_registry(there, batch)
 
     source = read_table(spark, raw, "transactions", {"report_date": day}).where("customer_id is not null")
-    return written(source, changed, lambda df: merge_table(df, table, ["customer_id"], ["ym"], update=True))
+    return written(source, changed, lambda df: merge_table(df, table, ["customer_id"], ["ym"], update=True, buckets=buckets and (buckets, "customer_id")))
 
 
 def transactions(spark: SparkSession, day: str, raw: str = "bronze", database: str = "silver", partitions: list[str] | None = None) -> int:
@@ -81,8 +85,8 @@ def transactions(spark: SparkSession, day: str, raw: str = "bronze", database: s
     return written(read_table(spark, raw, "transactions", {"report_date": day}), classified, merge)
 
 
-def transactions_backfill(spark: SparkSession, raw: str = "bronze", database: str = "silver") -> int:
+def transactions_backfill(spark: SparkSession, raw: str = "bronze", database: str = "silver", buckets: int | None = None) -> int:
     """The registry and the orders of the whole history, written anew by month."""
     history = read_table(spark, raw, "transactions")
-    written(history, silver.first_orders, lambda df: overwrite_table(df, f"{database}.nou", ["ym"]))
+    written(history, silver.first_orders, lambda df: overwrite_table(df, f"{database}.nou", ["ym"], buckets and (buckets, "customer_id")))
     return written(history, silver.classify_history, lambda df: overwrite_table(df, f"{database}.transactions", ["ym"]))

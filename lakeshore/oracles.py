@@ -268,11 +268,25 @@ ORACLES: dict[str, str] = {
     "stream_running_sales": _with(_SALES) + "SELECT coalesce(sum(units), 0)::BIGINT AS units_sold, (coalesce(sum(units), 0) * 150000)::BIGINT AS revenue FROM sale WHERE kind = 'purchase' AND ok",
 }
 
+_VERSIONS = """
+    v AS (
+        SELECT customer_id, CASE WHEN k % 20 <> 0 THEN segment END AS first_name, updated_at, CASE WHEN updated_at < TIMESTAMP '2024-01-05' THEN '20240104' ELSE '20240105' END AS load
+        FROM people QUALIFY row_number() OVER (PARTITION BY customer_id, load ORDER BY updated_at DESC) = 1
+    ),
+    n AS (SELECT *, lead(updated_at) OVER c AS next_at, lag(load) OVER c AS load_before FROM v WINDOW c AS (PARTITION BY customer_id ORDER BY load))"""
+
 # Jobs and streams end at what their transformations give of the whole input.
 ORACLES |= {
     "job_bronze_transactions": ORACLES["bronze_transactions"],
     "job_bronze_transaction_details": ORACLES["bronze_transaction_details"],
     "job_silver_customers": _with(_CUSTOMERS) + "SELECT * EXCLUDE (k, _cdc_operation) FROM latest",
+    "report_users_by_day": ORACLES["exact_users_by_day"],
+    "report_users_by_system": _with(_EVENTS) + "SELECT device_os, event_type, count(DISTINCT user_id) AS unique_users FROM ev WHERE event_time >= DATE '2024-01-20' - INTERVAL 7 DAY GROUP BY ALL",
+    "job_bronze_changes": ORACLES["job_bronze_customers"],
+    "job_history_customers": _with(_CUSTOMERS, _VERSIONS) + """SELECT customer_id, first_name, updated_at, updated_at AS valid_from, next_at AS valid_to,
+        CASE WHEN next_at IS NULL THEN 'open' ELSE '20240105' END AS closed_in FROM n""",
+    "job_history_changes": _with(_CUSTOMERS, _VERSIONS) + """SELECT customer_id, first_name, updated_at, CASE WHEN load_before IS NULL THEN 'insert' ELSE 'update_postimage' END AS _change, load FROM n
+        UNION ALL SELECT customer_id, first_name, updated_at, 'update_preimage', '20240105' FROM n WHERE next_at IS NOT NULL""",
     "job_silver_late_events": ORACLES["silver_events_cart"],
     "job_gold_events_cart": ORACLES["gold_events_cart"],
     "stream_ingest_restarted": ORACLES["bronze_events"],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from uuid import uuid4
@@ -12,9 +13,11 @@ from pyspark.sql import functions as F
 from . import conform
 from .jobs import bronze as bronze_jobs
 from .jobs import gold as gold_jobs
+from .jobs import history
 from .jobs import silver as silver_jobs
 from .operators import layout, quality, upsert
-from .plans import bronze, gold, reports, silver
+from .operators.rows import latest
+from .plans import bronze, gold, reports, silver, users
 from .sources import sinks
 from .sources.shared import checkpointed, dropped, fresh_path
 from .streaming import events as stream
@@ -192,6 +195,25 @@ def exact_users_by_day(spark: SparkSession, sf: str) -> DataFrame:
     return gold.exact_users(_events(spark, sf), "log_date", "event_type")
 
 
+def _users_mart(spark: SparkSession, sf: str) -> DataFrame:
+    events = _events(spark, sf)
+    return users.users_hourly(events, users.numbered_users(events))
+
+
+@query
+def report_users_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct users of each day, merged from the bitmaps of its hours."""
+    mart = _users_mart(spark, sf).withColumn("log_date", F.col("hour").cast("date"))
+    return users.distinct_users(mart, "log_date", "event_type")
+
+
+@query
+def report_users_by_system(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct users of a week by system and type: each once, where sums over hours count a user for every hour."""
+    week = _users_mart(spark, sf).where(f"hour >= TIMESTAMP_NTZ'{AS_OF} 00:00:00' - INTERVAL 7 DAY")
+    return users.distinct_users(week, "device_os", "event_type")
+
+
 _MARTS: dict[str, Query] = {"app_health": gold_app_health_hourly, "funnel": gold_funnel_hourly, "revenue": gold_item_revenue_hourly}
 
 
@@ -259,14 +281,26 @@ def quarantined_transactions(spark: SparkSession, sf: str) -> DataFrame:
     return bad.select("trans_id", "branch_id", F.array_join("_broken", ",").alias("broken"))
 
 
+#: Bytes of a file after compaction.
+FILE_BYTES = 128 << 20
+
+
+def _bytes(df: DataFrame) -> int:
+    """The size of the files that a frame is read from."""
+    files = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).distinct()
+    return files.agg(F.sum("size")).first()[0] or 0
+
+
 @query
 def compacted_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return layout.compact(conform.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), 1 << 24, 1 << 22, ["o_orderstatus"])
+    orders = conform.table(spark, sf, "orders")
+    return layout.compact(orders.select("o_orderkey", "o_orderstatus", "o_totalprice"), _bytes(orders), FILE_BYTES, ["o_orderstatus"])
 
 
 @query
 def zordered_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return layout.zorder(conform.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), ["o_custkey", "o_totalprice"], 8)
+    orders = conform.table(spark, sf, "orders")
+    return layout.zorder(orders.select("o_orderkey", "o_custkey", "o_totalprice"), ["o_custkey", "o_totalprice"], -(-_bytes(orders) // FILE_BYTES))
 
 
 def _sale_records(spark: SparkSession, sf: str) -> DataFrame:
@@ -338,6 +372,39 @@ def job_bronze_customers(spark: SparkSession, sf: str) -> DataFrame:
         return checkpointed(spark.table(f"{db}.customers").drop("_loaded_at"))
 
 
+@query
+def job_bronze_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers loaded by their high-water mark: a run sees what has changed so far, the next one what has since, with two days of overlap;
+    a third finds nothing new."""
+    rows = conform.customers(spark, sf)
+    source = [rows.where("updated_at < timestamp_ntz'2024-01-05'"), rows, rows]
+    with _databases(spark, "changes") as (db,):
+        for there in source:
+            bronze_jobs.load_changes(spark, lambda since: there if since is None else there.where(F.col("updated_at") >= F.lit(since)), "customers", "customer_id", db, datetime.timedelta(days=2))
+        return checkpointed(spark.table(f"{db}.customers").drop("_loaded_at"))
+
+
+def _history(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """A history of customers after two days' loads, the second of which comes twice; or its changes."""
+    rows = conform.customers(spark, sf).select("customer_id", "first_name", "updated_at")
+    days = {"20240104": rows.where("updated_at < timestamp_ntz'2024-01-05'"), "20240105": rows.where("updated_at >= timestamp_ntz'2024-01-05'")}
+    with _databases(spark, "history") as (db,):
+        for day in ("20240104", "20240105", "20240105"):
+            newest = latest(days[day], ["customer_id"], F.col("updated_at").desc(), F.col("first_name"))
+            history.merge_history(newest, f"{db}.customers", "customer_id", "updated_at", day)
+        return checkpointed(spark.table(f"{db}.{table}"))
+
+
+@query
+def job_history_customers(spark: SparkSession, sf: str) -> DataFrame:
+    return _history(spark, sf, "customers")
+
+
+@query
+def job_history_changes(spark: SparkSession, sf: str) -> DataFrame:
+    return _history(spark, sf, history.changes_of("customers"))
+
+
 @query
 def job_bronze_transactions(spark: SparkSession, sf: str) -> DataFrame:
     """Both channels' order headers, loaded in two runs."""

@@ -65,16 +65,24 @@ def drop_rule(spark: SparkSession, table: str, name: str) -> None:
     spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({_text(RULE + name)})")
 
 
-def _clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+#: Number of buckets, and the column that rows are dealt to them by.
+Buckets = tuple[int, str]
+
+
+def _clustered(df: DataFrame, partition_by: list[str] | None, buckets: Buckets | None = None) -> DataFrame:
     """Rows of a partition value together, so that it gets as few files as its size allows: adaptive execution splits large values
-    over several tasks and puts small ones into one."""
+    over several tasks and puts small ones into one. Of a bucketed table each bucket is one task's."""
+    if buckets:
+        return df.repartition(buckets[0], F.col(buckets[1]))
     return df.hint("rebalance", *map(F.col, partition_by)) if partition_by else df
 
 
-def _create(df: DataFrame, table: str, partition_by: list[str] | None, properties: dict[str, str] | None = None, conditions: dict[str, str] | None = None) -> int:
+def create_table(df: DataFrame, table: str, partition_by: list[str] | None = None, properties: dict[str, str] | None = None, conditions: dict[str, str] | None = None, buckets: Buckets | None = None) -> int:
+    """Make a table anew, with rules that stay with it, and buckets that joins on their column need no exchange of."""
     ensure_database(df.sparkSession, table)
-    rows, seen = observed(_clustered(enforced(df, conditions or {}), partition_by))
-    rows.write.format("parquet").mode("overwrite").partitionBy(*(partition_by or [])).options(**(properties or {})).saveAsTable(table)
+    rows, seen = observed(_clustered(enforced(df, conditions or {}), partition_by, buckets))
+    writer = rows.write.format("parquet").mode("overwrite").partitionBy(*(partition_by or [])).options(**(properties or {}))
+    (writer.bucketBy(*buckets).sortBy(buckets[1]) if buckets else writer).saveAsTable(table)
     _set_rules(df.sparkSession, table, conditions or {})
     return seen.get["n_rows"]
 
@@ -83,24 +91,24 @@ def append_table(df: DataFrame, table: str, partition_by: list[str] | None = Non
     """Append, or create with partitions and properties; an empty frame creates nothing."""
     spark = df.sparkSession
     if not _exists(spark, table):
-        return 0 if df.isEmpty() else _create(df, table, partition_by, properties)
+        return 0 if df.isEmpty() else create_table(df, table, partition_by, properties)
     whole = enforced(df.select(*spark.table(table).columns), rules_of(spark, table))
-    rows, seen = observed(_clustered(whole, _partition_columns(spark, table)))
+    rows, seen = observed(_clustered(whole, _partition_columns(spark, table), buckets_of(spark, table)))
     rows.write.mode("append").insertInto(table)
     return seen.get["n_rows"]
 
 
-def overwrite_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
+def overwrite_table(df: DataFrame, table: str, partition_by: list[str] | None = None, buckets: Buckets | None = None) -> int:
     """Replace the whole table, whose rules stay. Only where the new rows come from the old ones are they written twice."""
     kept = rules_of(df.sparkSession, table)
     try:
-        return _create(df, table, partition_by, conditions=kept)
+        return create_table(df, table, partition_by, conditions=kept, buckets=buckets)
     except AnalysisException as e:
         if e.getCondition() != "UNSUPPORTED_OVERWRITE.TABLE":
             raise
     stage = f"{table}__stage"
-    _create(df, stage, None)
-    n = _create(df.sparkSession.table(stage), table, partition_by, conditions=kept)
+    create_table(df, stage, None)
+    n = create_table(df.sparkSession.table(stage), table, partition_by, conditions=kept, buckets=buckets)
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {stage}")
     return n
 
@@ -109,6 +117,11 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def buckets_of(spark: SparkSession, table: str) -> Buckets | None:
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    return (int(told["Num Buckets"]), told["Bucket Columns"].strip("[]`")) if told.get("Num Buckets", "").isdigit() else None
+
+
 def _values(df: DataFrame, columns: list[str]) -> Values:
     """Distinct partition values: as many as there are partitions, which a table's metadata hold, too."""
     return {tuple(r) for r in df.select(*columns).distinct().collect()}
@@ -136,7 +149,7 @@ def overwrite_partitions(df: DataFrame, table: str, affected: Values) -> int:
     """
     spark, columns = df.sparkSession, _partition_columns(df.sparkSession, table)
     seen_values = F.collect_set(F.struct(*columns)).alias("partitions")
-    rows, seen = observed(_clustered(df.select(*spark.table(table).columns), columns), None, seen_values)
+    rows, seen = observed(_clustered(df.select(*spark.table(table).columns), columns, buckets_of(spark, table)), None, seen_values)
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
@@ -160,7 +173,7 @@ def replace_where(df: DataFrame, table: str, column: str, value: object, partiti
     """Make `df` all rows with column = value, sub-partitions that vanished included. The first write creates the table."""
     spark, own = df.sparkSession, F.col(column) == F.lit(value)
     if not _exists(spark, table):
-        return _create(df, table, partition_by or [column])
+        return create_table(df, table, partition_by or [column])
     affected = _values(spark.table(table).where(own), _partition_columns(spark, table))
     return overwrite_partitions(enforced(df.where(own), rules_of(spark, table)), table, affected)
 
@@ -180,10 +193,10 @@ def merge_plan(source: DataFrame, table: str, keys: list[str], update: bool = Fa
     return upsert(within, source, keys, update, keep), affected
 
 
-def merge_table(source: DataFrame, table: str, keys: list[str], partition_by: list[str] | None = None, update: bool = False, keep: tuple[str, ...] = (), rules: dict[str, str] | None = None) -> int:
+def merge_table(source: DataFrame, table: str, keys: list[str], partition_by: list[str] | None = None, update: bool = False, keep: tuple[str, ...] = (), rules: dict[str, str] | None = None, buckets: Buckets | None = None) -> int:
     """Upsert into a table, by rewriting only the partitions that old or new versions of the rows are in; an empty source changes nothing.
 
-    `rules` become the table's, which the source has to obey. The source is made once, and kept on disk while it is read.
+    `rules` become the table's, which the source has to obey; `buckets` are those of a table that it makes. The source is made once, and kept on disk while it is read.
     """
     spark, conditions = source.sparkSession, rules or {}
     there = _exists(spark, table)
@@ -198,9 +211,9 @@ def merge_table(source: DataFrame, table: str, keys: list[str], partition_by: li
         if update and not repeated_keys(rows, keys).isEmpty():
             raise ValueError(f"several rows of the source have one key of {keys}")
         if not there:
-            return _create(rows, table, partition_by, conditions=conditions)
+            return create_table(rows, table, partition_by, conditions=conditions, buckets=buckets)
         if not _partition_columns(spark, table):
-            overwrite_table(upsert(spark.table(table), rows, keys, update, keep), table)
+            overwrite_table(upsert(spark.table(table), rows, keys, update, keep), table, buckets=buckets_of(spark, table))
             return n
         merged, affected = merge_plan(rows, table, keys, update, keep)
         overwrite_partitions(merged, table, affected)

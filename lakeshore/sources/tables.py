@@ -59,6 +59,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, where: str | None = Non
 
     The condition runs in the database. With several parts the rows are dealt by a numeric column, each part a partition of the read.
     """
+    if parts > 1 and not part_column:
+        raise ValueError("a read in several parts needs a column to deal the rows by")
     whole = f"({where})" if where else "1 = 1"
     deal = lambda k: f"{whole} AND (MOD({part_column}, {parts}) = {k}{f' OR {part_column} IS NULL' if k == 0 else ''})"
     return _declared(spark.read.jdbc(url, table, predicates=[whole] if parts == 1 else [deal(k) for k in range(parts)], properties=properties or {}), table)
@@ -70,6 +72,15 @@ def _declared(df: DataFrame, table: str) -> DataFrame:
     return cast_to(lower, declared) if declared else lower
 
 
+def since_condition(since: datetime.datetime | None, columns: tuple[str, ...]) -> str | None:
+    """A condition for rows whose first time of `columns` that isn't null is `since` or later, as ranges that an index can serve; None for all rows."""
+    if since is None:
+        return None
+    at = f"TIMESTAMP('{since:%Y-%m-%d %H:%M:%S.%f}')"
+    spans = [f"({c} >= {at}{''.join(f' AND {b} IS NULL' for b in columns[:k])})" for k, c in enumerate(columns)]
+    return f"({' OR '.join(spans)})"
+
+
 def read_jdbc_incremental(spark: SparkSession, url: str, table: str, day: str, date_cols: tuple[str, ...] = ("updated_at", "created_at"), parts: int = 1, part_column: str | None = None, properties: dict[str, str] | None = None) -> DataFrame:
     """The rows of a database table that changed on a day (yyyy-MM-dd), cast to its declared schema if it has one.
 

@@ -4,6 +4,8 @@ import datetime as dt
 import re
 
 import pytest
+from lakeshore.jobs import bronze, history
+from lakeshore.plans import silver
 from lakeshore.sources import sinks, tables
 from pyspark.sql import functions as F
 
@@ -152,6 +154,87 @@ def test_rules_stay_with_a_table(spark, db):
         sinks.append_table(bad, "shop.made")
 
 
+def test_a_bucketed_registry_is_not_exchanged(spark, db):
+    """The scan of the registry goes into the join as it is; a merge keeps the buckets, and one file for each in a month."""
+    customers = spark.range(2000).select(F.concat(F.lit("c"), "id").alias("customer_id"), F.concat(F.lit("2024010"), F.col("id") % 9 + 1).alias("nou_ymd"), F.lit("202401").alias("ym"))
+    sinks.merge_table(customers.limit(1500), "shop.nou", ["customer_id"], ["ym"], update=True, buckets=(8, "customer_id"))
+    sinks.merge_table(customers, "shop.nou", ["customer_id"], update=True)
+    assert sinks.buckets_of(spark, "shop.nou") == (8, "customer_id") and spark.table("shop.nou").count() == 2000
+    assert files(spark, "shop.nou") == {"ym=202401": 8}
+    at = F.lit("2024-02-05 10:00:00").cast("timestamp_ntz")
+    orders = spark.range(3000).select(
+        F.col("id").cast("string").alias("transaction_id"), F.lit("b1").alias("branch_id"), at.alias("transaction_datetime"), F.lit("cash").alias("payment_type"), F.lit(1).cast("decimal(15,2)").alias("trans_total_amount"),
+        F.concat(F.lit("c"), F.col("id") % 2000).alias("customer_id"), F.lit("W").alias("order_status"), F.lit("online").alias("channel"), at.alias("created_at"), at.alias("updated_at"), at.alias("_loaded_at"),
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = silver.classify_transactions(orders, spark.table("shop.nou"), spark.createDataFrame([], "customer_id string, ym string"))
+        assert got.where("user_type = 3").count() == 3000
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    (scan,) = [k for k, line in enumerate(plan) if "FileScan parquet" in line and "nou" in line]
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    above, own = [], depth(plan[scan])
+    for line in reversed(plan[:scan]):
+        if depth(line) < own:
+            own = depth(line)
+            above.append(line)
+            if "Join" in line:
+                break
+    assert "Join" in above[-1] and not any("Exchange" in line or "ShuffleQueryStage" in line for line in above), above
+    assert "Bucketed: true" in plan[scan]
+
+
+def test_changes_arrive_once(spark, tmp_path):
+    """Rows that change between two runs, across midnight, and one that is committed late; a run that breaks before it moves the mark is repeated."""
+    url, driver = f"jdbc:derby:{tmp_path}/marks;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    at = lambda day, hour, minute=0: dt.datetime(2024, 1, day, hour, minute)
+
+    def write(rows):
+        df = spark.createDataFrame([(k, n, c, u) for k, n, c, u in rows], "category_id string, category_name string, created_at timestamp, updated_at timestamp").withColumn("is_current", F.lit(True))
+        df.write.jdbc(url, "category", properties=driver | {"createTableColumnTypes": "category_id varchar(20), category_name varchar(20)"}, mode="overwrite")
+
+    columns = ('"updated_at"', '"created_at"')
+    read = lambda since: tables.read_jdbc(spark, url, "category", tables.since_condition(since, columns), properties=driver)
+    spark.sql("CREATE DATABASE IF NOT EXISTS marks")
+    load = lambda: bronze.load_changes(spark, read, "category", "category_id", "marks")
+    got = lambda: sorted((r.category_id, r.category_name) for r in spark.table("marks.category").collect())
+    first = [("a", "A", at(5, 22), None), ("b", "B", at(5, 10), at(5, 23, 50)), ("n", "no time", None, None)]
+    write(first)
+    assert load() == 3 and load() == 0 and bronze.high_water(spark, "category", "marks") == at(5, 23, 50)
+    write([("a", "A2", at(5, 22), at(6, 0, 5)), *first[1:], ("c", "C", at(5, 23, 59), None), ("late", "L", at(5, 23, 20), None)])
+    assert load() == 3 and load() == 0
+    assert got() == [("a", "A"), ("a", "A2"), ("b", "B"), ("c", "C"), ("late", "L"), ("n", "no time")]
+    sinks.overwrite_table(spark.createDataFrame([("category", at(5, 23, 50))], "source string, changed_at timestamp_ntz"), "marks.high_water")
+    assert load() == 0 and bronze.high_water(spark, "category", "marks") == at(6, 0, 5)
+    spark.sql("DROP DATABASE marks CASCADE")
+    with pytest.raises(ValueError):
+        tables.read_jdbc(spark, url, "category", parts=2, properties=driver)
+
+
+def test_a_history_leaves_closed_versions_alone(spark, db):
+    day = lambda n: dt.datetime(2024, 1, n)
+    load = lambda name, *rows: history.merge_history(spark.createDataFrame(list(rows), "k string, v int, at timestamp_ntz"), "shop.past", "k", "at", name)
+    assert load("1", ("a", 1, day(1)), ("b", 1, day(1)), ("c", 1, day(1))) == 3
+    assert load("2", ("a", 2, day(2)), ("b", 0, day(1)), ("d", 1, day(2))) == 2
+    closed = {r[0] for r in spark.table("shop.past").where("closed_in = '2'").select(F.input_file_name()).collect()}
+    assert load("3", ("a", 3, day(3)), ("b", 3, day(3))) == 2 and load("3", ("a", 3, day(3)), ("b", 3, day(3))) == 0
+    assert load("3", ("c", 3, day(3))) == 1  # the same load brings more
+    assert closed == {r[0] for r in spark.table("shop.past").where("closed_in = '2'").select(F.input_file_name()).collect()}
+    got = sorted((r.k, r.v, r.valid_from.day, r.valid_to and r.valid_to.day, r.closed_in) for r in spark.table("shop.past").collect())
+    assert got == [("a", 1, 1, 2, "2"), ("a", 2, 2, 3, "3"), ("a", 3, 3, None, "open"), ("b", 1, 1, 3, "3"), ("b", 3, 3, None, "open"), ("c", 1, 1, 3, "3"), ("c", 3, 3, None, "open"), ("d", 1, 2, None, "open")]
+    changes = sorted((r.load, r.k, r._change, r.v) for r in spark.table("shop.past__changes").where("load > '1'").collect())
+    assert changes == [
+        ("2", "a", "update_postimage", 2), ("2", "a", "update_preimage", 1), ("2", "d", "insert", 1), ("3", "a", "update_postimage", 3), ("3", "a", "update_preimage", 2),
+        ("3", "b", "update_postimage", 3), ("3", "b", "update_preimage", 1), ("3", "c", "update_postimage", 3), ("3", "c", "update_preimage", 1),
+    ]
+    with pytest.raises(ValueError):
+        load("4", ("a", 4, day(4)), ("a", 5, day(5)))
+
+
 def test_register(spark, db, tmp_path):
     at = str(tmp_path / "files")
     spark.createDataFrame([("a", 1, "b", "20240101")], SCHEMA).write.partitionBy("ymd").parquet(at)
