@@ -15,7 +15,7 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, dealt_anew, fresh_path, parallelism, qualified, slices
+from .common import checkpointed, dealt_anew, dropped, fresh_path, parallelism, qualified, slices
 
 DATE = "1970-01-01T00:00:00Z"
 #: Ranges of a file that are at most GAP bytes apart are read as one, up to READ bytes; a file takes FILE bytes.
@@ -168,9 +168,12 @@ def round_trip(pages: DataFrame, path: str | None = None, least_bytes: int = 0)
 
     A revisit's length is that of the response that it refers to. A null html has the length and the digest of an empty
     payload; a page with a null id is never referred to, and refers to the smallest id with its payload, if there is one. Repeated
-    rows give a row each, other columns of pages are ignored, an empty table gives no rows.
+    rows give a row each, other columns of pages are ignored, an empty table gives no rows. Archives stay only where a path is given.
     """
-    got = checkpointed(read(write(pages, path, least_bytes), payloads=False))
+    at = path or fresh_path(pages.sparkSession, "warc")
+    got = checkpointed(read(write(pages, at, least_bytes), payloads=False))
+    if not path:
+        dropped(pages.sparkSession, at)
     full = got.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "digest", F.col("payload_bytes").alias("full_bytes")).distinct()
     return got.join(full.where("refers_to is not null"), ["refers_to", "digest"], "left").select(
         "page_id", F.coalesce("payload_bytes", "full_bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to"
