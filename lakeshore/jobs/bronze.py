@@ -79,11 +79,13 @@ def load_changes(spark: SparkSession, read: Changes, name: str, key: str, databa
         rows.unpersist()
 
 
-def load_transactions(erp: Erp, day: str, database: str = "bronze") -> int:
+def load_transactions(erp: Erp, day: str, database: str = "bronze", partitions: tuple[str, ...] = ("report_date",)) -> int:
+    """The day's order headers of both channels. A first load of years may make the table with other partitions."""
     both = bronze.unify_transactions(erp("pos_transactions", day), erp("online_transactions", day))
-    return written(both, lambda df: df, lambda df: append_table(df, f"{database}.transactions", ["report_date"]))
+    return written(both, lambda df: df, lambda df: append_table(df, f"{database}.transactions", list(partitions)))
 
 
-def load_transaction_details(erp: Erp, day: str, database: str = "bronze") -> int:
+def load_transaction_details(erp: Erp, day: str, database: str = "bronze", partitions: tuple[str, ...] = ("report_date",)) -> int:
+    """The day's order lines of both channels, rolled up by order."""
     rolled = bronze.rollup_details(erp("pos_transaction_details", day), erp("online_transaction_details", day))
-    return written(rolled, lambda df: df, lambda df: append_table(df, f"{database}.transaction_details", ["report_date"]))
+    return written(rolled, lambda df: df, lambda df: append_table(df, f"{database}.transaction_details", list(partitions)))

@@ -6,6 +6,7 @@ import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ..plans import gold
 from ..sources.sinks import replace_where
@@ -15,12 +16,12 @@ from .run import written
 PARTITIONS = ["branch_id", "ym", "ymd"]
 
 
-def events(spark: SparkSession, bucket: str, day: str, source: str = "silver", database: str = "gold") -> int:
-    """A day's events counted at the bucket's grain. An absent source has none, and its day stays as it is."""
+def events(spark: SparkSession, bucket: str, day: str | list[str], source: str = "silver", database: str = "gold") -> int:
+    """A day's events, or those of several, counted at the bucket's grain. An absent source has none, and its day stays as it is."""
     if not spark.catalog.tableExists(f"{source}.events_{bucket}"):
         return 0
-    on = datetime.date.fromisoformat(day)
-    rows = read_table(spark, source, f"events_{bucket}", {"log_date": on})
+    on = [datetime.date.fromisoformat(d) for d in ([day] if isinstance(day, str) else day)]
+    rows = read_table(spark, source, f"events_{bucket}").where(F.col("log_date").isin(on))
     return written(rows, lambda df: gold.gold_events(df, bucket), lambda df: replace_where(df, f"{database}.events_{bucket}", "log_date", on, ["log_date"]))
 
 

@@ -407,22 +407,22 @@ def job_history_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def job_bronze_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    """Both channels' order headers, loaded in two runs."""
+    """Both channels' order headers of years, loaded in two runs."""
     pos, online = conform.orders(spark, sf)
     cut = F.lit("1998-01-01").cast("timestamp_ntz")
     own = lambda day: F.col("updated_at") < cut if day == "1" else F.col("updated_at") >= cut
     with _databases(spark, "headers") as (db,):
         for day in ("1", "2"):
-            bronze_jobs.load_transactions(lambda name, d: (pos if name.startswith("pos") else online).where(own(d)), day, db)
+            bronze_jobs.load_transactions(lambda name, d: (pos if name.startswith("pos") else online).where(own(d)), day, db, ("report_month",))
         return checkpointed(spark.table(f"{db}.transactions").drop("_loaded_at"))
 
 
 @query
 def job_bronze_transaction_details(spark: SparkSession, sf: str) -> DataFrame:
-    """Both channels' order lines rolled up, loaded as one day."""
+    """Both channels' order lines of years, rolled up and loaded at once."""
     pos, online = conform.order_lines(spark, sf)
     with _databases(spark, "lines") as (db,):
-        bronze_jobs.load_transaction_details(lambda name, _: pos if name.startswith("pos") else online, "1", db)
+        bronze_jobs.load_transaction_details(lambda name, _: pos if name.startswith("pos") else online, "1", db, ("channel",))
         return checkpointed(_lines_as_text(spark.table(f"{db}.transaction_details").drop("_loaded_at")))
 
 
@@ -479,8 +479,8 @@ def job_gold_events_cart(spark: SparkSession, sf: str) -> DataFrame:
     with _databases(spark, "carts", "cart_marts") as (db, out):
         sinks.append_table(_silver_events(spark, sf, "cart"), f"{db}.events_cart", ["log_date"])
         days = [str(r[0]) for r in spark.table(f"{db}.events_cart").select("log_date").distinct().orderBy("log_date").collect()]
-        for day in [*days, *days[:1]]:
-            gold_jobs.events(spark, "cart", day, db, out)
+        for some in (days, days[0]):
+            gold_jobs.events(spark, "cart", some, db, out)
         return checkpointed(spark.table(f"{out}.events_cart").select(*gold.EVENT_GRAIN["cart"], "event_count", "qty_added", "qty_removed"))
 
 

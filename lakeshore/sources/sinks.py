@@ -170,8 +170,8 @@ def _literal(v: object) -> str:
 
 
 def replace_where(df: DataFrame, table: str, column: str, value: object, partition_by: list[str] | None = None) -> int:
-    """Make `df` all rows with column = value, sub-partitions that vanished included. The first write creates the table."""
-    spark, own = df.sparkSession, F.col(column) == F.lit(value)
+    """Make `df` all rows with column = value, or one of a list of values, sub-partitions that vanished included. The first write creates the table."""
+    spark, own = df.sparkSession, F.col(column).isin(value) if isinstance(value, list) else F.col(column) == F.lit(value)
     if not _exists(spark, table):
         return create_table(df, table, partition_by or [column])
     affected = _values(spark.table(table).where(own), _partition_columns(spark, table))

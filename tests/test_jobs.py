@@ -91,3 +91,16 @@ def test_marts_equal_the_buckets_together(spark, sf):
         want = part if want is None else want.unionByName(part)
     assert sorted(map(tuple, events.groupBy("event_type").count().collect())) == sorted(map(tuple, want.collect()))
     assert marts.app_health_hourly(events).agg(F.sum("total_count")).first()[0] == events.count()
+
+
+def test_a_day_of_orders_is_a_partition(spark, sf, db):
+    """The daily loads' own layout, for a few days of orders and of their lines."""
+    few = [df.where("updated_at < timestamp_ntz'1995-01-12'") for df in conform.orders(spark, sf)]
+    lines = [df.where("created_at < timestamp_ntz'1995-01-12'") for df in conform.order_lines(spark, sf)]
+    got = bronze.load_transactions(lambda name, _: few[name.startswith("online")], "1", db)
+    assert got == spark.table(f"{db}.transactions").count() == sum(df.count() for df in few) > 0
+    n = bronze.load_transaction_details(lambda name, _: lines[name.startswith("online")], "1", db)
+    assert n == spark.table(f"{db}.transaction_details").count() > 0
+    for table in ("transactions", "transaction_details"):
+        parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.{table}").collect()}
+        assert parts == {f"report_date={r[0]}" for r in spark.table(f"{db}.{table}").select("report_date").distinct().collect()}
