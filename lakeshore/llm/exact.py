@@ -69,11 +69,15 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pref
     dropped(docs.sparkSession, path)
     best = F.max(F.struct("_id", "_row")).alias("_best")
     equal = rows.where("_full is not null").groupBy("_full").agg(best, F.count(F.lit(1)).alias("_size"))
-    joined = rows.join(dealt_anew(equal, "_full"), "_full", "left")
-    keep = F.when(F.col("_best").isNull(), F.col("_id")).otherwise(F.col("_best._id"))
-    stays = F.coalesce(F.col("_best._row") == F.col("_row"), F.lit(True))
-    out = joined.select(F.col("_id").alias("doc_id"), keep.alias("keep_id"), F.coalesce("_size", F.lit(1)).cast("long").alias("group_size"), stays.alias("kept"), F.col("_digest").alias("text_sha256"), "_carried")
-    return out.select("*", "_carried.*").drop("_carried") if carry else out.drop("_carried")
+    met = rows.where("_full is not null").join(dealt_anew(equal, "_full"), "_full")
+
+    def told(df: DataFrame, keep: Column, size: Column, stays: Column) -> DataFrame:
+        named = df.select(F.col("_id").alias("doc_id"), keep.alias("keep_id"), size.cast("long").alias("group_size"), stays.alias("kept"), F.col("_digest").alias("text_sha256"), "_carried")
+        return named.select("*", "_carried.*").drop("_carried") if carry else named.drop("_carried")
+
+    # Texts that nothing equals are in no join: they have no hash to meet by.
+    alone = told(rows.where("_full is null"), F.col("_id"), F.lit(1), F.lit(True))
+    return told(met, F.col("_best._id"), F.col("_size"), F.col("_best._row") == F.col("_row")).union(alone)
 
 
 def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX) -> DataFrame:
