@@ -145,3 +145,49 @@ def test_cards_among_other_numbers(spark):
         for _, v, p in found:
             text = text.replace(v, p)
         assert out == text and card not in out and bare not in out
+
+
+def iban(rng, country, n):
+    """A valid number of a country: its check digits are the remainder of its letters and digits read as a number."""
+    rest = "".join(rng.choices("0123456789", k=n))
+    digits = "".join(str(int(c, 36)) for c in rest + country + "00")
+    return f"{country}{98 - int(digits) % 97:02d}{rest}"
+
+
+def planted(rng):
+    """(text, kind or None): a value that is valid by its construction, or one that breaks its kind's rule in one place."""
+    digits = lambda k: "".join(rng.choices("0123456789", k=k))
+    day = datetime.date(1900, 1, 1) + datetime.timedelta(rng.randrange(70000))
+    number = "4" + digits(14)
+    check = str(-luhn(number + "0") % 10)
+    spaced = lambda d: rng.choice([d, " ".join(d[i : i + 4] for i in range(0, 16, 4)), "-".join(d[i : i + 4] for i in range(0, 16, 4))])
+    account = iban(rng, *rng.choice([("DE", 18), ("PL", 24), ("ES", 20)]))
+    wrong = account[:2] + f"{(int(account[2:4]) + rng.randint(1, 9)) % 100:02d}" + account[4:]
+    area = rng.choice([k for k in range(1, 900) if k != 666])
+    return rng.choice([
+        (f"{day:%Y-%m-%d}", "date"), (f"{day:%d.%m.%Y}", "date"), (f"{day.year}-13-01", None), (f"{2001 + 4 * rng.randrange(5)}-02-29", None), (f"31.04.{day.year}", None),
+        (spaced(number + check), "card"), (spaced(number + str((int(check) + rng.randint(1, 9)) % 10)), None),
+        (account, "iban"), (wrong, None),
+        (f"{area:03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}", "ssn"), (f"{rng.choice([0, 666, 950]):03d}-12-3456", None), (f"{area:03d}-00-3456", None), (f"{area:03d}-12-0000", None),
+        (".".join(str(rng.randint(1, 255)) for _ in range(4)), "ip"), (f"{rng.randint(256, 999)}.{rng.randint(1, 255)}.1.2", None),
+        (f"{rng.choice(['ann', 'j.doe', 'x_y+z'])}@{rng.choice(['mail', 'post-box'])}.example.{rng.choice(['com', 'org'])}", "email"), ("ann@mail", None), ("@example.com", None),
+        (f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{digits(4)}", "phone"), (f"+49 30 {digits(6)}", "phone"), (f"{digits(3)}-{digits(3)}", None),
+    ])
+
+
+def test_detection_of_planted_values(spark):
+    """What is found is what was put in, by rules that make the values, not by patterns that find them."""
+    rng = random.Random(11)
+    words = "the reader of page 12 would call Section A4 quite 3.5 times (or more) than in 1999 before".split()
+    texts, want = [], []
+    for _ in range(300):
+        parts, own = [], []
+        for _ in range(rng.randint(1, 6)):
+            value, kind = planted(rng)
+            parts += [*rng.choices(words, k=rng.randint(1, 5)), "so", value + rng.choice(["", ",", ";", " and"]), "then"]
+            own += [(kind, value)] * bool(kind)
+        texts.append(" ".join(parts))
+        want.append(own)
+    got = [[(k, v) for k, v, _ in found] for _, found in masked(spark, *texts)]
+    wrong = [(t, w, g) for t, w, g in zip(texts, want, got) if w != g]
+    assert not wrong, wrong[0]
