@@ -52,6 +52,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark drop the shuffles and broadcasts of rounds that are over, on executors too: it learns of them only when the driver's
+    garbage is collected, which may not be for many rounds."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def dropped(spark: SparkSession, path: str) -> None:
     """Delete a folder that no later step reads."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, dealt_anew
+from .common import checkpointed, dealt_anew, released
 
 
 def _are_stars(edges: DataFrame) -> bool:
@@ -35,4 +35,5 @@ def connected(links: DataFrame) -> DataFrame:
         smallest = handed.groupBy("u").agg(F.min("v").alias("m"))
         on = handed.join(dealt_anew(smallest, "u").hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = checkpointed(on.unionByName(smallest.withColumnRenamed("m", "v")).distinct())
+        released(edges.sparkSession)
     return edges

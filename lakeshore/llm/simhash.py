@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, dealt_anew, parallelism, slices
+from .common import checkpointed, dealt_anew, parallelism, released, slices
 from .components import connected
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -296,6 +296,7 @@ def similar_groups(docs: DataFrame, members: DataFrame, id_col: str, text_col: s
     node_t = lambda df, node, t: df.select(F.col("u").alias(node), F.col("v").alias(t)).distinct()
     first = checkpointed(node_t(_confirmed(_dealt(texts.withColumn("t", F.col("node")), chunks(F.col("n"))), True), "node", "t"))
     texts = texts.where(F.col("n") > chunk)
+    released(docs.sparkSession)
     if texts.isEmpty():
         return first
     reps = texts.drop("n").join(first.where("t = node").select("node"), "node").withColumn("t", F.col("node"))
@@ -303,6 +304,7 @@ def similar_groups(docs: DataFrame, members: DataFrame, id_col: str, text_col: s
     second = checkpointed(node_t(_confirmed(_dealt(reps, chunks(F.col("n"))), True), "t", "t2"))
     now = texts.drop("n").join(first, "node").join(second, "t").select("root", "node", F.col("t2").alias("t"), "shingles")
     now = checkpointed(now)
+    released(docs.sparkSession)
     sizes = now.groupBy("root", "t").agg(n).groupBy("root").agg(F.sum("n").alias("n"), F.max(F.struct("n", "t")).alias("most"))
     sizes = sizes.select("root", F.col("most.t").alias("largest"), chunks(F.col("n") - F.col("most.n")).alias("kr"), chunks(F.col("most.n")).alias("kb"))
     rest = F.col("t") != F.col("largest")
