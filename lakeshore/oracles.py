@@ -282,6 +282,7 @@ ORACLES |= {
     "job_silver_customers": _with(_CUSTOMERS) + "SELECT * EXCLUDE (k, _cdc_operation) FROM latest",
     "report_users_by_day": ORACLES["exact_users_by_day"],
     "report_users_by_system": _with(_EVENTS) + "SELECT device_os, event_type, count(DISTINCT user_id) AS unique_users FROM ev WHERE event_time >= DATE '2024-01-20' - INTERVAL 7 DAY GROUP BY ALL",
+    "report_buyers_by_item": f"SELECT 'item ' || (event_id % 50) AS item, count(DISTINCT user_id) AS unique_users FROM events WHERE event_type = 'purchase' AND {_WEEK.replace('hour', 'ts')} GROUP BY ALL",
     "job_bronze_changes": ORACLES["job_bronze_customers"],
     "job_history_customers": _with(_CUSTOMERS, _VERSIONS) + """SELECT customer_id, first_name, updated_at, updated_at AS valid_from, next_at AS valid_to,
         CASE WHEN next_at IS NULL THEN 'open' ELSE '20240105' END AS closed_in FROM n""",
@@ -289,6 +290,7 @@ ORACLES |= {
         UNION ALL SELECT customer_id, first_name, updated_at, 'update_preimage', '20240105' FROM n WHERE next_at IS NOT NULL""",
     "job_silver_late_events": ORACLES["silver_events_cart"],
     "job_gold_events_cart": ORACLES["gold_events_cart"],
+    "job_published_sales": ORACLES["gold_daily_customer_sales"],
     "stream_ingest_restarted": ORACLES["bronze_events"],
     "stream_sales_by_item": _with(_SALES) + "SELECT item, coalesce(sum(units), 0)::BIGINT AS units_sold, (coalesce(sum(units), 0) * 150000)::BIGINT AS revenue FROM sale WHERE kind = 'purchase' AND ok GROUP BY item",
 }

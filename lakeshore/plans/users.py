@@ -34,14 +34,14 @@ def _hour():
     return F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("hour")
 
 
-def users_hourly(events: DataFrame, numbers: DataFrame) -> DataFrame:
-    """(hour, app_version, device_os, event_type, bucket, users): a bitmap of the users of each hour, for every bucket of 32,768 numbers that has any.
+def users_hourly(events: DataFrame, numbers: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
+    """(hour, grain, bucket, users): a bitmap of the users of each hour, for every bucket of 32,768 numbers that has any.
 
     Bits combine before the shuffle. Events without a user are left out.
     """
     numbered = events.join(numbers, "user_id")
     bits = F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("users")
-    return numbered.groupBy(_hour(), *GRAIN, F.bitmap_bucket_number("number").alias("bucket")).agg(bits)
+    return numbered.groupBy(_hour(), *grain, F.bitmap_bucket_number("number").alias("bucket")).agg(bits)
 
 
 def distinct_users(mart: DataFrame, *keys: str) -> DataFrame:
@@ -50,9 +50,9 @@ def distinct_users(mart: DataFrame, *keys: str) -> DataFrame:
     return merged.groupBy(*keys).agg(F.sum("n").alias("unique_users"))
 
 
-def sketches_hourly(events: DataFrame) -> DataFrame:
-    """(hour, app_version, device_os, event_type, users): a sketch of the users of each hour."""
-    return events.groupBy(_hour(), *GRAIN).agg(F.hll_sketch_agg("user_id", LOG_REGISTERS).alias("users"))
+def sketches_hourly(events: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
+    """(hour, grain, users): a sketch of the users of each hour."""
+    return events.groupBy(_hour(), *grain).agg(F.hll_sketch_agg("user_id", LOG_REGISTERS).alias("users"))
 
 
 def estimated_users(mart: DataFrame, *keys: str) -> DataFrame:

@@ -14,6 +14,7 @@ from . import conform
 from .jobs import bronze as bronze_jobs
 from .jobs import gold as gold_jobs
 from .jobs import history
+from .jobs import publish as publish_jobs
 from .jobs import silver as silver_jobs
 from .operators import layout, quality, upsert
 from .operators.rows import latest
@@ -214,6 +215,14 @@ def report_users_by_system(spark: SparkSession, sf: str) -> DataFrame:
     return users.distinct_users(week, "device_os", "event_type")
 
 
+@query
+def report_buyers_by_item(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct buyers of each item in a week, merged from the bitmaps of its hours."""
+    lines = conform.sale_lines(spark, sf).withColumnRenamed("buyer", "user_id")
+    mart = users.users_hourly(lines, users.numbered_users(lines), ["item"])
+    return users.distinct_users(mart.where(f"hour >= TIMESTAMP_NTZ'{AS_OF} 00:00:00' - INTERVAL 7 DAY"), "item")
+
+
 _MARTS: dict[str, Query] = {"app_health": gold_app_health_hourly, "funnel": gold_funnel_hourly, "revenue": gold_item_revenue_hourly}
 
 
@@ -495,6 +504,17 @@ def job_gold_sales(spark: SparkSession, sf: str) -> DataFrame:
         return checkpointed(spark.table(f"{out}.daily_customer_sales"))
 
 
+@query
+def job_published_sales(spark: SparkSession, sf: str) -> DataFrame:
+    """A day's sales, read from the external table that is registered over their files for analysts."""
+    with _databases(spark, "published_history", "published_sales", "analytics") as (db, out, analytics):
+        sinks.append_table(_transactions(spark, sf), f"{db}.transactions")
+        silver_jobs.transactions_backfill(spark, db, out)
+        gold_jobs.sales(spark, SNAPSHOT, out, out)
+        (table,) = publish_jobs.publish(spark, ["daily_customer_sales", "absent"], out, analytics)
+        return checkpointed(spark.table(table))
+
+
 @query
 def stream_ingest_restarted(spark: SparkSession, sf: str) -> DataFrame:
     """A stream of record files into the raw table: it ends, and another one goes on from its checkpoint with what has come since."""

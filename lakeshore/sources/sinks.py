@@ -7,7 +7,6 @@ with MERGE removes that limit.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,27 +92,36 @@ def append_table(df: DataFrame, table: str, partition_by: list[str] | None = Non
     if not _exists(spark, table):
         return 0 if df.isEmpty() else create_table(df, table, partition_by, properties)
     whole = enforced(df.select(*spark.table(table).columns), rules_of(spark, table))
-    rows, seen = observed(_clustered(whole, _partition_columns(spark, table), buckets_of(spark, table)))
+    rows, seen = observed(_clustered(whole, partition_columns(spark, table), buckets_of(spark, table)))
     rows.write.mode("append").insertInto(table)
     return seen.get["n_rows"]
 
 
 def overwrite_table(df: DataFrame, table: str, partition_by: list[str] | None = None, buckets: Buckets | None = None) -> int:
-    """Replace the whole table, whose rules stay. Only where the new rows come from the old ones are they written twice."""
-    kept = rules_of(df.sparkSession, table)
-    try:
-        return create_table(df, table, partition_by, conditions=kept, buckets=buckets)
-    except AnalysisException as e:
-        if e.getCondition() != "UNSUPPORTED_OVERWRITE.TABLE":
-            raise
+    """Replace the whole table, whose rules stay; the new rows may come from the old ones. If the write fails the old rows are still there.
+
+    The partitions of a table are replaced in place; a table without any is written beside the old one and takes its name. Only
+    a change of columns, partitions or buckets writes the rows twice.
+    """
+    spark = df.sparkSession
+    if not _exists(spark, table):
+        return create_table(df, table, partition_by, buckets=buckets)
+    conditions, there = rules_of(spark, table), spark.table(table)
+    same = sorted(df.dtypes) == sorted(there.dtypes) and partition_columns(spark, table) == (partition_by or []) and buckets_of(spark, table) == buckets
+    if same and partition_by:
+        return overwrite_partitions(enforced(df, conditions), table, _values(there, partition_by))
     stage = f"{table}__stage"
-    create_table(df, stage, None)
-    n = create_table(df.sparkSession.table(stage), table, partition_by, conditions=kept, buckets=buckets)
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {stage}")
+    n = create_table(df.select(*there.columns) if same else df, stage, None, conditions=conditions, buckets=buckets)
+    if same:
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
+    else:
+        create_table(spark.table(stage), table, partition_by, conditions=conditions, buckets=buckets)
+        spark.sql(f"DROP TABLE {stage}")
     return n
 
 
-def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
@@ -147,7 +155,7 @@ def overwrite_partitions(df: DataFrame, table: str, affected: Values) -> int:
 
     Spark writes beside the partitions and puts them in place at the end, so that `df` may read the table.
     """
-    spark, columns = df.sparkSession, _partition_columns(df.sparkSession, table)
+    spark, columns = df.sparkSession, partition_columns(df.sparkSession, table)
     seen_values = F.collect_set(F.struct(*columns)).alias("partitions")
     rows, seen = observed(_clustered(df.select(*spark.table(table).columns), columns, buckets_of(spark, table)), None, seen_values)
     mode = "spark.sql.sources.partitionOverwriteMode"
@@ -174,7 +182,7 @@ def replace_where(df: DataFrame, table: str, column: str, value: object, partiti
     spark, own = df.sparkSession, F.col(column).isin(value) if isinstance(value, list) else F.col(column) == F.lit(value)
     if not _exists(spark, table):
         return create_table(df, table, partition_by or [column])
-    affected = _values(spark.table(table).where(own), _partition_columns(spark, table))
+    affected = _values(spark.table(table).where(own), partition_columns(spark, table))
     return overwrite_partitions(enforced(df.where(own), rules_of(spark, table)), table, affected)
 
 
@@ -185,7 +193,7 @@ def merge_plan(source: DataFrame, table: str, keys: list[str], update: bool = Fa
     old versions. The scan of whole rows is pruned to them.
     """
     spark = source.sparkSession
-    target, columns = spark.table(table), _partition_columns(spark, table)
+    target, columns = spark.table(table), partition_columns(spark, table)
     affected = _values(source, columns)
     if not set(columns) <= set(keys):
         affected |= _values(target.join(source.select(*keys).distinct(), keys, "left_semi"), columns)
@@ -212,7 +220,7 @@ def merge_table(source: DataFrame, table: str, keys: list[str], partition_by: li
             raise ValueError(f"several rows of the source have one key of {keys}")
         if not there:
             return create_table(rows, table, partition_by, conditions=conditions, buckets=buckets)
-        if not _partition_columns(spark, table):
+        if not partition_columns(spark, table):
             overwrite_table(upsert(spark.table(table), rows, keys, update, keep), table, buckets=buckets_of(spark, table))
             return n
         merged, affected = merge_plan(rows, table, keys, update, keep)

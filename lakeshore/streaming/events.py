@@ -49,8 +49,8 @@ def parse_events(records: DataFrame, ingested_at: Column | None = None) -> DataF
 def write_bronze_batch(table: str, partition_by: str = "log_date", query: str = "ingest", ingested_at: Column | None = None) -> Callable[[DataFrame, int], None]:
     """For foreachBatch: parse, and append each batch once, as the table's ledger tells; an empty batch writes nothing, an absent table is made.
 
-    `query` names the stream in the ledger: it has to stay the same over restarts, and to be the stream's own. Events may repeat in different
-    batches, as their producer may send them twice; the conformed layer holds each once.
+    `query` names the stream in the ledger: it has to stay the same over restarts, and to be the stream's own. A stream with a new
+    checkpoint counts its batches anew and needs a new name. Events may repeat in different batches, as their producer may send them twice; the conformed layer holds each once.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:

@@ -1,8 +1,11 @@
 """Daily jobs: empty days, absent tables, rules and counts; and the plans they share."""
 
+import datetime as dt
+import decimal
+
 import pytest
 from lakeshore import conform, queries
-from lakeshore.jobs import bronze, gold, silver
+from lakeshore.jobs import bronze, gold, publish, silver
 from lakeshore.operators.upsert import upsert
 from lakeshore.plans import bronze as raw
 from lakeshore.plans import gold as marts
@@ -104,3 +107,38 @@ def test_a_day_of_orders_is_a_partition(spark, sf, db):
     for table in ("transactions", "transaction_details"):
         parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.{table}").collect()}
         assert parts == {f"report_date={r[0]}" for r in spark.table(f"{db}.{table}").select("report_date").distinct().collect()}
+
+
+def test_days_of_orders_in_their_own_layout(spark, db):
+    """Three days, of which the second changes an order of the first and brings one of an earlier month; by branch, month and day."""
+    day = lambda d, hour=10: dt.datetime(2024, d // 100, d % 100, hour)
+    order = lambda k, who, made, changed, status="W", branch="b1": (k, branch, made, "cash", decimal.Decimal("5.00"), who, status, "online", made, changed, changed)
+    loads = {
+        "20240210": [order("1", "ann", day(210), day(210)), order("2", "bob", day(210, 11), day(210), branch="b2"), order("3", None, day(210), day(210))],
+        "20240211": [order("1", "ann", day(210), day(211), "I"), order("4", "bob", day(105), day(211), branch="b2"), order("5", "ann", day(211), day(211))],
+        "20240405": [order("6", "ann", day(405), day(405)), order("7", "bob", day(405), day(405), branch="b2")],
+    }
+    schema = "transaction_id string, branch_id string, transaction_datetime timestamp_ntz, payment_type string, trans_total_amount decimal(15,2), customer_id string, order_status string, channel string, created_at timestamp_ntz, updated_at timestamp_ntz, _loaded_at timestamp_ntz"
+    for load, rows in loads.items():
+        sinks.append_table(spark.createDataFrame(rows, schema).withColumn("report_date", F.lit(load)), f"{db}.transactions", ["report_date"])
+        silver.nou(spark, load, db, "jobs_silver", buckets=4)
+        assert silver.transactions(spark, load, db, "jobs_silver") == len(rows)
+    got = {r.trans_id.split("_")[-1]: (r.order_status, r.user_type, r.NOU, r.ym) for r in spark.table("jobs_silver.transactions").collect()}
+    assert got == {"1": ("I", 1, 1, "202402"), "2": ("W", 1, 1, "202402"), "3": ("W", None, 0, "202402"), "4": ("W", 1, 1, "202401"), "5": ("W", 1, 0, "202402"), "6": ("W", 3, 0, "202404"), "7": ("W", 3, 0, "202404")}
+    assert {r.customer_id: r.nou_ymd for r in spark.table("jobs_silver.nou").collect()} == {"ann": "20240210", "bob": "20240105"}
+    parts = {r[0] for r in spark.sql("SHOW PARTITIONS jobs_silver.transactions").collect()}
+    assert "branch_id=b1/ym=202402/ymd=20240210" in parts and "branch_id=b2/ym=202401/ymd=20240105" in parts and len(parts) == 6
+    assert sinks.rules_of(spark, "jobs_silver.transactions") == conformed.TRANSACTION_RULES
+    spark.sql("DROP DATABASE jobs_silver CASCADE")
+
+
+def test_published_tables_follow_their_files(spark, db):
+    one = spark.createDataFrame([("a", 1, "x")], "k string, v int, part string")
+    sinks.append_table(one, f"{db}.mart", ["part"])
+    assert publish.publish(spark, ["mart", "absent"], db, "analysts") == ["analysts.mart"]
+    sinks.append_table(one.withColumn("part", F.lit("y")), f"{db}.mart")
+    assert publish.publish(spark, ["mart"], db, "analysts") == ["analysts.mart"]
+    assert sorted(map(tuple, spark.table("analysts.mart").collect())) == [("a", 1, "x"), ("a", 1, "y")]
+    spark.sql("DROP TABLE analysts.mart")
+    assert spark.table(f"{db}.mart").count() == 2  # an external table leaves the files
+    spark.sql("DROP DATABASE analysts CASCADE")
