@@ -241,7 +241,7 @@ def pair_counts(found: DataFrame) -> DataFrame:
 
 def _threshold(counts: DataFrame, most: int) -> int:
     """The smallest power of two such that `most` pairs at most have as many links. A count for each power comes to the driver."""
-    sizes = dict(counts.groupBy(F.floor(F.log2("n")).cast("int").alias("power")).count().collect())
+    sizes = dict(counts.groupBy((F.length(F.bin("n")) - 1).alias("power")).count().collect())
     power = 64
     while power > 0 and (most := most - sizes.get(power - 1, 0)) >= 0:
         power -= 1
