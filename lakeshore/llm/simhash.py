@@ -193,6 +193,10 @@ PARTS, FIRST_RADIUS, WHOLE_RADIUS, CHUNK = 4, 20, 64, 128
 #: Texts with Jaccard 0.8 have sizes in a ratio of 1.25 at most: so many levels of the size make one such ratio. One more level
 #: is compared for the sake of rounded logarithms.
 LEVELS, SIMILAR_TILE = 4, 65536
+#: Texts of different groups are compared by shingles only if the first part and all parts differ by so many bits at most. Jaccard
+#: 0.8 makes them differ in a fifth of the bits on average, or less; under one such pair in 10,000 differs by more than these. SPAN
+#: chunks of fingerprints are compared with as many at once.
+LAST_FIRST, LAST_WHOLE, SPAN = 26, 96, 32
 
 
 def set_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, parts: int) -> DataFrame:
@@ -267,17 +271,80 @@ def _confirmed(jobs: DataFrame, labels: bool) -> DataFrame:
     return met.select(F.expr("lo = hi").alias("own"), "texts").mapInArrow(run, "u long, v long")
 
 
+def near_chunks(sizes: np.ndarray, marks: np.ndarray, groups: np.ndarray, chunks: np.ndarray, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(place, chunk): each text, and each chunk in which it is near a text of another group, once however many these are.
+
+    Texts are near if their sizes are in a ratio of 1.25 at most and their fingerprints within LAST_FIRST and LAST_WHOLE bits. With
+    `side`, only texts of different sides are compared.
+    """
+    order = np.argsort(sizes, kind="stable")
+    a, b = (order, order) if side is None else (order[side[order]], order[~side[order]])
+    first, of_b, stride = marks[b, 0], sizes[b], int(chunks.max(initial=0)) + 1
+    found = [np.empty(0, np.int64)]
+    for k in range(0, len(a), 256):
+        rows = a[k : k + 256]
+        lo = np.searchsorted(5 * of_b, 4 * sizes[rows[0]])
+        hi = np.searchsorted(4 * of_b, 5 * sizes[rows[-1]], "right")
+        lo = max(lo, k) if side is None else lo
+        i, j = np.nonzero(np.bitwise_count(marks[rows, :1] ^ first[None, lo:hi]) <= LAST_FIRST)
+        i, j = rows[i], b[lo + j]
+        apart = groups[i] != groups[j]
+        i, j = i[apart], j[apart]
+        near = np.bitwise_count(marks[i] ^ marks[j]).sum(1, dtype=np.int64) <= LAST_WHOLE
+        i, j = i[near], j[near]
+        found += [np.unique(i * stride + chunks[j]), np.unique(j * stride + chunks[i])]
+    return np.divmod(np.unique(np.concatenate(found)), stride)
+
+
+def _near_jobs(texts: DataFrame, span: int) -> DataFrame:
+    """Jobs (root, lo, hi, node, side) that compare the near texts of different groups of texts(root, node, t, c, rest, last, shingles).
+
+    `c` is a text's chunk in its root, `last` the last chunk; those after the chunk `rest` have one group, and aren't compared with
+    one another. Only fingerprints travel to all chunks, `span` chunks at once; of the texts of two chunks, those without a near
+    one in the other take no part.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [s.values.to_numpy().view(np.uint64) for s in b["shingles"]]
+            marks = np.array([_votes([s], PARTS) for s in sets], np.int64).reshape(-1, PARTS)
+            marks = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * PARTS), pa.array(marks.ravel()))
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.record_batch({**{c: b[c] for c in ("root", "node", "t", "c", "rest", "last")}, "size": sizes, "marks": marks})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for root, lo, hi, texts in zip(*(b[c] for c in ("root", "lo", "hi", "texts"))):
+                x = texts.values
+                node, t, c, size = (x.field(f).to_numpy() for f in ("node", "t", "c", "size"))
+                marks = x.field("marks").flatten().to_numpy().view(np.uint64).reshape(len(x), -1)
+                side = None if lo.as_py() == hi.as_py() else x.field("side").to_numpy(zero_copy_only=False)
+                at, other = near_chunks(size, marks, t, c.astype(np.int64), side)
+                own = c[at]
+                out = [np.full(len(at), root.as_py()), np.minimum(own, other), np.maximum(own, other), node[at], own <= other]
+                yield pa.record_batch({name: pa.array(v, kind) for name, v, kind in zip(("root", "lo", "hi", "node", "side"), out, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()))})
+
+    marked = texts.select("root", "node", "t", "c", "rest", "last", "shingles").mapInArrow(mark, "root long, node long, t long, c int, rest int, last int, size long, marks array<long>")
+    tile = lambda c: F.floor(F.col(c) / span).cast("int")
+    partner = F.explode(F.sequence(F.lit(0), F.when(tile("c") <= tile("rest"), tile("last")).otherwise(tile("rest")))).alias("y")
+    jobs = marked.select("*", tile("c").alias("x"), partner)
+    jobs = jobs.select("root", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"), "node", "t", "c", "size", "marks", F.expr("x <= y").alias("side"))
+    met = dealt_anew(jobs, "root").groupBy("root", "lo", "hi").agg(F.collect_list(F.struct("node", "t", "c", "size", "marks", "side")).alias("texts"))
+    return met.mapInArrow(run, "root long, lo int, hi int, node long, side boolean")
+
+
 def _dealt(texts: DataFrame, k: Column) -> DataFrame:
     """Jobs that compare the texts of each chunk, of k in a root, with one another."""
     return texts.withColumn("lo", F.pmod(F.xxhash64("node"), k).cast("int")).withColumn("hi", F.col("lo")).withColumn("side", F.lit(True))
 
 
-def similar_groups(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int, chunk: int = CHUNK) -> DataFrame:
+def similar_groups(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int, chunk: int = CHUNK, span: int = SPAN) -> DataFrame:
     """(node, t) of members(node, root): the smallest node that all pairs in a root with Jaccard 0.8 or more link it to.
 
     Three rounds: the texts of a root are cut into chunks by hash, and each chunk is compared within; then one text of each
-    group that this gave; at last all texts outside the largest group with all of the root. The pairs that no
-    round compares are in one group already. Roots of one chunk are done by the first round.
+    group that this gave; at last all texts outside the largest group with those of other groups of the root whose fingerprints are
+    near (_near_jobs). The pairs that no round compares are in one group already, or too far apart. Roots of one chunk are done
+    by the first round.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,15 +377,14 @@ def similar_groups(docs: DataFrame, members: DataFrame, id_col: str, text_col: s
     rest = F.col("t") != F.col("largest")
     at = F.when(rest, F.pmod(F.xxhash64("node"), F.col("kr"))).otherwise(F.col("kr") + F.pmod(F.xxhash64("node"), F.col("kb")))
     open_ = now.join(dealt_anew(sizes.where("kr > 0"), "root").hint("merge"), "root").withColumn("c", at.cast("int"))
-    last = F.when(rest, F.col("kr") + F.col("kb")).otherwise(F.col("kr")) - 1
-    jobs = open_.withColumn("d", F.explode(F.sequence(F.lit(0), last.cast("int"))))
-    jobs = jobs.select("root", F.least("c", "d").alias("lo"), F.greatest("c", "d").alias("hi"), "node", "t", F.expr("c <= d").alias("side"), "shingles")
+    ends = open_.withColumns({"rest": (F.col("kr") - 1).cast("int"), "last": (F.col("kr") + F.col("kb") - 1).cast("int")})
+    jobs = _near_jobs(ends, span).join(now.select("node", "t", "shingles"), "node")
     third = node_t(connected(_confirmed(jobs, False)), "t2", "t3")
     by_t = second.join(third, "t2", "left").select("t", F.coalesce("t3", "t2").alias("t2"))
     return first.join(by_t, "t", "left").select("node", F.coalesce("t2", "t").alias("t"))
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, tile: int = SIMILAR_TILE, chunk: int = CHUNK) -> DataFrame:
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, tile: int = SIMILAR_TILE, chunk: int = CHUNK, span: int = SPAN) -> DataFrame:
     """(doc_id, component_id) of every row with an id: groups over links of texts whose sets of word shingles have Jaccard 0.8 or more.
 
     Fingerprints have four parts, so that the share of differing bits tells the similarity to a few hundredths: the
@@ -331,7 +397,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     level = F.floor(LEVELS * F.ln(F.greatest("size", F.lit(1))) / math.log(1.25))
     near = connected(near_links(groups, FIRST_RADIUS, tile, WHOLE_RADIUS, level, LEVELS + 1)).select(F.col("u").alias("node"), F.col("v").alias("root"))
     members = checkpointed(near.unionByName(near.select(F.col("root").alias("node"), "root").distinct()))
-    rooted = groups.join(similar_groups(docs, members, id_col, text_col, shingle, chunk), "node", "left")
+    rooted = groups.join(similar_groups(docs, members, id_col, text_col, shingle, chunk, span), "node", "left")
     rooted = rooted.select("fp", "more", "size", F.coalesce("t", "node").alias("component_id"))
     return fps.join(dealt_anew(rooted, "fp"), ["fp", "more", "size"]).select("doc_id", "component_id")
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from lakeshore.llm import simhash
 
@@ -150,8 +151,44 @@ def test_groups_of_many_chunks_are_those_of_all_pairs(spark):
     label, near = list(range(100)), [[j for j in range(100) if jaccard(a, texts[j]) >= 0.8] for a in texts]
     for _ in range(100):
         label = [min(label[j] for j in own) for own in near]
-    got = simhash.similar(spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA), chunk=4).collect()
-    assert len(set(label)) > 3 and {r.doc_id: r.component_id for r in got} == dict(enumerate(label))
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA)
+    for span in (32, 3):
+        got = simhash.similar(docs, chunk=4, span=span).collect()
+        assert len(set(label)) > 3 and {r.doc_id: r.component_id for r in got} == dict(enumerate(label))
+
+
+@pytest.mark.parametrize("own", [True, False])
+def test_near_chunks_are_those_of_all_pairs(own):
+    rng = np.random.default_rng(5)
+    n = 700
+    base = rng.integers(0, 2**63, (30, 4), dtype=np.uint64)
+    origin, flips = rng.integers(0, 30, n), rng.integers(0, 40, n)
+    marks = base[origin]
+    for k in range(n):
+        for bit in rng.choice(256, flips[k], replace=False):
+            marks[k, bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    sizes, groups, chunks, side = rng.integers(40, 70, n), rng.integers(0, 90, n), rng.integers(0, 9, n), rng.random(n) < 0.5
+    want = set()
+    for i in range(n):
+        bits = np.bitwise_count(marks[i] ^ marks)
+        near = (bits[:, 0] <= 26) & (bits.sum(1, dtype=int) <= 96) & (groups != groups[i])
+        near &= (5 * sizes >= 4 * sizes[i]) & (4 * sizes <= 5 * sizes[i]) & (own | (side != side[i]))
+        want |= {(i, int(c)) for c in chunks[near]}
+    got = {*zip(*(x.tolist() for x in simhash.near_chunks(sizes, marks, groups, chunks, None if own else side)))}
+    # Sizes are cut at blocks, so that some pairs beyond the ratio come, too.
+    assert len(want) > 500 and want <= got and len(got) < 1.3 * len(want)
+
+
+def test_a_chain_of_false_links_takes_few_comparisons(spark):
+    """600 texts, each sharing 174 of 204 words with the next (0.74 of the shingles): only close ones meet, in few of 90,000 places."""
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(600 * 30 + 204)]
+    rows = [(1, i, i, i % 150, 149, 149, simhash.shingle_set(" ".join(words[30 * i : 30 * i + 204]), 5).view(np.int64).tolist()) for i in range(600)]
+    texts = spark.createDataFrame(rows, "root long, node long, t long, c int, rest int, last int, shingles array<long>")
+    got = {(r.lo, r.hi, r.node, r.side) for r in simhash._near_jobs(texts, 32).collect()}
+    pairs = {(min(i % 150, j % 150), max(i % 150, j % 150), k) for i in range(599) for j in [i + 1] for k in (i, j)}
+    assert pairs <= {g[:3] for g in got} and len(got) < 6000
+    assert all(side == (node % 150 == lo) for lo, hi, node, side in got)
 
 
 def test_a_repeated_line_counts_once(spark):
