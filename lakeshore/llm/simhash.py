@@ -359,6 +359,7 @@ def similar_groups(docs: DataFrame, members: DataFrame, id_col: str, text_col: s
     sized = members.join(many, "root", "left").select("node", "root", F.coalesce("n", F.lit(1)).alias("n"))
     kept = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     texts = checkpointed(kept.join(sized, "node").mapInArrow(run, "node long, root long, n long, shingles array<long>"))
+    released(docs.sparkSession)
     chunks = lambda size: F.ceil(size / F.lit(chunk))
     node_t = lambda df, node, t: df.select(F.col("u").alias(node), F.col("v").alias(t)).distinct()
     first = checkpointed(node_t(_confirmed(_dealt(texts.withColumn("t", F.col("node")), chunks(F.col("n"))), True), "node", "t"))
@@ -369,6 +370,7 @@ def similar_groups(docs: DataFrame, members: DataFrame, id_col: str, text_col: s
     reps = texts.drop("n").join(first.where("t = node").select("node"), "node").withColumn("t", F.col("node"))
     reps = reps.join(dealt_anew(reps.groupBy("root").agg(n), "root").hint("merge"), "root")
     second = checkpointed(node_t(_confirmed(_dealt(reps, chunks(F.col("n"))), True), "t", "t2"))
+    released(docs.sparkSession)
     now = texts.drop("n").join(first, "node").join(second, "t").select("root", "node", F.col("t2").alias("t"), "shingles")
     now = checkpointed(now)
     released(docs.sparkSession)
@@ -378,8 +380,12 @@ def similar_groups(docs: DataFrame, members: DataFrame, id_col: str, text_col: s
     at = F.when(rest, F.pmod(F.xxhash64("node"), F.col("kr"))).otherwise(F.col("kr") + F.pmod(F.xxhash64("node"), F.col("kb")))
     open_ = now.join(dealt_anew(sizes.where("kr > 0"), "root").hint("merge"), "root").withColumn("c", at.cast("int"))
     ends = open_.withColumns({"rest": (F.col("kr") - 1).cast("int"), "last": (F.col("kr") + F.col("kb") - 1).cast("int")})
-    jobs = _near_jobs(ends, span).join(now.select("node", "t", "shingles"), "node")
-    third = node_t(connected(_confirmed(jobs, False)), "t2", "t3")
+    near = checkpointed(_near_jobs(ends, span))
+    released(docs.sparkSession)
+    # A sorted merge: the driver then holds no broadcast of the jobs.
+    links = checkpointed(_confirmed(near.hint("merge").join(now.select("node", "t", "shingles"), "node"), False))
+    released(docs.sparkSession)
+    third = node_t(connected(links), "t2", "t3")
     by_t = second.join(third, "t2", "left").select("t", F.coalesce("t3", "t2").alias("t2"))
     return first.join(by_t, "t", "left").select("node", F.coalesce("t2", "t").alias("t"))
 
