@@ -37,9 +37,10 @@ def _hour():
 def users_hourly(events: DataFrame, numbers: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
     """(hour, grain, bucket, users): a bitmap of the users of each hour, for every bucket of 32,768 numbers that has any.
 
-    Bits combine before the shuffle. Events without a user are left out.
+    Bits combine before the shuffle. Events without a user are left out. Numbers are joined in shuffled parts, for Spark takes the size of
+    events that are kept in a folder from their compressed source, and would broadcast them.
     """
-    numbered = events.join(numbers, "user_id")
+    numbered = events.join(numbers.hint("shuffle_hash"), "user_id")
     bits = F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("users")
     return numbered.groupBy(_hour(), *grain, F.bitmap_bucket_number("number").alias("bucket")).agg(bits)
 

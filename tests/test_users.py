@@ -31,3 +31,15 @@ def test_sketches_of_many_users(spark):
     events = spark.range(60000).selectExpr("concat('u', id % 40000) AS user_id", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id % 24 AS int)) AS event_time", "'1' AS app_version", "'iOS' AS device_os", "'view' AS event_type")
     (got,) = users.estimated_users(users.sketches_hourly(events)).collect()
     assert abs(got.unique_users - 40000) <= 3 * 0.01625 * 40000
+
+
+def test_days_parse_each_record_once(spark, sf):
+    """Filters on an event's fields are no parses of their own; events are made once, and never broadcast to be numbered."""
+    from lakeshore import queries
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(queries._events(spark, sf)).count("from_json(") == 2  # the record's, and its metadata's
+    got = queries.report_users_by_day(spark, sf)
+    got.collect()
+    final = plan(got).split("== Initial Plan ==")[0]
+    assert "from_json(" not in final and "BroadcastHashJoin" not in final and "ShuffledHashJoin" in final
