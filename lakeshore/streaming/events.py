@@ -64,8 +64,15 @@ def write_bronze_batch(table: str, partition_by: str = "log_date", query: str =
     return write
 
 
+def dealt(batch: DataFrame) -> DataFrame:
+    """A batch's records over all cores. The few files of a trigger, or partitions of a topic, come in as few tasks with rows (a file is read
+    by as many as it has row groups), each of which would parse its share alone."""
+    return batch.repartition(batch.sparkSession.sparkContext.defaultParallelism, "partition", "offset")
+
+
 def start_ingest(records: DataFrame, table: str, checkpoint: str, available_now: bool = False, query: str = "ingest", ingested_at: Column | None = None) -> StreamingQuery:
-    writer = records.writeStream.foreachBatch(write_bronze_batch(table, query=query, ingested_at=ingested_at)).option("checkpointLocation", checkpoint)
+    write = write_bronze_batch(table, query=query, ingested_at=ingested_at)
+    writer = records.writeStream.foreachBatch(lambda batch, epoch: write(dealt(batch), epoch)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER)).start()
 
 

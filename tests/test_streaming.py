@@ -170,3 +170,14 @@ def test_totals_by_item_go_on_after_a_restart(spark, db, tmp_path):
         spark.catalog.refreshTable(f"{db}.totals")  # the stream writes in a session of its own
         seen.append(sorted(map(tuple, spark.table(f"{db}.totals").collect())))
     assert seen == [[("Coat", 2, 20), ("Unknown", 0, 0)], [("Coat", 2, 20), ("Hat", 1, 10), ("Unknown", 0, 0)]]
+
+
+def test_few_files_are_parsed_by_all_cores(spark, sf, tmp_path, monkeypatch):
+    """A trigger of two files, each of one row group, would be parsed by two tasks."""
+    files, sizes = str(tmp_path / "in"), []
+    conform.event_records(spark, sf).coalesce(2).write.parquet(files)
+    write = lambda batch, epoch: sizes.extend(r[1] for r in batch.groupBy(F.spark_partition_id()).count().collect())
+    monkeypatch.setattr(stream, "write_bronze_batch", lambda *a, **k: write)
+    records = stream.read_events_stream(spark, "parquet", path=files, maxFilesPerTrigger="2")
+    stream.start_ingest(records, "raw.none", str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < sum(sizes) / 2
