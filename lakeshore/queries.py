@@ -451,8 +451,9 @@ def job_silver_customers(spark: SparkSession, sf: str) -> DataFrame:
 def job_silver_events_cart(spark: SparkSession, sf: str) -> DataFrame:
     """Raw events appended twice, as at-least-once delivery may; the whole table merged, then one day again."""
     with _databases(spark, "cart") as (db,):
+        delivered = checkpointed(_raw_events(spark, sf))
         for _ in range(2):
-            sinks.append_table(_raw_events(spark, sf), f"{db}.behavior_events", ["log_date"])
+            sinks.append_table(delivered, f"{db}.behavior_events", ["log_date"])
         for day in (None, "2024-01-05"):
             silver_jobs.events(spark, "cart", day, db, db)
         return checkpointed(spark.table(f"{db}.events_cart"))

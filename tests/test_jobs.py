@@ -142,3 +142,15 @@ def test_published_tables_follow_their_files(spark, db):
     spark.sql("DROP TABLE analysts.mart")
     assert spark.table(f"{db}.mart").count() == 2  # an external table leaves the files
     spark.sql("DROP DATABASE analysts CASCADE")
+
+
+def test_a_delivery_that_comes_twice_is_parsed_once(spark, sf, monkeypatch):
+    parsed, append = [], sinks.append_table
+
+    def seen(df, *more):
+        parsed.append("from_json" in df._jdf.queryExecution().optimizedPlan().toString())
+        return append(df, *more)
+
+    monkeypatch.setattr(sinks, "append_table", seen)
+    assert queries.job_silver_events_cart(spark, sf).count() == queries.silver_events_cart(spark, sf).count()
+    assert parsed == [False, False]
