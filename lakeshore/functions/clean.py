@@ -75,6 +75,12 @@ def month_before(ym: Column, months: int = 1) -> Column:
     return F.date_format(F.add_months(F.to_date(F.concat(ym, F.lit("01")), "yyyyMMdd"), -months), "yyyyMM")
 
 
+def month_number(ym: Column) -> Column:
+    """A number of the month yyyyMM; that of the next month is one more. Null for anything else."""
+    n = F.when(ym.rlike(r"^\d{6}$"), ym).cast("int")
+    return F.floor(n / 100).cast("int") * 12 + n % 100
+
+
 def epoch_seconds(at: Column) -> Column:
     """Seconds since 1970 of a wall-clock time, whatever the session's zone."""
     return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), at.cast("timestamp_ntz"))

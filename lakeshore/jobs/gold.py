@@ -27,7 +27,7 @@ def events(spark: SparkSession, bucket: str, day: str | list[str], source: str =
 
 def sales(spark: SparkSession, day: str, source: str = "silver", database: str = "gold") -> int:
     """Customers' sales and the ages of orders on a day, both from one snapshot. The number of rows of both."""
-    snapshot = gold.prepare_snapshot(read_table(spark, source, "transactions"), day).persist(StorageLevel.DISK_ONLY)
+    snapshot = gold.prepare_snapshot(read_table(spark, source, "transactions"), day).select(*gold.MART_COLUMNS).persist(StorageLevel.DISK_ONLY)
     ymd, marts = day.replace("-", ""), {"daily_customer_sales": gold.daily_customer_sales, "daily_logistics_aging": gold.daily_logistics_aging}
     try:
         return sum(written(snapshot, build, lambda df, name=name: replace_where(df, f"{database}.{name}", "ymd", ymd, PARTITIONS)) for name, build in marts.items())

@@ -89,4 +89,6 @@ def transactions_backfill(spark: SparkSession, raw: str = "bronze", database: st
     """The registry and the orders of the whole history, written anew by month."""
     history = read_table(spark, raw, "transactions")
     written(history, silver.first_orders, lambda df: overwrite_table(df, f"{database}.nou", ["ym"], buckets and (buckets, "customer_id")))
-    return written(history, silver.classify_history, lambda df: overwrite_table(df, f"{database}.transactions", ["ym"]))
+    # The registry is read as it was written, not made again.
+    classified = lambda df: silver.classify_history(df, spark.table(f"{database}.nou"))
+    return written(history, classified, lambda df: overwrite_table(df, f"{database}.transactions", ["ym"]))

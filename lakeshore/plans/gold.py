@@ -45,6 +45,15 @@ def prepare_snapshot(transactions: DataFrame, snapshot: str) -> DataFrame:
     )
 
 
+#: What both marts read of a snapshot.
+MART_COLUMNS = ["snapshot_date", "trans_id", "customer_id", "user_type", "branch_id", "channel", "payment_type", "order_status", "aging_category", "order_total_amount"]
+
+
+def _with_parts(mart: DataFrame) -> DataFrame:
+    """A mart with the month and day of its snapshot, which needn't be grouped by."""
+    return mart.withColumns({"ym": F.date_format("snapshot_date", "yyyyMM"), "ymd": F.date_format("snapshot_date", "yyyyMMdd")})
+
+
 _GROUPS = {"processing": STOCK, "recognized": ("I",), "returned": ("B",), "cancelled": ("C", "R")}
 
 
@@ -54,19 +63,20 @@ def daily_customer_sales(prepared: DataFrame) -> DataFrame:
     Orders are first reduced to one row each with its groups' revenue, so that the distinct counts are plain sums and no row
     is expanded once for every count.
     """
-    keys = ["snapshot_date", "customer_id", "branch_id", "user_type", "channel", "payment_type", "ym", "ymd"]
+    keys = ["snapshot_date", "customer_id", "branch_id", "user_type", "channel", "payment_type"]
     of = lambda codes: F.col("order_status").isin(*codes)
     each = [F.sum(F.when(of(c), F.col("order_total_amount")).otherwise(0)).alias(f"{n}_rev") for n, c in _GROUPS.items()]
     seen = [F.max(F.when(of(c) & F.col("trans_id").isNotNull(), 1).otherwise(0)).alias(f"{n}_orders") for n, c in _GROUPS.items()]
     orders = prepared.groupBy(*keys, "trans_id").agg(*each, *seen)
     totals = [F.sum(f"{n}_rev").alias(f"{n}_rev") for n in _GROUPS] + [F.sum(f"{n}_orders").cast("int").alias(f"{n}_orders") for n in _GROUPS]
-    return orders.groupBy(*keys).agg(*totals)
+    return _with_parts(orders.groupBy(*keys).agg(*totals)).select(*keys, "ym", "ymd", *[f"{n}_{x}" for x in ("rev", "orders") for n in _GROUPS])
 
 
 def daily_logistics_aging(prepared: DataFrame) -> DataFrame:
     """Revenue and distinct orders by age and status."""
-    keys = ["snapshot_date", "aging_category", "branch_id", "order_status", "channel", "payment_type", "ym", "ymd"]
-    return prepared.groupBy(*keys).agg(F.sum("order_total_amount").alias("total_rev"), F.countDistinct("trans_id").cast("int").alias("total_orders"))
+    keys = ["snapshot_date", "aging_category", "branch_id", "order_status", "channel", "payment_type"]
+    mart = prepared.groupBy(*keys).agg(F.sum("order_total_amount").alias("total_rev"), F.countDistinct("trans_id").cast("int").alias("total_orders"))
+    return _with_parts(mart).select(*keys, "ym", "ymd", "total_rev", "total_orders")
 
 
 def _hour():

@@ -108,7 +108,8 @@ def with_times(transactions: DataFrame) -> DataFrame:
 def first_orders(transactions: DataFrame) -> DataFrame:
     """(customer_id, nou_ymd, ym): the day and month of each customer's first order; orders without a customer are left out."""
     known = transactions.where("customer_id is not null")
-    first = known.groupBy("customer_id").agg(F.min(F.date_format("transaction_datetime", "yyyyMMdd")).alias("nou_ymd"))
+    # The least time is kept as a number, where a least text would need the orders sorted.
+    first = known.groupBy("customer_id").agg(F.date_format(F.min("transaction_datetime"), "yyyyMMdd").alias("nou_ymd"))
     return first.withColumn("ym", F.substring("nou_ymd", 1, 6))
 
 
@@ -137,18 +138,18 @@ def classify_transactions(batch: DataFrame, registry: DataFrame, prior: DataFram
     """
     # An order without a customer joins by a key of its own that nothing has, so that such orders don't meet in one task.
     who = F.coalesce("customer_id", F.concat(F.lit("\0"), "transaction_id")).alias("_who")
-    timed = with_times(dedup_transactions(batch)).select("*", who)
-    known = timed.where("customer_id is not null")
-    months = prior.select("customer_id", "ym").unionByName(known.select("customer_id", "ym")).distinct()
-    next_month = months.select(F.col("customer_id").alias("_who"), clean.month_before(F.col("ym"), -1).alias("ym"), F.lit(True).alias("_ordered"))
-    # One row for each customer of the batch: the first order in it, and the first day ever.
-    order = F.struct("timestamp", "transaction_id", F.coalesce("branch_id", F.lit("")).alias("b"))
-    earliest = known.groupBy("customer_id").agg(F.min(order).alias("_earliest"))
-    first = earliest.join(registry.select("customer_id", "nou_ymd", F.col("ym").alias("_first_ym")), "customer_id", "left").withColumnRenamed("customer_id", "_who")
-    joined = timed.join(next_month, ["_who", "ym"], "left").join(first, "_who", "left")
+    once, at = dedup_transactions(batch).select("*", who), F.col("transaction_datetime")
+    order = lambda seconds: F.struct(seconds.alias("timestamp"), "transaction_id", F.coalesce("branch_id", F.lit("")).alias("b"))
+    # One row for each customer of the batch: the months with orders, the first order in the batch, and the first day ever. So
+    # whole orders are joined once, by customer, and their texts are made after that.
+    known = once.where("customer_id is not null").select("customer_id", (F.year(at) * 12 + F.month(at)).alias("_month"), order(clean.epoch_seconds(at)).alias("_order"))
+    before = prior.select("customer_id", clean.month_number(F.col("ym")).alias("_month"), F.lit(None).cast(known.schema["_order"].dataType).alias("_order"))
+    each = before.unionByName(known).groupBy("customer_id").agg(F.min("_order").alias("_earliest"), F.collect_set("_month").alias("_months"))
+    first = each.join(registry.select("customer_id", "nou_ymd", F.col("ym").alias("_first_ym")), "customer_id", "left").withColumnRenamed("customer_id", "_who")
+    joined = with_times(once.join(first, "_who", "left"))
     kind = F.when(F.col("customer_id").isNull(), F.lit(None)).when(F.col("_first_ym").isNull() | (F.col("_first_ym") == F.col("ym")), NEW)
-    kind = kind.when(F.col("_ordered"), RETAINED).otherwise(RESURRECTED)
-    is_first = F.coalesce((F.col("ymd") == F.col("nou_ymd")) & (order == F.col("_earliest")), F.lit(False))
+    kind = kind.when(F.array_contains("_months", F.year(at) * 12 + F.month(at) - 1), RETAINED).otherwise(RESURRECTED)
+    is_first = F.coalesce((F.col("ymd") == F.col("nou_ymd")) & (order(F.col("timestamp")) == F.col("_earliest")), F.lit(False))
     return joined.withColumn("NOU", is_first.cast("int")).withColumn("user_type", kind.cast("int")).select(*_SILVER)
 
 

@@ -167,3 +167,8 @@ def test_layout(spark, tmp_path):
     assert sorted(r.z for r in two.collect()) == [42, 43, 46, 47, 58, 59, 62, 63]
     assert compact(df, 1000, 300).rdd.getNumPartitions() == 4
     assert zorder(df.limit(0), ["x"], 4).count() == 0 and compact(df, 10, 3, ["x"]).count() == 4096
+
+
+def test_month_numbers(spark):
+    got = values(spark, "string", ["202401", "202312", "2024", "x", None], clean.month_number(F.col("v")))
+    assert got == [24289, 24288, None, None, None]

@@ -154,3 +154,19 @@ def test_a_delivery_that_comes_twice_is_parsed_once(spark, sf, monkeypatch):
     monkeypatch.setattr(sinks, "append_table", seen)
     assert queries.job_silver_events_cart(spark, sf).count() == queries.silver_events_cart(spark, sf).count()
     assert parsed == [False, False]
+
+
+def test_whole_orders_are_joined_once_by_customer(spark, sf, db, monkeypatch):
+    """The customers' months and first orders are one aggregate; the backfill reads the registry that it wrote, and the snapshot of a day holds what its marts read."""
+    plan = queries._classified(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2 and plan.count("Window [") == 2
+    made, first = [], conformed.first_orders
+    monkeypatch.setattr(conformed, "first_orders", lambda df: made.append(df) or first(df))
+    sinks.append_table(queries._transactions(spark, sf), f"{db}.transactions")
+    silver.transactions_backfill(spark, db, "jobs_backfill")
+    assert len(made) == 1
+    kept, prepare = [], marts.daily_customer_sales
+    monkeypatch.setattr(marts, "daily_customer_sales", lambda df: kept.append(df.columns) or prepare(df))
+    assert gold.sales(spark, queries.SNAPSHOT, "jobs_backfill", "jobs_backfill") > 0
+    assert kept == [marts.MART_COLUMNS]
+    spark.sql("DROP DATABASE jobs_backfill CASCADE")
