@@ -15,8 +15,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as topic records. Every tenth event comes again an hour later, with ten units more."""
-    # A user's records come together, as a partition of their topic would bring them.
-    e = table(spark, sf_dir, "events").repartition(F.col("user_id"))
+    # A user's records come together, as a partition of their topic would bring them. Their number of tasks is told, as adaptive
+    # execution would go by the events' few bytes and leave the cores about one long task each for records and parsing.
+    e = table(spark, sf_dir, "events").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col("user_id"))
     n = F.col("event_id")
     number = 1 + n % 14
     sent = e.withColumn("late", F.explode(F.when(n % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))

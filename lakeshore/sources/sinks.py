@@ -7,7 +7,7 @@ with MERGE removes that limit.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import enforced, violations
@@ -78,23 +78,32 @@ def _clustered(df: DataFrame, partition_by: list[str] | None, buckets: Buckets |
 
 def create_table(df: DataFrame, table: str, partition_by: list[str] | None = None, properties: dict[str, str] | None = None, conditions: dict[str, str] | None = None, buckets: Buckets | None = None) -> int:
     """Make a table anew, with rules that stay with it, and buckets that joins on their column need no exchange of."""
+    return _created(df, table, partition_by, properties, conditions, buckets)["n_rows"]
+
+
+def _created(df: DataFrame, table: str, partition_by: list[str] | None, properties: dict[str, str] | None = None, conditions: dict[str, str] | None = None, buckets: Buckets | None = None, more: tuple[Column, ...] = ()) -> dict:
     ensure_database(df.sparkSession, table)
-    rows, seen = observed(_clustered(enforced(df, conditions or {}), partition_by, buckets))
+    rows, seen = observed(_clustered(enforced(df, conditions or {}), partition_by, buckets), None, *more)
     writer = rows.write.format("parquet").mode("overwrite").partitionBy(*(partition_by or [])).options(**(properties or {}))
     (writer.bucketBy(*buckets).sortBy(buckets[1]) if buckets else writer).saveAsTable(table)
     _set_rules(df.sparkSession, table, conditions or {})
-    return seen.get["n_rows"]
+    return seen.get
 
 
 def append_table(df: DataFrame, table: str, partition_by: list[str] | None = None, properties: dict[str, str] | None = None) -> int:
     """Append, or create with partitions and properties; an empty frame creates nothing."""
+    return appended(df, table, partition_by, properties)["n_rows"]
+
+
+def appended(df: DataFrame, table: str, partition_by: list[str] | None = None, properties: dict[str, str] | None = None, *more: Column) -> dict:
+    """append_table, that gives `more` aggregates of the written rows beside n_rows; of an empty frame that creates nothing n_rows only."""
     spark = df.sparkSession
     if not _exists(spark, table):
-        return 0 if df.isEmpty() else create_table(df, table, partition_by, properties)
+        return {"n_rows": 0} if df.isEmpty() else _created(df, table, partition_by, properties, more=more)
     whole = enforced(df.select(*spark.table(table).columns), rules_of(spark, table))
-    rows, seen = observed(_clustered(whole, partition_columns(spark, table), buckets_of(spark, table)))
+    rows, seen = observed(_clustered(whole, partition_columns(spark, table), buckets_of(spark, table)), None, *more)
     rows.write.mode("append").insertInto(table)
-    return seen.get["n_rows"]
+    return seen.get
 
 
 def overwrite_table(df: DataFrame, table: str, partition_by: list[str] | None = None, buckets: Buckets | None = None) -> int:
@@ -168,11 +177,14 @@ def overwrite_partitions(df: DataFrame, table: str, affected: Values) -> int:
     got = seen.get
     gone = affected - {tuple(v) for v in got["partitions"] or []}
     if gone:
-        specs = ", ".join("PARTITION ({})".format(", ".join(f"{c} = {_literal(x)}" for c, x in zip(columns, v))) for v in sorted(gone, key=repr))
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(_specs(columns, gone))}")
     return got["n_rows"]
 
 
+def _specs(columns: list[str], values: Values) -> list[str]:
+    return ["PARTITION ({})".format(", ".join(f"{c} = {_literal(x)}" for c, x in zip(columns, v))) for v in sorted(values, key=repr)]
+
+
 def _literal(v: object) -> str:
     return "NULL" if v is None else str(v) if isinstance(v, (int, float)) else _text(str(v))
 
@@ -201,8 +213,23 @@ def merge_plan(source: DataFrame, table: str, keys: list[str], update: bool = Fa
     return upsert(within, source, keys, update, keep), affected
 
 
+def _insert_absent(source: DataFrame, table: str, keys: list[str]) -> None:
+    """Append the rows of source whose keys the table lacks: of what is there only keys are read, and nothing is written again.
+
+    Partitions that the catalog doesn't know are entered first, so that files which a broken append has left there are seen.
+    """
+    spark = source.sparkSession
+    columns = partition_columns(spark, table)
+    own = _values(source, columns) if columns else set()
+    if own:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(_specs(columns, own))}")
+    there = spark.table(table)
+    there = in_partitions(there, columns, own) if columns and set(columns) <= set(keys) else there
+    appended(source.join(there.select(*keys).distinct(), keys, "left_anti"), table)
+
+
 def merge_table(source: DataFrame, table: str, keys: list[str], partition_by: list[str] | None = None, update: bool = False, keep: tuple[str, ...] = (), rules: dict[str, str] | None = None, buckets: Buckets | None = None) -> int:
-    """Upsert into a table, by rewriting only the partitions that old or new versions of the rows are in; an empty source changes nothing.
+    """Upsert into a table, by rewriting only the partitions that old or new versions of the rows are in, or by appending without update; an empty source changes nothing.
 
     `rules` become the table's, which the source has to obey; `buckets` are those of a table that it makes. The source is made once, and kept on disk while it is read.
     """
@@ -220,6 +247,9 @@ def merge_table(source: DataFrame, table: str, keys: list[str], partition_by: li
             raise ValueError(f"several rows of the source have one key of {keys}")
         if not there:
             return create_table(rows, table, partition_by, conditions=conditions, buckets=buckets)
+        if not update:
+            _insert_absent(rows, table, keys)
+            return n
         if not partition_columns(spark, table):
             overwrite_table(upsert(spark.table(table), rows, keys, update, keep), table, buckets=buckets_of(spark, table))
             return n

@@ -7,14 +7,17 @@ takes away what its broken predecessor has left.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.sinks import append_table, in_partitions, merge_table, overwrite_partitions
+from ..sources.sinks import append_table, appended, in_partitions, merge_table, overwrite_partitions
 
 BATCH = "_batch"
+#: How far the clocks of the driver and of the files may differ before more files than a batch's own are read for its counts.
+CLOCKS = datetime.timedelta(hours=1)
 SCHEMA = "query string, epoch long, state string, part string, n_rows long"
 
 
@@ -41,6 +44,17 @@ def _taken_away(spark: SparkSession, table: str, name: str, rows: DataFrame, col
         overwrite_partitions(there.where(F.col(BATCH) != name), table, values)
 
 
+def _sizes(spark: SparkSession, table: str, name: str, column: str, values: set[tuple], since: datetime.datetime, n: int) -> list:
+    """(part, count) of a batch that is in the table, so that its rows needn't be made twice or kept for this.
+
+    Only its partitions are listed, and only their new files are read; all of them where the files' clock is so far behind that rows are missing.
+    """
+    own = in_partitions(spark.table(table), [column], values).where(F.col(BATCH) == name)
+    count = lambda df: df.groupBy(F.col(column).cast("string").alias("part")).count().collect()  # noqa: E731  # partitions of one batch
+    new = count(own.where(F.col("_metadata.file_modification_time") >= F.lit(since)))
+    return new if sum(r["count"] for r in new) == n else count(own)
+
+
 def append_once(rows: DataFrame, epoch: int, table: str, query: str, partition_by: str) -> int:
     """Append a batch's rows, marked with its query and epoch, unless the ledger has it as done. The number of rows appended.
 
@@ -50,18 +64,16 @@ def append_once(rows: DataFrame, epoch: int, table: str, query: str, partition_b
     states = {r["state"] for r in _entries(spark, table).where((F.col("query") == query) & (F.col("epoch") == epoch)).select("state").distinct().collect()}
     if "done" in states:
         return 0
-    kept = rows.withColumn(BATCH, F.lit(name)).persist()
-    try:
-        if "begun" in states:
-            _taken_away(spark, table, name, kept, partition_by)
-        else:
-            _enter(spark, table, [(query, epoch, "begun", None, None)])
-        sizes = kept.groupBy(F.col(partition_by).cast("string").alias("part")).count().collect()  # partitions of one batch
-        n = append_table(kept, table, [partition_by])
-        _enter(spark, table, [(query, epoch, "done", r["part"], r["count"]) for r in sizes] or [(query, epoch, "done", None, 0)])
-        return n
-    finally:
-        kept.unpersist()
+    marked = rows.withColumn(BATCH, F.lit(name))
+    if "begun" in states:
+        _taken_away(spark, table, name, marked, partition_by)
+    else:
+        _enter(spark, table, [(query, epoch, "begun", None, None)])
+    since = datetime.datetime.now(datetime.UTC) - CLOCKS
+    got = appended(marked, table, [partition_by], None, F.collect_set(F.struct(partition_by)).alias("parts"))
+    sizes = _sizes(spark, table, name, partition_by, {tuple(v) for v in got["parts"]}, since, got["n_rows"]) if got["n_rows"] else []
+    _enter(spark, table, [(query, epoch, "done", r["part"], r["count"]) for r in sizes] or [(query, epoch, "done", None, 0)])
+    return got["n_rows"]
 
 
 def marks_of(target: str) -> str:

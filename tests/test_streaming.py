@@ -130,6 +130,20 @@ def test_a_batch_that_comes_again_writes_nothing(spark, db, monkeypatch):
     assert {r.n_rows for r in spark.table(ledger.ledger_of(table)).where("epoch = 2 and state = 'done'").collect()} == {2}
 
 
+def test_a_batch_is_counted_in_the_table_and_not_kept(spark, db, monkeypatch):
+    """Counts for each partition, one of them null, without keeping the batch; also where files seem older than it, and beside other batches' rows."""
+    kept, appended = [], ledger.appended
+    monkeypatch.setattr(ledger, "appended", lambda df, *a: (kept.append(df.storageLevel.useMemory or df.storageLevel.useDisk), appended(df, *a))[1])
+    both = lambda ids: batch(spark, ids).union(batch(spark, [9], "2024-01-02")).union(batch(spark, [8], "no day"))
+    write, table = stream.write_bronze_batch(f"{db}.counted", query="q"), f"{db}.counted"
+    write(both([1, 2, 3]), 0)
+    monkeypatch.setattr(ledger, "CLOCKS", dt.timedelta(days=-1))
+    write(both([4, 5]), 1)
+    got = {(r.epoch, r.part): r.n_rows for r in spark.table(ledger.ledger_of(table)).where("state = 'done'").collect()}
+    assert got == {(e, p): n for e, k in ((0, 3), (1, 2)) for p, n in (("2024-01-01", k), ("2024-01-02", 1), (None, 1))}
+    assert kept == [False, False]
+
+
 def test_late_events_of_a_finished_day_arrive(spark, db):
     write = stream.write_bronze_batch(f"{db}.behavior_events", query="q")
     got = lambda: sorted(r[0] for r in spark.table(f"{db}.events_cart").select("event_uuid").collect())

@@ -126,6 +126,23 @@ def test_a_merge_reads_only_the_partitions_of_its_source(spark, db):
     assert any("branch" in f and "IN" in f for f in scans(moved))
 
 
+def test_a_merge_without_update_writes_only_what_is_absent(spark, db, tmp_path):
+    """Files that are there stay, null keys match nothing, and rows that a broken append left in a partition unknown to the catalog come once."""
+    row = lambda k, ymd: (k, 1, "b", ymd)
+    frame = lambda *rows: spark.createDataFrame(rows, SCHEMA)
+    paths = lambda: {r[0] for r in spark.table("shop.absent").select(F.input_file_name()).distinct().collect()}
+    sinks.merge_table(frame(row("a", "1"), row("b", "2"), row("n", None)), "shop.absent", ["k", "ymd"], ["ymd"])
+    before = paths()
+    (at,) = [r.data_type for r in spark.sql("DESCRIBE FORMATTED shop.absent").collect() if r.col_name == "Location"]
+    frame(row("left", "3")).drop("ymd").write.parquet(f"{at}/ymd=3")
+    new = frame(row("a", "1"), row("c", "1"), row("left", "3"), row("d", "3"), row("n", None))
+    for extra in (1, 2):
+        assert sinks.merge_table(new, "shop.absent", ["k", "ymd"]) == 5
+        want = [row("a", "1"), row("b", "2"), row("c", "1"), row("d", "3"), row("left", "3"), *[row("n", None)] * (1 + extra)]
+        assert sorted(map(tuple, spark.table("shop.absent").collect()), key=repr) == sorted(want, key=repr)
+    assert before <= paths()
+
+
 def test_rules_stay_with_a_table(spark, db):
     good = spark.createDataFrame([("a", 1, "b1", "1"), ("b", None, "b2", "1")], SCHEMA)
     bad = spark.createDataFrame([("c", -1, "b1", "1")], SCHEMA)
