@@ -100,3 +100,42 @@ def test_a_run_of_many_places_is_split(spark):
 
     docs = spark.range(30000).selectExpr("id AS doc_id", "concat('Alpha beta gamma delta one two three four five. Six seven eight nine ten eleven twelve. Thirteen to the end of nine more words here. ', 'Own', id, '.') AS text")
     assert splits(spark, lambda: ss.repeated_spans(docs))
+
+
+@given(*[st.lists(st.sampled_from(["a", "b", "c."]), max_size=12)] * 4, st.lists(st.sampled_from(["a", "b", "c."]), min_size=7, max_size=20))
+def test_texts_with_a_common_passage_have_a_common_word_run(a, b, c, d, passage):
+    of = lambda *x: {h for h, _, _ in ss.word_runs(" ".join(w for y in x for w in y), 7)}
+    assert of(passage) and of(passage) <= of(a, passage, b) & of(c, passage, d)
+
+
+def test_passages_inside_sentences_go(spark):
+    """Copies of 51 words and more with two, one and no whole sentences go; 25 words that are copied and all other words stay."""
+    rng = random.Random(8)
+    of = lambda n, k: [f"{k}{rng.randrange(10**9)}" for _ in range(n)]
+    two, one = of(70, "p"), of(51, "q")
+    two[9] += "."
+    two[30] += "\n"
+    two[55] += "?"
+    one[20] += "."
+    one[33] += "."
+    passages = [two, one, of(120, "r"), of(51, "s"), of(25, "t")]
+    rows, own = [], {}
+    for d in range(20):
+        a, b = of(40, "a"), of(40, "b")
+        a[20], b[20] = f"{a[20]}.", f"{b[20]}!"
+        rows.append((d, " ".join([*a, *passages[d % 5], *b])))
+        own[d] = [*a, *b]
+    docs = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA)
+    got = {r.doc_id: (r._n_removed, r.text) for r in ss.remove_repeats(docs, passage=51).collect()}
+    for d, text in rows:
+        n, left = got[d]
+        passage = " ".join(passages[d % 5]).split()
+        if d < 5 or d % 5 == 4:
+            assert (n, left) == (0, text)
+        else:
+            words = left.split()
+            first, last = (words.index(x) for x in (own[d][39], own[d][40]))
+            stays = words[first + 1 : last]
+            assert words[: first + 1] + words[last:] == own[d]
+            ends = next(k for k in range(len(stays) + 1) if stays == passage[:k] + passage[len(passage) - len(stays) + k :])
+            assert n >= 1 and ends < 26 and len(stays) - ends < 26
